@@ -6,6 +6,8 @@ import math
 
 from pyspark.sql import Column, DataFrame, functions as F, types as T
 
+from docfold.functions.arrays import let
+
 # Fixed values of the well-known-binary type word: flag bits sit above the geometry code, and the
 # ISO variants add 1000 / 2000 / 3000 for Z, M and ZM.
 FLAG_MASK = 0x0FFFFFFF
@@ -29,32 +31,39 @@ def _word(hex_text: Column, start, n_bytes: int, little: Column) -> Column:
 
 def _double(bits: Column) -> Column:
     """16 hex digits, most significant first -> the IEEE-754 double they hold; NaN and infinities -> NULL."""
-    head = F.conv(F.substring(bits, 1, 3), 16, 10).cast("int")
-    mantissa = F.conv(F.substring(bits, 4, 13), 16, 10).cast("double")
-    exponent = head.bitwiseAND(2047)
-    sign = F.when(head >= 2048, F.lit(-1.0)).otherwise(F.lit(1.0))
-    scale = F.lit(float(2**52))
-    normal = (F.lit(1.0) + mantissa / scale) * F.pow(F.lit(2.0), (exponent - 1023).cast("double"))
-    subnormal = mantissa / scale * F.pow(F.lit(2.0), F.lit(-1022.0))
-    return F.when(exponent == 0, sign * subnormal).when(exponent < 2047, sign * normal)
+    def build(p: Column) -> Column:
+        head, mantissa = p["head"], p["mantissa"]
+        exponent = head.bitwiseAND(2047)
+        sign = F.when(head >= 2048, F.lit(-1.0)).otherwise(F.lit(1.0))
+        fraction = mantissa / F.lit(float(2**52))
+        normal = (F.lit(1.0) + fraction) * F.pow(F.lit(2.0), (exponent - 1023).cast("double"))
+        subnormal = fraction * F.pow(F.lit(2.0), F.lit(-1022.0))
+        return F.when(exponent == 0, sign * subnormal).when(exponent < 2047, sign * normal)
+
+    parts = let(bits, lambda h: F.struct(
+        F.conv(F.substring(h, 1, 3), 16, 10).cast("int").alias("head"),
+        F.conv(F.substring(h, 4, 13), 16, 10).cast("double").alias("mantissa")))
+    return let(parts, build)
 
 
 def plain_number(col: Column) -> Column:
     """Double -> text without an exponent and without trailing zeros (40.0 -> '40', 1.0E-5 -> '0.00001')."""
-    text = F.abs(col).cast("string")
-    mantissa = F.substring_index(text, "E", 1)
-    exponent = F.when(F.instr(text, "E") > 0, F.substring_index(text, "E", -1).cast("int")).otherwise(F.lit(0))
-    whole = F.substring_index(mantissa, ".", 1)
-    fraction = F.substring_index(mantissa, ".", -1)
-    digits = F.concat(whole, fraction)
-    point = F.length(whole) + exponent          # position of the decimal point inside `digits`
-    padded = F.when(point <= 0, F.concat(F.repeat(F.lit("0"), F.lit(1) - point), digits)).otherwise(
-        F.concat(digits, F.repeat(F.lit("0"), F.greatest(F.lit(0), point - F.length(digits))))
-    )
-    at = F.greatest(point, F.lit(1))
-    left = F.substr(padded, F.lit(1), at)
-    right = F.regexp_replace(F.substr(padded, at + 1, F.length(padded)), "0+$", "")
-    unsigned = F.when(right == "", left).otherwise(F.concat(left, F.lit("."), right))
+    def split(text: Column) -> Column:
+        mantissa = F.substring_index(text, "E", 1)
+        exponent = F.when(F.instr(text, "E") > 0, F.substring_index(text, "E", -1).cast("int")).otherwise(F.lit(0))
+        whole = F.substring_index(mantissa, ".", 1)
+        return F.struct(F.concat(whole, F.substring_index(mantissa, ".", -1)).alias("digits"),
+                        (F.length(whole) + exponent).alias("point"))     # where the decimal point goes in `digits`
+
+    def pad(p: Column) -> Column:
+        before = F.concat(F.repeat(F.lit("0"), F.lit(1) - p["point"]), p["digits"])
+        after = F.concat(p["digits"], F.repeat(F.lit("0"), F.greatest(F.lit(0), p["point"] - F.length(p["digits"]))))
+        at = F.greatest(p["point"], F.lit(1))
+        padded = F.when(p["point"] <= 0, before).otherwise(after)
+        return let(padded, lambda d: F.concat(
+            F.substr(d, F.lit(1), at), F.lit("."), F.substr(d, at + 1, F.length(d))))
+
+    unsigned = F.regexp_replace(let(let(F.abs(col).cast("string"), split), pad), r"\.?0*$", "")
     return F.when(col < 0, F.concat(F.lit("-"), unsigned)).otherwise(unsigned)
 
 
@@ -64,23 +73,27 @@ def point_to_latlon(wkb: Column) -> Column:
     Both byte orders; the SRID is skipped, Z and M are ignored. X is the longitude. An infinite
     coordinate counts as unreadable.
     """
-    text = F.hex(wkb)
-    size = F.length(wkb)
-    order = F.substring(text, 1, 2)
-    little = order == "01"
-    kind = F.conv(_word(text, F.lit(1), 4, little), 16, 10).cast("bigint")
-    has_srid = kind.bitwiseAND(SRID_FLAG) != 0
-    start = F.when(has_srid, F.lit(9)).otherwise(F.lit(5))
-    readable = (
-        order.isin("00", "01")
-        & (size >= 21)
-        & (kind.bitwiseAND(FLAG_MASK) % ISO_DIMENSION_STEP == POINT)
-        & (size >= start + 16)
-    )
-    lon = _double(_word(text, start, 8, little))
-    lat = _double(_word(text, start + 8, 8, little))
-    return F.when(readable & lon.isNotNull() & lat.isNotNull(),
-                  F.concat(plain_number(lat), F.lit(","), plain_number(lon)))
+    def read(text: Column) -> Column:
+        order = F.substring(text, 1, 2)
+        little = order == "01"
+        kind = F.conv(_word(text, F.lit(1), 4, little), 16, 10).cast("bigint")
+        return let(F.struct(order.alias("order"), little.alias("little"), kind.alias("kind")),
+                   lambda h: locate(text, h))
+
+    def locate(text: Column, h: Column) -> Column:
+        start = F.when(h["kind"].bitwiseAND(SRID_FLAG) != 0, F.lit(9)).otherwise(F.lit(5))
+        is_point = h["kind"].bitwiseAND(FLAG_MASK) % ISO_DIMENSION_STEP == POINT
+        size = F.length(text) / 2
+        readable = h["order"].isin("00", "01") & (size >= 21) & is_point
+        return let(F.when(readable & (size >= start + 16), start), lambda at: let(F.struct(
+            _double(_word(text, at, 8, h["little"])).alias("lon"),
+            _double(_word(text, at + 8, 8, h["little"])).alias("lat")), show))
+
+    def show(p: Column) -> Column:
+        return F.when(p["lat"].isNotNull() & p["lon"].isNotNull(),
+                      F.concat(plain_number(p["lat"]), F.lit(","), plain_number(p["lon"])))
+
+    return let(F.hex(wkb), read)
 
 
 def geometry_to_latlon(df: DataFrame, field: str = "location") -> DataFrame:

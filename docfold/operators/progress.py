@@ -43,20 +43,20 @@ def weighted_latency(parts: DataFrame, mean: str, count: str, by: Sequence[str]
 
 
 def stalled(attempts: DataFrame, now: int, timeout_ms: int, by: Sequence[str] = ()) -> DataFrame:
-    """M4: last success and whether the failures since have gone on for longer than the timeout.
+    """M4: last success, the first failure no later success followed, and whether that is longer ago than the timeout.
 
     `attempts`: `at` (epoch millis) and `ok`. A timeout of -1 never stalls.
     """
-    last = attempts.groupBy(*by).agg(
-        F.max(F.when(F.col("ok"), F.col("at"))).alias("last_success"),
-        F.max(F.when(~F.col("ok"), F.col("at"))).alias("last_failure"),
-        F.min(F.when(~F.col("ok"), F.col("at"))).alias("first_failure"))
-    failing = F.col("last_failure").isNotNull() & (
-        F.col("last_success").isNull() | (F.col("last_failure") > F.col("last_success")))
-    since = F.coalesce("last_success", "first_failure")
-    late = F.lit(False) if timeout_ms < 0 else (F.lit(now) - since > timeout_ms)
-    return last.select(*by, F.coalesce("last_success", F.lit(0)).cast("bigint").alias("last_success"),
-                       (failing & late).alias("stalled"))
+    keys = list(by) or ["_all"]
+    rows = attempts if by else attempts.withColumn("_all", F.lit(0))
+    last = rows.groupBy(*keys).agg(F.max(F.when(F.col("ok"), F.col("at"))).alias("last_success"))
+    failures = skew_join(rows.where(~F.col("ok")), last, keys, "inner", spread=["at"])
+    since = failures.where(F.col("last_success").isNull() | (F.col("at") >= F.col("last_success"))) \
+        .groupBy(*keys).agg(F.min("at").alias("failing_since"))
+    late = F.lit(False) if timeout_ms < 0 else F.coalesce(F.lit(now) - F.col("failing_since") > timeout_ms, F.lit(False))
+    return last.join(since, keys, "left").select(
+        *by, F.coalesce("last_success", F.lit(0)).cast("bigint").alias("last_success"),
+        F.col("failing_since").cast("bigint").alias("failing_since"), late.alias("stalled"))
 
 
 def latency_stats(samples: DataFrame, value: str, by: Sequence[str] = (), ranks: Sequence[float] = (0.95, 0.99),
