@@ -18,7 +18,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, functions as F, types as T
 
 from docfold.operators.identity import DELETED
 from docfold.operators.skew import skew_join
@@ -99,17 +99,17 @@ def _fold_entries(entries: DataFrame, keys: list[str]) -> DataFrame:
         F.map_from_entries(F.collect_list(F.when(F.col("name").isNotNull(), item))).alias("fields"))
 
 
-def _explode(df: DataFrame, keys: list[str], fields: Column, base: Column, written: Column) -> DataFrame:
-    """`fields`: array<struct<name, at, value>>. One row per field and one for the id itself."""
-    own = F.struct(F.lit(None).cast("string").alias("name"), base.alias("base"), written.alias("written"))
-    named = F.transform(fields, lambda f: F.struct(f["name"].alias("name"), f["at"].alias("at"), f["value"].alias("value")))
-    both = df.select(*keys, own.alias("_own"), F.explode_outer(
-        F.concat(F.array(F.lit(None)).cast(df.select(named.alias("x")).schema["x"].dataType), named)).alias("_f"))
-    is_own = F.col("_f").isNull()
-    return both.select(*keys, F.col("_f.name").alias("name"), F.col("_f.at").alias("at"),
-                       F.col("_f.value").alias("value"),
-                       F.when(is_own, F.col("_own.base")).alias("base"),
-                       F.when(is_own, F.col("_own.written")).alias("written"))
+def _explode(df: DataFrame, keys: list[str], fields: Column, value_type: T.DataType, base: Column, written: Column) -> DataFrame:
+    """`fields`: array<struct<name, at, value>>, NULL for none. One row per field and one for the id itself."""
+    at_type = df.select(base.alias("b")).schema["b"].dataType
+    none = F.lit(None)
+    own = F.struct(none.cast("string").alias("name"), none.cast(at_type).alias("at"), none.cast(value_type).alias("value"),
+                   base.alias("base"), written.alias("written"))
+    named = F.transform(fields, lambda f: F.struct(
+        f["name"].alias("name"), f["at"].alias("at"), f["value"].alias("value"),
+        none.cast(at_type).alias("base"), none.cast(at_type).alias("written")))
+    rows = F.when(fields.isNull(), F.array(own)).otherwise(F.concat(F.array(own), named))
+    return df.select(*keys, F.explode(rows).alias("_f")).select(*keys, "_f.*")
 
 
 def delta(ops: DataFrame, keys: Sequence[str] = KEYS, order: str = "offset", fields: str = "fields") -> DataFrame:
@@ -122,10 +122,9 @@ def delta(ops: DataFrame, keys: Sequence[str] = KEYS, order: str = "offset", fie
     ops = ops.where((op != "update") | (F.size(fields) > 0))
     carried = F.transform(F.map_entries(F.when(op != "delete", F.col(fields))), lambda e: F.struct(
         e["key"].alias("name"), at.alias("at"), e["value"].alias("value")))
-    empty = F.filter(F.map_entries(F.col(fields)), lambda e: F.lit(False))
-    carried = F.coalesce(carried, F.transform(empty, lambda e: F.struct(
-        e["key"].alias("name"), at.alias("at"), e["value"].alias("value"))))
-    return _fold_entries(_explode(ops, keys, carried, F.when(op != "update", at), F.when(op != "delete", at)), keys)
+    value_type = ops.schema[fields].dataType.valueType
+    return _fold_entries(_explode(
+        ops, keys, carried, value_type, F.when(op != "update", at), F.when(op != "delete", at)), keys)
 
 
 def merge_deltas(deltas: DataFrame, keys: Sequence[str] = KEYS) -> DataFrame:
@@ -134,7 +133,8 @@ def merge_deltas(deltas: DataFrame, keys: Sequence[str] = KEYS) -> DataFrame:
     kept = F.filter(F.map_entries("fields"), lambda e: F.col("base").isNull() | (e["value"]["at"] >= F.col("base")))
     named = F.transform(kept, lambda e: F.struct(
         e["key"].alias("name"), e["value"]["at"].alias("at"), e["value"]["value"].alias("value")))
-    return _fold_entries(_explode(deltas, keys, named, F.col("base"), F.col("written")), keys)
+    value_type = deltas.schema["fields"].dataType.valueType["value"].dataType
+    return _fold_entries(_explode(deltas, keys, named, value_type, F.col("base"), F.col("written")), keys)
 
 
 def documents(deltas: DataFrame, keys: Sequence[str] = KEYS) -> DataFrame:
