@@ -196,15 +196,21 @@ def apply_atomic(target: DataFrame, ops: DataFrame, keys: Sequence[str] = KEYS,
     return joined.select(*keys, merged.alias("fields"))
 
 
-def atomic_rejects(target: DataFrame, ops: DataFrame, keys: Sequence[str] = KEYS, order: str = "offset") -> DataFrame:
-    """The updates refused because their document is missing (or was deleted earlier in the batch)."""
+def atomic_split(target: DataFrame, ops: DataFrame, keys: Sequence[str] = KEYS, order: str = "offset") -> DataFrame:
+    """Every delete and every update that sets something, with `refused` true for an update whose document
+    is missing or was deleted earlier in the batch. One id may have any number of ops, hence the salted join."""
     keys = _keys(ops, keys)
     ends = ops.where(F.col("op") == "delete").groupBy(*keys).agg(F.min(order).alias("_end"))
     known = target.select(*keys).join(ends, keys, "left").withColumn("_known", F.lit(True))
-    updates = ops.where((F.col("op") == "update") & (F.size("fields") > 0))
-    joined = skew_join(updates, known, keys, "left", spread=[*keys, order])
-    refused = F.col("_known").isNull() | (F.col(order) > F.col("_end"))
-    return joined.where(refused).drop("_known", "_end").withColumn("code", F.lit(409))
+    effective = ops.where((F.col("op") == "delete") | (F.size("fields") > 0))
+    joined = skew_join(effective, known, keys, "left", spread=[*keys, order])
+    refused = (F.col("op") == "update") & (F.col("_known").isNull() | F.coalesce(F.col(order) > F.col("_end"), F.lit(False)))
+    return joined.withColumn("refused", refused).drop("_known", "_end")
+
+
+def atomic_rejects(target: DataFrame, ops: DataFrame, keys: Sequence[str] = KEYS, order: str = "offset") -> DataFrame:
+    """The refused updates, with the response code of a version conflict."""
+    return atomic_split(target, ops, keys, order).where("refused").drop("refused").withColumn("code", F.lit(409))
 
 
 def optimistic_batch(target: DataFrame, ops: DataFrame, keys: Sequence[str] = KEYS, version: str = "version") -> DataFrame:

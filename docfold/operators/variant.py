@@ -10,13 +10,16 @@ from collections.abc import Iterable
 
 from pyspark.sql import Column, functions as F
 
-from docfold.functions.arrays import group_entries
+from docfold.functions.arrays import group_entries, let
 from docfold.operators.flatten import MAP_KEY, MAP_VALUE
 
 # Nesting the JSON parser accepts.
 MAX_JSON_DEPTH = 1000
 
-_ITEMS = "array<struct<name:string,v:variant>>"
+# Levels written out in the plan; records nested deeper go on in a loop inside the row.
+WRITTEN_OUT = 8
+
+_ITEMS = "array<struct<name:string,v:variant,leaf:boolean>>"
 
 
 def _as_object(v: Column) -> Column:
@@ -27,12 +30,8 @@ def _as_list(v: Column) -> Column:
     return F.try_variant_get(v, "$", "array<variant>")
 
 
-def _is_composite(v: Column) -> Column:
-    return _as_object(v).isNotNull() | _as_list(v).isNotNull()
-
-
 def _item(name: Column, v: Column) -> Column:
-    return F.struct(name.alias("name"), v.alias("v"))
+    return F.struct(name.alias("name"), v.alias("v"), (_as_object(v).isNull() & _as_list(v).isNull()).alias("leaf"))
 
 
 def _expand(item: Column, compact: bool) -> Column:
@@ -46,7 +45,29 @@ def _expand(item: Column, compact: bool) -> Column:
             _item(F.concat(name, F.lit("." + MAP_KEY)), e["key"].cast("variant")),
             _item(F.concat(name, F.lit("." + MAP_VALUE)), e["value"]))))
     elements = F.transform(F.filter(_as_list(v), lambda x: ~F.is_variant_null(x)), lambda x: _item(name, x))
-    return F.coalesce(members.cast(_ITEMS), elements.cast(_ITEMS), F.array(item).cast(_ITEMS))
+    return F.when(item["leaf"], F.array(item)).otherwise(F.coalesce(members, elements))
+
+
+def _is_open(items: Column) -> Column:
+    return F.exists(items, lambda i: ~i["leaf"])
+
+
+def _grow(items: Column, compact: bool) -> Column:
+    return F.flatten(F.transform(items, lambda i: _expand(i, compact))).cast(_ITEMS)
+
+
+def _grow_to_leaves(items: Column, value: Column, compact: bool) -> Column:
+    """Expand until nothing is open: at most one round per opening bracket of the record."""
+    text = F.to_json(value)
+    brackets = F.length(text) - F.length(F.translate(text, "{[", ""))
+    rounds = F.sequence(F.lit(0), F.least(brackets, F.lit(MAX_JSON_DEPTH)))
+    return F.aggregate(rounds, items, lambda acc, _: F.when(_is_open(acc), _grow(acc, compact)).otherwise(acc))
+
+
+def _leaf_text(v: Column) -> Column:
+    """Scalar -> text. A number written with a fraction or an exponent is a double."""
+    decimal = F.schema_of_variant(v).startswith("DECIMAL")
+    return F.when(decimal, F.try_variant_get(v, "$", "double").cast("string")).otherwise(F.try_variant_get(v, "$", "string"))
 
 
 def variant_entries(value: Column, compact: bool = True, reserved: Iterable[str] = ("id",)) -> Column:
@@ -58,23 +79,12 @@ def variant_entries(value: Column, compact: bool = True, reserved: Iterable[str]
     top = F.map_entries(_as_object(value))
     if skip:
         top = F.filter(top, lambda e: ~e["key"].isin(skip))
-    start = F.transform(top, lambda e: _item(e["key"], e["value"])).cast(_ITEMS)
-
-    def state(items: Column) -> Column:
-        return F.struct((~F.exists(items, lambda i: _is_composite(i["v"]))).alias("done"), items.alias("items"))
-
-    def step(acc: Column, _: Column) -> Column:
-        grown = F.flatten(F.transform(acc["items"], lambda i: _expand(i, compact))).cast(_ITEMS)
-        return F.when(acc["done"], acc).otherwise(state(grown))
-
-    # At most one level per opening bracket, so flat records run no step at all.
-    text = F.to_json(value)
-    brackets = F.length(text) - F.length(F.translate(text, "{[", ""))
-    rounds = F.sequence(F.lit(0), F.least(brackets, F.lit(MAX_JSON_DEPTH)))
-    folded = F.aggregate(rounds, state(start), step)
-    return F.transform(folded["items"], lambda i: F.struct(
-        i["name"].alias("name"),
-        F.when(~F.is_variant_null(i["v"]), F.try_variant_get(i["v"], "$", "string")).alias("value")))
+    items = F.transform(top, lambda e: _item(e["key"], e["value"])).cast(_ITEMS)
+    for _ in range(WRITTEN_OUT):
+        items = let(items, lambda x: F.when(_is_open(x), _grow(x, compact)).otherwise(x))
+    items = let(items, lambda x: F.when(_is_open(x), _grow_to_leaves(x, value, compact)).otherwise(x))
+    return F.transform(items, lambda i: F.struct(
+        i["name"].alias("name"), F.when(~F.is_variant_null(i["v"]), _leaf_text(i["v"])).alias("value")))
 
 
 def variant_fields(value: Column, compact: bool = True, reserved: Iterable[str] = ("id",),

@@ -332,7 +332,7 @@ def weighted_latency(spark, sf):
     return out.withColumn("mean_ms", F.round("mean_ms", 6))
 
 
-@query("q_stalled", """WITH a AS (SELECT user_id, event_type <> 'error' AS ok, epoch_ms(ts) AS t FROM events),
+@query("q_stalled", """WITH a AS (SELECT user_id, event_type <> 'error' AS ok, epoch_us(ts) // 1000 AS t FROM events),
 l AS (SELECT user_id, max(t) FILTER (WHERE ok) AS last_success FROM a GROUP BY user_id),
 f AS (SELECT a.user_id, min(t) AS failing_since FROM a JOIN l USING (user_id) WHERE NOT ok AND (last_success IS NULL OR t >= last_success) GROUP BY 1)
 SELECT user_id, coalesce(last_success, 0) AS last_success, failing_since, coalesce(1706659200000 - failing_since > 86400000, false) AS stalled
