@@ -119,12 +119,13 @@ def delta(ops: DataFrame, keys: Sequence[str] = KEYS, order: str = "offset", fie
     """
     keys = _keys(ops, keys)
     at, op = F.col(order), F.col("op")
-    ops = ops.where((op != "update") | (F.size(fields) > 0))
     carried = F.transform(F.map_entries(F.when(op != "delete", F.col(fields))), lambda e: F.struct(
         e["key"].alias("name"), at.alias("at"), e["value"].alias("value")))
     value_type = ops.schema[fields].dataType.valueType
+    # No filter on `fields`: it would be pushed below, and the record would be flattened once more for it.
+    writes = (op == "replace") | ((op == "update") & (F.size(fields) > 0))
     return _fold_entries(_explode(
-        ops, keys, carried, value_type, F.when(op != "update", at), F.when(op != "delete", at)), keys)
+        ops, keys, carried, value_type, F.when(op != "update", at), F.when(writes, at)), keys)
 
 
 def merge_deltas(deltas: DataFrame, keys: Sequence[str] = KEYS) -> DataFrame:
@@ -142,6 +143,7 @@ def documents(deltas: DataFrame, keys: Sequence[str] = KEYS) -> DataFrame:
 
     An id whose last field was cleared stays as a document with no field.
     """
+    # An id that only had no-op updates has neither mark.
     exists = F.col("written").isNotNull() & (F.col("base").isNull() | (F.col("written") >= F.col("base")))
     alive = F.map_filter("fields", lambda k, v: v["value"].isNotNull() & (
         F.col("base").isNull() | (v["at"] >= F.col("base"))))

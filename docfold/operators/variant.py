@@ -26,6 +26,11 @@ def _as_object(v: Column) -> Column:
     return F.try_variant_get(v, "$", "map<string,variant>")
 
 
+def is_object(v: Column) -> Column:
+    """Whether a record's value is a document at all; needs no flattening."""
+    return F.coalesce(_as_object(v).isNotNull(), F.lit(False))
+
+
 def _as_list(v: Column) -> Column:
     return F.try_variant_get(v, "$", "array<variant>")
 
@@ -64,31 +69,52 @@ def _grow_to_leaves(items: Column, value: Column, compact: bool) -> Column:
     return F.aggregate(rounds, items, lambda acc, _: F.when(_is_open(acc), _grow(acc, compact)).otherwise(acc))
 
 
+def _expand_all(items: Column, value: Column, compact: bool, levels: int) -> Column:
+    """Nested conditionals: a record is looked at once per level it really has."""
+    if levels == 0:
+        deeper = _grow_to_leaves(items, value, compact)
+    else:
+        deeper = let(_grow(items, compact), lambda x: _expand_all(x, value, compact, levels - 1))
+    return F.when(_is_open(items), deeper).otherwise(items)
+
+
 def _leaf_text(v: Column) -> Column:
     """Scalar -> text. A number written with a fraction or an exponent is a double."""
     decimal = F.schema_of_variant(v).startswith("DECIMAL")
     return F.when(decimal, F.try_variant_get(v, "$", "double").cast("string")).otherwise(F.try_variant_get(v, "$", "string"))
 
 
+def _text_or_null(v: Column) -> Column:
+    return F.when(~F.is_variant_null(v), _leaf_text(v))
+
+
+def _without(members: Column, reserved: Iterable[str]) -> Column:
+    skip = list(reserved)
+    return F.map_filter(members, lambda k, _: ~k.isin(skip)) if skip else members
+
+
+def _entries(members: Column, value: Column, compact: bool) -> Column:
+    items = F.transform(F.map_entries(members), lambda e: _item(e["key"], e["value"])).cast(_ITEMS)
+    items = let(items, lambda x: _expand_all(x, value, compact, WRITTEN_OUT))
+    return F.transform(items, lambda i: F.struct(i["name"].alias("name"), _text_or_null(i["v"]).alias("value")))
+
+
 def variant_entries(value: Column, compact: bool = True, reserved: Iterable[str] = ("id",)) -> Column:
     """Leaves of a JSON object as array<struct<name, value string>>; a JSON null keeps its name with NULL.
 
     Anything but an object gives NULL: the record is malformed.
     """
-    skip = list(reserved)
-    top = F.map_entries(_as_object(value))
-    if skip:
-        top = F.filter(top, lambda e: ~e["key"].isin(skip))
-    items = F.transform(top, lambda e: _item(e["key"], e["value"])).cast(_ITEMS)
-    for _ in range(WRITTEN_OUT):
-        items = let(items, lambda x: F.when(_is_open(x), _grow(x, compact)).otherwise(x))
-    items = let(items, lambda x: F.when(_is_open(x), _grow_to_leaves(x, value, compact)).otherwise(x))
-    return F.transform(items, lambda i: F.struct(
-        i["name"].alias("name"), F.when(~F.is_variant_null(i["v"]), _leaf_text(i["v"])).alias("value")))
+    return _entries(_without(_as_object(value), reserved), value, compact)
 
 
 def variant_fields(value: Column, compact: bool = True, reserved: Iterable[str] = ("id",),
                    partial: bool = False) -> Column:
     """JSON object -> map<field name, array<string>>. Partial: a name that holds only nulls is carried as NULL."""
-    grouped = group_entries(variant_entries(value, compact, reserved))
-    return grouped if partial else F.map_filter(grouped, lambda k, v: v.isNotNull())
+    def to_fields(members: Column) -> Column:
+        # A record without nesting has every name once, and nothing to expand or group.
+        nested = F.exists(F.map_values(members), lambda v: _as_object(v).isNotNull() | _as_list(v).isNotNull())
+        flat = F.transform_values(members, lambda k, v: F.when(~F.is_variant_null(v), F.array(_leaf_text(v))))
+        return F.when(nested, group_entries(_entries(members, value, compact))).otherwise(flat)
+
+    fields = let(_without(_as_object(value), reserved), to_fields)
+    return fields if partial else F.map_filter(fields, lambda k, v: v.isNotNull())

@@ -7,7 +7,7 @@ from pyspark.sql import functions as F, types as T
 from docfold.functions.encode import utf16_bytes
 from docfold.operators import fold, progress, segment, triage
 from docfold.operators.identity import document_id
-from docfold.operators.variant import variant_fields
+from docfold.operators.variant import is_object, variant_fields
 from docfold.options import FoldOptions
 from docfold.plans import demo
 from docfold.plans.registry import query
@@ -256,8 +256,8 @@ _REASON = "CASE event_type WHEN 'view' THEN 'missing id' WHEN 'click' THEN 'unsu
 @query("q_malformed", f"""SELECT event_id AS "offset", {_REASON} AS reason FROM events WHERE event_type <> 'error'""")
 def malformed(spark, sf):
     rows = _questionable(spark, sf)
-    fields = variant_fields(decode_json(F.col("value")))
-    return rows.select("offset", triage.malformed_reason(document_id(rows.schema, FoldOptions()), fields.isNotNull()).alias("reason"))
+    is_document = is_object(decode_json(F.col("value")))
+    return rows.select("offset", triage.malformed_reason(document_id(rows.schema, FoldOptions()), is_document).alias("reason"))
 
 
 @query("q_dead_letter", f"""SELECT 'events-' || event_type AS topic, CAST(user_id % 4 AS INTEGER) AS "partition", event_id AS "offset",
@@ -266,8 +266,8 @@ def malformed(spark, sf):
 FROM events WHERE event_type IN ('view', 'click')""")
 def dead_letter(spark, sf):
     rows = _questionable(spark, sf)
-    fields = variant_fields(decode_json(F.col("value")))
-    marked = rows.withColumn("reason", triage.malformed_reason(document_id(rows.schema, FoldOptions()), fields.isNotNull()))
+    is_document = is_object(decode_json(F.col("value")))
+    marked = rows.withColumn("reason", triage.malformed_reason(document_id(rows.schema, FoldOptions()), is_document))
     _, dead = triage.split_malformed(marked, "warn")
     return dead.select("topic", "partition", "offset", "key", "value", "reason")
 

@@ -5,13 +5,13 @@ Nothing here is cut down: every frame covers its whole table.
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, SparkSession, functions as F
+from pyspark.sql import Column, DataFrame, SparkSession, functions as F, types as T
 
 from docfold.functions.encode import iso_instant
 from docfold.sources.tables import table
 
 # Fixed values of the mapping.
-ACTIONABLE = ("O", "P")
+ACTIONABLE = (1, 2, 4)
 ARRIVAL_STEP, ARRIVAL_PRIME = 7919, 1000003
 
 
@@ -109,40 +109,42 @@ def customer_records(spark: SparkSession, sf: str) -> DataFrame:
     )
 
 
-def order_records(spark: SparkSession, sf: str) -> DataFrame:
-    """Orders with their line items as an array of structs (a line without a return loses its tax)."""
-    li = table(spark, sf, "lineitem")
-    item = F.struct(
-        F.col("l_linenumber").alias("line"), F.col("l_partkey").alias("part"), F.col("l_quantity").alias("qty"),
-        F.when(F.col("l_returnflag") != "N", F.col("l_returnflag")).alias("flag"))
-    # One order's lines are one document, so the list is bounded by the document.
-    return li.groupBy(F.col("l_orderkey").alias("id")).agg(F.array_sort(F.collect_list(item)).alias("lines"))
+def text_records(spark: SparkSession, sf: str) -> DataFrame:
+    """Documents as nested records, whole text: one struct per text line. Even-sized lines have no `tag`.
+
+    The list is made inside the row, so no record's children are gathered by a shuffle.
+    """
+    d = table(spark, sf, "documents")
+    size = F.length
+    line = lambda x, i: F.struct(
+        i.alias("pos"), size(x).cast("bigint").alias("chars"), (size(x) / F.lit(2)).alias("half"),
+        F.when(size(x) % 2 == 1, F.concat(F.lit("t"), (size(x) % 7).cast("string"))).alias("tag"))
+    return d.select(F.col("doc_id").alias("id"), F.transform(F.split("text", "\n"), line).alias("lines"))
 
 
-def order_maps(spark: SparkSession, sf: str) -> DataFrame:
-    """Per order: quantity by return flag as a map; flag N carries a NULL."""
-    li = table(spark, sf, "lineitem")
-    per_flag = li.groupBy("l_orderkey", "l_returnflag").agg(F.sum("l_quantity").cast("bigint").alias("q"))
-    qty = F.when(F.col("l_returnflag") != "N", F.col("q"))
-    return per_flag.groupBy(F.col("l_orderkey").alias("id")).agg(
-        F.map_from_entries(F.array_sort(F.collect_list(F.struct(F.col("l_returnflag").alias("key"), qty.alias("value"))))).alias("by_flag"))
+def text_maps(spark: SparkSession, sf: str) -> DataFrame:
+    """Documents with an open map: language -> size, source -> id, and a key that carries a NULL."""
+    d = table(spark, sf, "documents")
+    return d.select(F.col("doc_id").alias("id"), F.create_map(
+        "lang", "n_chars", F.lit("none"), F.lit(None).cast("bigint"), "source", "doc_id").alias("attrs"))
 
 
-def customer_documents(spark: SparkSession, sf: str) -> DataFrame:
-    """Customers as search documents: orders as children, their source JSON and the derived latest date."""
+def order_parents(spark: SparkSession, sf: str) -> DataFrame:
+    """Orders as search documents with three promises each, their source JSON and the derived latest date."""
     from docfold.operators.search import latest_actionable
 
-    c, o = table(spark, sf, "customer"), table(spark, sf, "orders")
-    child = F.struct(
-        iso_instant(F.col("o_orderdate"), o.schema["o_orderdate"].dataType).alias("at"), F.col("o_orderkey").alias("id"),
-        F.col("o_orderstatus").alias("status"))
-    per = o.groupBy("o_custkey").agg(F.array_sort(F.collect_list(child)).alias("orders"))
-    docs = c.join(per, F.col("c_custkey") == F.col("o_custkey"), "left")
+    o = table(spark, sf, "orders")
+    key = F.col("o_orderkey")
+    promise = lambda k: F.struct(
+        (key * 3 + k).alias("id"), ((key + k) % 6 + 1).cast("int").alias("status"),
+        iso_instant(F.col("o_orderdate") + F.make_dt_interval(hours=((key + k) % 24).cast("int")), T.TimestampNTZType()).alias("created_at"))
+    docs = o.select(key.alias("id"), F.col("o_orderstatus").alias("state"), (key % 50 + 150).alias("height"),
+                    F.transform(F.sequence(F.lit(0), F.lit(2)), promise).alias("promises"))
+    actionable = F.filter("promises", lambda c: c["status"].isin(list(ACTIONABLE)))
     return docs.select(
-        F.col("c_custkey").alias("id"), "c_name", "c_mktsegment", "c_acctbal", "orders",
-        F.to_json(F.struct(F.col("c_custkey").alias("id"), F.coalesce("orders", F.array().cast("array<struct<at:string,id:bigint,status:string>>")).alias("orders"))).alias("_src"),
-        latest_actionable(F.col("orders"), "status", "at", ACTIONABLE).alias("latest_at"),
-        F.size(F.coalesce("orders", F.array().cast("array<struct<at:string,id:bigint,status:string>>"))).cast("bigint").alias("orders_total"))
+        "*", F.to_json(F.struct("id", "promises")).alias("_src"),
+        F.size(actionable).cast("bigint").alias("actionable_total"),
+        latest_actionable(F.col("promises"), "status", "created_at", ACTIONABLE).alias("promises_latest_actionable_at"))
 
 
 def customer_location(key: Column) -> tuple[Column, Column]:

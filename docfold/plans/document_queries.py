@@ -15,7 +15,16 @@ from docfold.plans import demo
 from docfold.plans.registry import query
 from docfold.sources.tables import table
 
-_ORDERED = "ORDER BY l_linenumber, l_partkey, l_quantity, l_returnflag"
+# Lengths of the text lines of every document.
+_LINES = "l AS (SELECT doc_id AS id, [length(x) for x in string_split(text, chr(10))] AS n FROM documents)"
+
+
+def _joined(values: str) -> str:
+    """A list as the text `array_join` gives, NULL for an empty one."""
+    return f"nullif(array_to_string({values}, ','), '')"
+
+
+_TAGS = "['t' || (x % 7) for x in n if x % 2 = 1]"
 
 
 def _long(df, fields):
@@ -40,70 +49,58 @@ def null_elision(spark, sf):
     return rows.select("id", F.array_join(F.map_keys(fields_map(leaves(rows.schema))), ",").alias("names"))
 
 
-@query("q_flatten_array", f"""SELECT l_orderkey AS id,
-  string_agg(CASE WHEN l_returnflag <> 'N' THEN l_returnflag END, ',' {_ORDERED}) AS flags
-FROM lineitem GROUP BY l_orderkey""")
+@query("q_flatten_array", f"WITH {_LINES} SELECT id, {_joined(_TAGS)} AS tags FROM l")
 def flatten_array(spark, sf):
-    rows = demo.order_records(spark, sf).select("id", F.col("lines.flag").alias("flags"))
-    return flatten(rows, keep=["id"]).select("id", F.array_join("flags", ",").alias("flags"))
+    rows = demo.text_records(spark, sf).select("id", F.col("lines.tag").alias("tags"))
+    return flatten(rows, keep=["id"]).select("id", F.array_join("tags", ",").alias("tags"))
 
 
-@query("q_flatten_struct_array", f"""SELECT l_orderkey AS id, string_agg(l_linenumber, ',' {_ORDERED}) AS "lines.line",
-  string_agg(l_partkey, ',' {_ORDERED}) AS "lines.part",
-  string_agg(CAST(l_quantity AS BIGINT), ',' {_ORDERED}) AS "lines.qty",
-  string_agg(CASE WHEN l_returnflag <> 'N' THEN l_returnflag END, ',' {_ORDERED}) AS "lines.flag"
-FROM lineitem GROUP BY l_orderkey""")
+@query("q_flatten_struct_array", f"""WITH {_LINES} SELECT id, {_joined("range(len(n))")} AS "lines.pos", {_joined("n")} AS "lines.chars",
+  {_joined("[x / 2 for x in n]")} AS "lines.half", {_joined(_TAGS)} AS "lines.tag" FROM l""")
 def flatten_struct_array(spark, sf):
-    flat = flatten(demo.order_records(spark, sf), keep=["id"]).withColumn("lines.qty", F.col("`lines.qty`").cast("array<bigint>"))
+    flat = flatten(demo.text_records(spark, sf), keep=["id"])
     return flat.select("id", *[F.array_join(f"`{c}`", ",").alias(c) for c in flat.columns if c != "id"])
 
 
-@query("q_flatten_map_array", f"""SELECT l_orderkey AS id, 'by_line.' || l_returnflag AS field,
-  string_agg(l_partkey, ',' {_ORDERED}) AS vals
-FROM lineitem GROUP BY l_orderkey, l_returnflag""")
+@query("q_flatten_map_array", f"""WITH {_LINES}, k AS (
+  SELECT id, 'by_line.even' AS field, {_joined("[x for x in n if x % 2 = 0]")} AS vals FROM l
+  UNION ALL SELECT id, 'by_line.odd', {_joined("[x for x in n if x % 2 = 1]")} FROM l)
+SELECT * FROM k WHERE vals IS NOT NULL""")
 def flatten_map_array(spark, sf):
-    rows = demo.order_records(spark, sf).select("id", F.transform("lines", lambda x: F.create_map(
-        F.coalesce(x["flag"], F.lit("N")), x["part"])).alias("by_line"))
+    rows = demo.text_records(spark, sf).select("id", F.transform("lines", lambda x: F.create_map(
+        F.when(x["tag"].isNull(), F.lit("even")).otherwise(F.lit("odd")), x["chars"])).alias("by_line"))
     return _long(rows, fields_map(leaves(rows.schema)))
 
 
-@query("q_flatten_map_compact", """SELECT l_orderkey AS id, 'by_flag.' || l_returnflag AS field,
-  CAST(CAST(sum(l_quantity) AS BIGINT) AS VARCHAR) AS vals
-FROM lineitem WHERE l_returnflag <> 'N' GROUP BY l_orderkey, l_returnflag""")
+@query("q_flatten_map_compact", """SELECT doc_id AS id, 'attrs.' || lang AS field, CAST(n_chars AS VARCHAR) AS vals FROM documents
+UNION ALL SELECT doc_id, 'attrs.' || source, CAST(doc_id AS VARCHAR) FROM documents""")
 def flatten_map_compact(spark, sf):
-    rows = demo.order_maps(spark, sf)
+    rows = demo.text_maps(spark, sf)
     return _long(rows, fields_map(leaves(rows.schema)))
 
 
-@query("q_flatten_map_kv", """WITH m AS (
-  SELECT l_orderkey, l_returnflag, CAST(sum(l_quantity) AS BIGINT) AS q FROM lineitem GROUP BY ALL)
-SELECT l_orderkey AS id, string_agg(CASE WHEN l_returnflag <> 'N' THEN l_returnflag END, ',' ORDER BY l_returnflag) AS "by_flag.key",
-  string_agg(CASE WHEN l_returnflag <> 'N' THEN q END, ',' ORDER BY l_returnflag) AS "by_flag.value"
-FROM m GROUP BY l_orderkey""")
+@query("q_flatten_map_kv", """SELECT doc_id AS id, lang || ',' || source AS "attrs.key", n_chars || ',' || doc_id AS "attrs.value" FROM documents""")
 def flatten_map_kv(spark, sf):
-    flat = flatten(demo.order_maps(spark, sf), keep=["id"], compact=False)
+    flat = flatten(demo.text_maps(spark, sf), keep=["id"], compact=False)
     return flat.select("id", *[F.array_join(f"`{c}`", ",").alias(c) for c in flat.columns if c != "id"])
 
 
-@query("q_flatten_nested_array", f"""SELECT l_orderkey AS id,
-  string_agg(l_linenumber || ',' || l_partkey, ',' {_ORDERED}) AS pairs FROM lineitem GROUP BY l_orderkey""")
+@query("q_flatten_nested_array", f"""WITH {_LINES} SELECT id,
+  {_joined("[(i || ',' || n[i + 1]) for i in range(len(n))]")} AS pairs FROM l""")
 def flatten_nested_array(spark, sf):
-    rows = demo.order_records(spark, sf).select("id", F.transform("lines", lambda x: F.array(
-        x["line"].cast("bigint"), F.lit(None).cast("bigint"), x["part"])).alias("pairs"))
+    rows = demo.text_records(spark, sf).select("id", F.transform("lines", lambda x: F.array(
+        x["pos"].cast("bigint"), F.lit(None).cast("bigint"), x["chars"])).alias("pairs"))
     return flatten(rows, keep=["id"]).select("id", F.array_join("pairs", ",").alias("pairs"))
 
 
-@query("q_flatten_variant", f"""WITH l AS (
-  SELECT l_orderkey AS id,
-    string_agg(l_linenumber, ',' {_ORDERED}) AS a, string_agg(l_partkey, ',' {_ORDERED}) AS b,
-    string_agg(CASE WHEN l_returnflag <> 'N' THEN l_returnflag END, ',' {_ORDERED}) AS c
-  FROM lineitem GROUP BY l_orderkey)
-SELECT id, 'lines.line' AS field, a AS vals FROM l UNION ALL SELECT id, 'lines.part', b FROM l
-UNION ALL SELECT id, 'lines.flag', c FROM l WHERE c IS NOT NULL
-UNION ALL SELECT id, 'deep.a.b.c', CAST(id AS VARCHAR) || ',x,y' FROM l""")
+@query("q_flatten_variant", f"""WITH {_LINES}, k AS (
+  SELECT id, 'lines.pos' AS field, {_joined("range(len(n))")} AS vals FROM l UNION ALL SELECT id, 'lines.chars', {_joined("n")} FROM l
+  UNION ALL SELECT id, 'lines.tag', {_joined(_TAGS)} FROM l
+  UNION ALL SELECT id, 'deep.a.b.c', CAST(id AS VARCHAR) || ',x,y' FROM l)
+SELECT * FROM k WHERE vals IS NOT NULL""")
 def flatten_variant(spark, sf):
-    rows = demo.order_records(spark, sf)
-    line = F.transform("lines", lambda x: F.struct(x["line"].alias("line"), x["part"].alias("part"), x["flag"].alias("flag")))
+    rows = demo.text_records(spark, sf)
+    line = F.transform("lines", lambda x: F.struct(x["pos"].alias("pos"), x["chars"].alias("chars"), x["tag"].alias("tag")))
     deep = F.concat(F.lit('{"a":[{"b":{"c":['), F.col("id").cast("string"), F.lit(',["x"],null]}},null,{"b":{"c":"y"}}]}'))
     text = F.concat(F.lit('{"id":1,"empty":[],"lines":'), F.to_json(line, {"ignoreNullFields": "false"}),
                     F.lit(',"deep":'), deep, F.lit("}"))
@@ -187,36 +184,35 @@ def _usage(df):
     return df.select(names.alias("name")).groupBy("name").agg(F.count(F.lit(1)).alias("documents"))
 
 
-@query("q_field_catalog", """SELECT * FROM (
-  SELECT 'lines.line' AS name, 'pint' AS type, true AS multi_valued, false AS dynamic, count(DISTINCT l_orderkey) AS documents FROM lineitem
-  UNION ALL SELECT 'lines.part', 'plong', true, false, count(DISTINCT l_orderkey) FROM lineitem
-  UNION ALL SELECT 'lines.qty', 'pdouble', true, false, count(DISTINCT l_orderkey) FROM lineitem
-  UNION ALL SELECT 'lines.flag', 'string', true, false, count(DISTINCT l_orderkey) FROM lineitem WHERE l_returnflag <> 'N')""")
+@query("q_field_catalog", f"""WITH {_LINES}
+SELECT 'lines.pos' AS name, 'pint' AS type, true AS multi_valued, false AS dynamic, count(*) AS documents FROM l
+UNION ALL SELECT 'lines.chars', 'plong', true, false, count(*) FROM l UNION ALL SELECT 'lines.half', 'pdouble', true, false, count(*) FROM l
+UNION ALL SELECT 'lines.tag', 'string', true, false, count(*) FROM l WHERE len({_TAGS}) > 0""")
 def field_catalog_query(spark, sf):
-    rows = demo.order_records(spark, sf)
+    rows = demo.text_records(spark, sf)
     catalog = field_catalog(spark, rows.drop("id").schema)
     return catalog.join(_usage(rows), "name", "left")
 
 
-@query("q_field_catalog_map", """SELECT 'by_flag.*' AS name, 'plong' AS type, true AS multi_valued, true AS dynamic,
-  count(DISTINCT l_orderkey) AS documents, count(DISTINCT l_returnflag) AS keys FROM lineitem WHERE l_returnflag <> 'N'""")
+@query("q_field_catalog_map", """SELECT 'attrs.*' AS name, 'plong' AS type, true AS multi_valued, true AS dynamic,
+  (SELECT count(*) FROM documents) AS documents, count(DISTINCT k) AS keys FROM (SELECT lang AS k FROM documents UNION ALL SELECT source FROM documents)""")
 def field_catalog_map(spark, sf):
-    rows = demo.order_maps(spark, sf)
+    rows = demo.text_maps(spark, sf)
     catalog = field_catalog(spark, rows.drop("id").schema)
     flat = flatten(rows, keep=["id"])
-    used = flat.select(F.lit("by_flag.*").alias("name"), F.map_keys("`by_flag.*`").alias("k")).where(F.size("k") > 0)
+    used = flat.select(F.lit("attrs.*").alias("name"), F.map_keys("`attrs.*`").alias("k")).where(F.size("k") > 0)
     counts = used.groupBy("name").agg(F.count(F.lit(1)).alias("documents"))
     keys = used.select("name", F.explode("k").alias("k")).groupBy("name").agg(F.count_distinct("k").alias("keys"))
     return catalog.join(counts, "name", "left").join(keys, "name", "left")
 
 
-@query("q_schema_evolve", """SELECT 'lines.flag' AS name, 'string' AS type, true AS multi_valued, false AS dynamic,
-  count(DISTINCT l_orderkey) AS documents FROM lineitem WHERE l_returnflag <> 'N'
-UNION ALL SELECT 'lines.qty', 'pdouble', true, false, count(DISTINCT l_orderkey) FROM lineitem""")
+@query("q_schema_evolve", f"""WITH {_LINES}
+SELECT 'lines.tag' AS name, 'string' AS type, true AS multi_valued, false AS dynamic, count(*) AS documents FROM l WHERE len({_TAGS}) > 0
+UNION ALL SELECT 'lines.half', 'pdouble', true, false, count(*) FROM l""")
 def schema_evolve(spark, sf):
-    rows = demo.order_records(spark, sf)
+    rows = demo.text_records(spark, sf)
     before = rows.select(F.transform("lines", lambda x: F.struct(
-        x["line"].cast("string").alias("line"), x["part"].alias("part"))).alias("lines"))
+        x["pos"].cast("string").alias("pos"), x["chars"].alias("chars"))).alias("lines"))
     known = field_catalog(spark, before.schema)
     needed = field_catalog(spark, rows.drop("id").schema)
     grown = evolve(known, needed, FoldOptions(schema_auto_evolve=True))

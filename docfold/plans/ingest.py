@@ -10,7 +10,7 @@ from docfold.operators import triage
 from docfold.operators.flatten import effective, fields_map, leaves
 from docfold.operators.identity import (
     DELETED, delete_id, document_id, reserved_names, route, source_json, stamps)
-from docfold.operators.variant import variant_fields
+from docfold.operators.variant import is_object, variant_fields
 from docfold.options import FoldOptions
 from docfold.sources.changes import decode_json
 
@@ -40,27 +40,34 @@ def convert(changes: DataFrame, options: FoldOptions = FoldOptions()) -> Convert
         rows = rows.withColumn("_value", F.col("value"))
     if isinstance(dtype, T.VariantType):
         fields = variant_fields(F.col("_value"), options.compact_map_entries, reserved, options.partial)
+        is_document = is_object(F.col("_value"))
     elif isinstance(dtype, T.StructType):
         found = leaves(dtype, F.col("_value"), options.compact_map_entries, reserved, options.partial)
         fields = F.when(F.col("_value").isNotNull(), fields_map(found, options.partial))
+        is_document = F.col("_value").isNotNull()
     else:
         fields = F.lit(None).cast("map<string,array<string>>")
+        is_document = F.lit(False)
 
     schema = rows.schema
     gone = F.col("value").isNull()
     soft = bool(options.offset_version_field)
     rows = rows.select(
         "*", route(F.col("topic"), options).alias("collection"),
-        F.when(gone, delete_id(schema)).otherwise(document_id(schema, options, "_value")).alias("id"), fields.alias("fields"))
+        F.when(gone, delete_id(schema)).otherwise(document_id(schema, options, "_value")).alias("id"))
     # A delete without a key cannot name its document; it is skipped, not malformed.
     rows = rows.where(~(gone & F.col("id").isNull()))
     source_ok = None
     if options.source_field:
         rows = rows.withColumn("_source", source_json(F.col("_value"), dtype, options.source_exclude_fields))
         source_ok = F.col("_source").isNotNull()
-    reason = triage.malformed_reason(F.col("id"), F.col("fields").isNotNull(), source_ok)
+    reason = triage.malformed_reason(F.col("id"), is_document, source_ok)
     rows = rows.withColumn("reason", F.when(~gone, reason))
     good, dead = triage.split_malformed(rows, options.behavior_on_malformed_documents)
+    # Flatten once: a filter on the result would be pushed down and flatten again, a generator is not.
+    stamped_only = bool(options.mapping_version)
+    wanted = F.filter(F.array(fields), lambda f: f.isNull() | effective(f, options.partial, stamped_only))
+    good = good.withColumn("fields", F.explode(wanted))
 
     extra = [(name, col) for name, col in stamps(changes.schema, options).items() if name != "_version_"]
     if options.source_field:
@@ -78,7 +85,7 @@ def convert(changes: DataFrame, options: FoldOptions = FoldOptions()) -> Convert
         body, op = F.when(gone, marker).otherwise(stamped), F.lit("replace")
     else:
         body, op = F.when(~gone, stamped), F.when(gone, F.lit("delete")).otherwise(F.lit(write))
-    ops = good.where(gone | effective(F.col("fields"), options.partial, bool(options.mapping_version))).select(
+    ops = good.select(
         "collection", "id", op.alias("op"), "topic", "partition", "offset", version.alias("version"), body.alias("fields"))
     return Converted(ops, dead.select(*record_columns, "reason"))
 

@@ -174,11 +174,10 @@ def source_exclude(spark, sf):
         F.parse_json(text), T.VariantType(), ("custom_field_", "funnel_lead_")).alias("_src"))
 
 
-@query("q_doc_bytes", """SELECT l_orderkey AS id, CAST(16 + 4 + 2 * length(CAST(l_orderkey AS VARCHAR))
-  + count(*) * (3 * 16 + 2 * length('lines.line') + 2 * length('lines.part') + 2 * length('lines.qty'))
-  + count(*) FILTER (WHERE l_returnflag <> 'N') * (2 * length('lines.flag') + 2) AS BIGINT) AS bytes
-FROM lineitem GROUP BY l_orderkey""")
+@query("q_doc_bytes", """WITH l AS (SELECT doc_id, [length(x) for x in string_split(text, chr(10))] AS n FROM documents)
+SELECT doc_id AS id, CAST(16 + 4 + 2 * length(CAST(doc_id AS VARCHAR)) + len(n) * (3 * 16 + 2 * (length('lines.pos') + length('lines.chars') + length('lines.half')))
+  + len([x for x in n if x % 2 = 1]) * (2 * length('lines.tag') + 4) AS BIGINT) AS bytes FROM l""")
 def doc_bytes(spark, sf):
-    rows = demo.order_records(spark, sf)
+    rows = demo.text_records(spark, sf)
     doc_id = F.col("id").cast("string")
     return rows.select("id", document_bytes(leaves(rows.schema), doc_id, T.StringType()).alias("bytes"))

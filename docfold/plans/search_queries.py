@@ -11,7 +11,9 @@ from docfold.plans import demo
 from docfold.plans.registry import query
 from docfold.sources.tables import table
 
-_ACTIONABLE = "('O', 'P')"
+_CHILDREN = """ch AS (SELECT o_orderkey, o_orderkey * 3 + k AS id, CAST((o_orderkey + k) % 6 + 1 AS INTEGER) AS status,
+  strftime(o_orderdate + INTERVAL 1 HOUR * ((o_orderkey + k) % 24), '%Y-%m-%dT%H:%M:%SZ') AS created_at
+  FROM orders, (SELECT unnest([0, 1, 2]) AS k)), act AS (SELECT * FROM ch WHERE status IN (1, 2, 4))"""
 
 
 @query("q_term", "SELECT o_orderkey, o_custkey, o_orderstatus FROM orders WHERE o_custkey = 42")
@@ -59,14 +61,15 @@ def search_anything(spark, sf):
     return search.find(d, search.search_anything(F.col("_text"), "The SRC1")).select("doc_id")
 
 
-@query("q_multivalue_term", "SELECT l_orderkey AS id FROM lineitem GROUP BY l_orderkey HAVING bool_or(l_returnflag = 'R')")
+@query("q_multivalue_term", """SELECT doc_id AS id FROM documents
+WHERE list_contains(['t' || (length(x) % 7) for x in string_split(text, chr(10)) if length(x) % 2 = 1], 't3')""")
 def multivalue_term(spark, sf):
-    return search.find(demo.order_records(spark, sf), search.has_element(F.col("lines.flag"), "R")).select("id")
+    return search.find(demo.text_records(spark, sf), search.has_element(F.col("lines.tag"), "t3")).select("id")
 
 
-@query("q_exists", f"SELECT DISTINCT o_custkey AS id FROM orders WHERE o_orderstatus IN {_ACTIONABLE} AND o_custkey IN (SELECT c_custkey FROM customer)")
+@query("q_exists", f"WITH {_CHILDREN} SELECT DISTINCT o_orderkey AS id FROM act")
 def exists(spark, sf):
-    return search.find(demo.customer_documents(spark, sf), search.exists(F.col("latest_at"))).select("id")
+    return search.find(demo.order_parents(spark, sf), search.exists(F.col("promises_latest_actionable_at"))).select("id")
 
 
 @query("q_prefix", "SELECT p_partkey, p_name FROM part WHERE p_name LIKE 're%'")
@@ -140,30 +143,29 @@ def count(spark, sf):
     return search.hits(table(spark, sf, "orders"), search.term(F.col("o_orderstatus"), "P"), search.in_range(F.col("o_totalprice"), 100000, low_open=True))
 
 
-_TOP = f"""SELECT strftime(o_orderdate, '%Y-%m-%dT%H:%M:%SZ') AS at, o_orderkey AS id, o_orderstatus AS status
-FROM orders WHERE o_orderstatus IN {_ACTIONABLE} AND o_custkey IN ({{parents}}) ORDER BY o_orderdate DESC, o_orderkey LIMIT 20"""
+_TOP = "SELECT id, status, created_at FROM act WHERE {parents} ORDER BY created_at DESC, id LIMIT 20"
 
 
-@query("q_recent_children", _TOP.format(parents=f"""SELECT c_custkey FROM customer JOIN orders ON o_custkey = c_custkey
-  WHERE o_orderstatus IN {_ACTIONABLE} GROUP BY c_custkey ORDER BY max(o_orderdate) DESC, c_custkey LIMIT 20"""))
+@query("q_recent_children", f"WITH {_CHILDREN} " + _TOP.format(
+    parents="o_orderkey IN (SELECT o_orderkey FROM act GROUP BY o_orderkey ORDER BY max(created_at) DESC, o_orderkey LIMIT 20)"))
 def recent_children(spark, sf):
     return search.recent_children(
-        demo.customer_documents(spark, sf), "latest_at", "_src", "orders", "struct<at:string,id:bigint,status:string>",
-        "status", "at", demo.ACTIONABLE, 20, [("id", "asc")], "id")
+        demo.order_parents(spark, sf), "promises_latest_actionable_at", "_src", "promises",
+        "struct<id:bigint,status:int,created_at:string>", "status", "created_at", demo.ACTIONABLE, 20, [("id", "asc")], "id")
 
 
-@query("q_top_hits", _TOP.format(parents="SELECT c_custkey FROM customer"))
+@query("q_top_hits", f"WITH {_CHILDREN} " + _TOP.format(parents="true"))
 def top_hits(spark, sf):
-    docs = demo.customer_documents(spark, sf)
-    return search.top_children(docs, F.col("orders"), "status", "at", demo.ACTIONABLE, 20, [("id", "asc")])
+    docs = demo.order_parents(spark, sf)
+    return search.top_children(docs, F.col("promises"), "status", "created_at", demo.ACTIONABLE, 20, [("id", "asc")])
 
 
-@query("q_latest_actionable", f"""SELECT c_custkey AS id, strftime(max(o_orderdate) FILTER (WHERE o_orderstatus IN {_ACTIONABLE}), '%Y-%m-%dT%H:%M:%SZ') AS latest_at
-FROM customer LEFT JOIN orders ON o_custkey = c_custkey GROUP BY c_custkey""")
+@query("q_latest_actionable", f"""WITH {_CHILDREN} SELECT ch.o_orderkey AS id,
+  max(created_at) FILTER (WHERE status IN (1, 2, 4)) AS promises_latest_actionable_at FROM ch GROUP BY ch.o_orderkey""")
 def latest_actionable(spark, sf):
-    return demo.customer_documents(spark, sf).select("id", "latest_at")
+    return demo.order_parents(spark, sf).select("id", "promises_latest_actionable_at")
 
 
-@query("q_facet_total", "SELECT count(*) AS total FROM orders JOIN customer ON c_custkey = o_custkey")
+@query("q_facet_total", f"WITH {_CHILDREN} SELECT count(*) AS total FROM act")
 def facet_total(spark, sf):
-    return demo.customer_documents(spark, sf).agg(F.sum("orders_total").alias("total"))
+    return demo.order_parents(spark, sf).agg(F.sum("actionable_total").alias("total"))
