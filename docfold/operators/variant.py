@@ -19,8 +19,6 @@ MAX_JSON_DEPTH = 1000
 # Levels written out in the plan; records nested deeper go on in a loop inside the row.
 WRITTEN_OUT = 8
 
-_ITEMS = "array<struct<name:string,v:variant,leaf:boolean>>"
-
 
 def _as_object(v: Column) -> Column:
     return F.try_variant_get(v, "$", "map<string,variant>")
@@ -58,7 +56,7 @@ def _is_open(items: Column) -> Column:
 
 
 def _grow(items: Column, compact: bool) -> Column:
-    return F.flatten(F.transform(items, lambda i: _expand(i, compact))).cast(_ITEMS)
+    return F.flatten(F.transform(items, lambda i: _expand(i, compact)))
 
 
 def _grow_to_leaves(items: Column, value: Column, compact: bool) -> Column:
@@ -94,7 +92,7 @@ def _without(members: Column, reserved: Iterable[str]) -> Column:
 
 
 def _entries(members: Column, value: Column, compact: bool) -> Column:
-    items = F.transform(F.map_entries(members), lambda e: _item(e["key"], e["value"])).cast(_ITEMS)
+    items = F.transform(F.map_entries(members), lambda e: _item(e["key"], e["value"]))
     items = let(items, lambda x: _expand_all(x, value, compact, WRITTEN_OUT))
     return F.transform(items, lambda i: F.struct(i["name"].alias("name"), _text_or_null(i["v"]).alias("value")))
 
