@@ -60,34 +60,40 @@ def stalled(attempts: DataFrame, now: int, timeout_ms: int, by: Sequence[str] =
 
 
 def latency_stats(samples: DataFrame, value: str, by: Sequence[str] = (), ranks: Sequence[float] = (0.95, 0.99),
-                  steps: int = 200) -> DataFrame:
+                  steps: int = 1000) -> DataFrame:
     """M5: exact mean and nearest-rank percentiles (the value at position ceil(p * n) of the sorted samples).
 
     No task holds a group: samples are counted per distinct value first, the values are cut into `steps`
-    ranges at approximate quantiles (a bounded sketch per group; it only balances the ranges, ranks are
-    exact), and cumulative counts are windows inside one range plus a carry from the ranges before.
+    ranges at approximate quantiles of all of them (one bounded sketch; it only balances the ranges, ranks
+    are exact), and cumulative counts are windows inside one range plus a carry from the ranges before.
     """
     by = list(by) or ["_all"]
     rows = samples.where(F.col(value).isNotNull())
     if by == ["_all"]:
         rows = rows.withColumn("_all", F.lit(0))
     counts = rows.groupBy(*by, F.col(value).alias("v")).agg(F.count(F.lit(1)).alias("n"))
-    cuts = counts.groupBy(*by).agg(
-        F.percentile_approx("v", [i / steps for i in range(1, steps)], 10 * steps).alias("cuts"),
-        F.sum("n").alias("total"), F.sum(F.col("v") * F.col("n")).alias("sum"))
-    ranged = skew_join(counts, cuts, by, "inner", spread=["v"]).withColumn(
-        "_range", F.size(F.filter("cuts", lambda c: c < F.col("v"))))
+    # Look-up in two steps of about sqrt(steps) comparisons: every `stride`-th cut first, then those between.
+    stride = max(2, round(steps ** 0.5))
+    fractions = F.array(*[F.lit(i / steps) for i in range(1, steps)])
+    cuts = counts.agg(F.percentile_approx("v", fractions, F.lit(10 * steps)).alias("all")).select(F.struct(
+        "all", F.filter("all", lambda c, i: (i + 1) % stride == 0).alias("coarse"))).scalar()
+    below = lambda array: F.size(F.filter(array, lambda c: c < F.col("v")))
+    ranged = counts.withColumn("_cuts", cuts).withColumn("_coarse", below(F.col("_cuts.coarse")) * stride).withColumn(
+        "_range", F.col("_coarse") + below(F.slice("_cuts.all", F.col("_coarse") + 1, F.lit(stride - 1)))
+    ).drop("_cuts", "_coarse")
     per_range = ranged.groupBy(*by, "_range").agg(F.sum("n").alias("_n"))
-    earlier = Window.partitionBy(*by).orderBy("_range").rowsBetween(Window.unboundedPreceding, -1)
-    carry = per_range.select(*by, "_range", F.coalesce(F.sum("_n").over(earlier), F.lit(0)).alias("_before"))
+    group = Window.partitionBy(*by)
+    earlier = group.orderBy("_range").rowsBetween(Window.unboundedPreceding, -1)
+    carry = per_range.select(*by, "_range", F.coalesce(F.sum("_n").over(earlier), F.lit(0)).alias("_before"),
+                             F.sum("_n").over(group).alias("_total"))
     inside = Window.partitionBy(*by, "_range").orderBy("v").rowsBetween(Window.unboundedPreceding, 0)
     reached = ranged.withColumn("_upto", F.sum("n").over(inside)).join(carry, [*by, "_range"]) \
         .withColumn("_upto", F.col("_upto") + F.col("_before"))
 
     def at(p: float):
-        return F.min(F.when(F.col("_upto") >= F.greatest(F.lit(1), F.ceil(F.lit(p) * F.col("total"))), F.col("v")))
+        return F.min(F.when(F.col("_upto") >= F.greatest(F.lit(1), F.ceil(F.lit(p) * F.col("_total"))), F.col("v")))
 
     out = reached.groupBy(*by).agg(
-        F.first(F.col("sum") / F.col("total")).alias("mean"),
-        *[at(p).alias(f"p{round(p * 100):d}") for p in ranks], F.first("total").alias("samples"))
+        (F.sum(F.col("v") * F.col("n")) / F.sum("n")).alias("mean"),
+        *[at(p).alias(f"p{round(p * 100):d}") for p in ranks], F.sum("n").alias("samples"))
     return out.drop("_all")

@@ -6,6 +6,8 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 from pyspark.sql.streaming import StreamingQuery
 
 from docfold.operators.fold import atomic_split
+from docfold.operators.identity import route
+from docfold.operators.schema import Collections
 from docfold.options import FoldOptions
 from docfold.plans.ingest import convert
 from docfold.streaming.table import DocumentTable
@@ -19,7 +21,19 @@ def work_folder(spark: SparkSession, name: str) -> str:
     return f"{shared.rstrip('/')}/{name}"
 
 
-def apply_batch(batch: DataFrame, number: int, table: DocumentTable, options: FoldOptions) -> None:
+def check_targets(batch: DataFrame, options: FoldOptions, collections: Collections) -> None:
+    """T5 for one micro-batch: every collection it writes to exists, may be created, or the batch fails.
+
+    Reads the topic column only; the names are as few as the topics.
+    """
+    rows = batch.where(F.col("value").isNotNull()) if options.behavior_on_null_values == "ignore" else batch
+    names = rows.select("topic").distinct().select(route(F.col("topic"), options).alias("c")).distinct()
+    for row in names.collect():
+        collections.ensure(row.c)
+
+
+def apply_batch(batch: DataFrame, number: int, table: DocumentTable, options: FoldOptions,
+                collections: Collections | None = None) -> None:
     """Convert one micro-batch and write it: dead letters first, then the ops.
 
     With `behavior_on_malformed_documents=fail` the first malformed record fails the batch and nothing of it
@@ -28,6 +42,8 @@ def apply_batch(batch: DataFrame, number: int, table: DocumentTable, options: Fo
     if options.dry_run:
         convert(batch, options).ops.groupBy("collection", "op").count().collect()      # a few rows: collections x kinds
         return
+    if collections is not None:
+        check_targets(batch, options, collections)
     strict = options.behavior_on_malformed_documents == "fail"
     atomic = options.write_method == "ATOMIC_UPDATE"
     if strict and not atomic:
@@ -56,10 +72,10 @@ def apply_batch(batch: DataFrame, number: int, table: DocumentTable, options: Fo
 
 
 def start(changes: DataFrame, table: DocumentTable, options: FoldOptions = FoldOptions(), checkpoint: str | None = None,
-          **trigger) -> StreamingQuery:
+          collections: Collections | None = None, **trigger) -> StreamingQuery:
     """Keep `table` up to date with a change stream. Source offsets are committed after a batch is written, so a
     batch cut short is delivered again and overwrites its own directory."""
     spark = changes.sparkSession
     folder = checkpoint or work_folder(spark, "apply")
     return (changes.writeStream.option("checkpointLocation", folder).trigger(**(trigger or {"availableNow": True}))
-            .foreachBatch(lambda df, n: apply_batch(df, n, table, options)).start())
+            .foreachBatch(lambda df, n: apply_batch(df, n, table, options, collections)).start())

@@ -72,6 +72,16 @@ class DocumentTable:
             merged.write.mode("overwrite").partitionBy("collection").parquet(f"{self.root}/base/upto={last}")
         return self.compacted
 
+    def vacuum(self) -> list[str]:
+        """Remove what the newest base replaces, and say what was removed. Only for when no reader still uses it."""
+        upto = self.compacted
+        old = [p for n, p in self._complete("delta", "batch=").items() if n <= upto]
+        old += [p for n, p in self._complete("base", "upto=").items() if n < upto]
+        for path in old:
+            fs, p = self._fs(path)
+            fs.delete(p, True)
+        return sorted(old)
+
     # --- reading -------------------------------------------------------------------------------
 
     def _paths(self) -> list[str]:

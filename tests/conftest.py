@@ -13,7 +13,7 @@ def spark(tmp_path_factory):
     session = (
         SparkSession.builder.master("local[8]").appName("docfold-tests")
         .config("spark.ui.enabled", "false").config("spark.ui.showConsoleProgress", "false")
-        .config("spark.sql.shuffle.partitions", "4").config("spark.driver.memory", "6g")
+        .config("spark.sql.shuffle.partitions", "2").config("spark.driver.memory", "6g")
         .config("spark.checkpoint.dir", str(tmp_path_factory.mktemp("checkpoint")))
         .config("spark.sql.streaming.stateStore.providerClass",
                 "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider")

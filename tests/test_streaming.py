@@ -7,6 +7,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from docfold.operators import fold
+from docfold.operators.schema import Collections, MissingCollection
 from docfold.options import FoldOptions
 from docfold.plans.ingest import convert
 from docfold.sources.changes import CHANGE_SCHEMA, read_changes, unwrap_key
@@ -58,6 +59,7 @@ def test_stream_equals_batch(spark, tmp_path, method):
     assert docs(table.read("t1")) == {k: v for k, v in expected.items() if k[0] == "t1"}
     last = table.compact()
     assert last == table.compacted >= 1 and docs(table.read()) == expected and table.compact() == last
+    assert len(table.vacuum()) == last + 1 and table.vacuum() == [] and docs(table.read()) == expected
     # An old batch delivered again changes nothing, a late older write loses, a newer one wins.
     apply_batch(unwrap_key(frame(spark, rows[:20])), 0, table, options)
     apply_batch(unwrap_key(frame(spark, rows[:20])), last + 1, table, options)
@@ -101,6 +103,18 @@ def test_updates_of_existing_documents_only(spark, tmp_path):
         apply_batch(frame(spark, [("t", 0, 7, "a", '{"n":8}', None, None)]), 3, table, FoldOptions(write_method="ATOMIC_UPDATE"))
 
 
+def test_targets_must_exist(spark, tmp_path):
+    table = DocumentTable(spark, str(tmp_path / "table"))
+    rows = frame(spark, [("t", 0, 1, "a", '{"n":1}', None, None), ("gone", 0, 2, "a", None, None, None)])
+    strict = FoldOptions(external_resource_usage="REQUIRED")
+    with pytest.raises(MissingCollection):
+        apply_batch(rows, 0, table, strict, Collections(spark, str(tmp_path / "targets"), strict))
+    assert table.read().count() == 0
+    made = FoldOptions(schema_auto_create=True)
+    apply_batch(rows, 0, table, made, Collections(spark, str(tmp_path / "targets"), made))
+    assert [p.name for p in (tmp_path / "targets").iterdir()] == ["collection=t"] and table.read().count() == 1
+
+
 def test_work_folder_comes_from_the_session(spark):
     assert work_folder(spark, "apply").startswith(spark.conf.get("spark.checkpoint.dir"))
 
