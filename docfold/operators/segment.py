@@ -2,10 +2,12 @@
 
 from __future__ import annotations
 
+import sys
 from collections.abc import Iterator, Sequence
 
 import numpy as np
 import pandas as pd
+from pyspark import cloudpickle
 from pyspark.sql import DataFrame, Window, functions as F
 
 from docfold.operators.blocks import BLOCK, WIDTH, before, inside, row_index, with_block
@@ -51,6 +53,10 @@ def batches_by_count(ops: DataFrame, size: int, part: Sequence[str] = ("collecti
     return indexed.withColumn(name, F.floor(F.col("_index") / F.lit(size)).cast("bigint")).drop("_index")
 
 
+# Tasks get this module's functions by value, so executors need not have the package.
+cloudpickle.register_pickle_by_value(sys.modules[__name__])
+
+
 # --- greedy batches ------------------------------------------------------------------------------
 #
 # A batch closes on the op that brings it to the byte cap (or to the op count), so where a batch starts

@@ -7,13 +7,18 @@ taken one after the other. A micro-batch bounds how many there can be.
 
 from __future__ import annotations
 
+import sys
 from collections.abc import Iterator
 
 import pandas as pd
+from pyspark import cloudpickle
 from pyspark.sql import DataFrame
 from pyspark.sql.streaming import StatefulProcessor, StatefulProcessorHandle
 from pyspark.sql.types import BooleanType, LongType, StructField, StructType
 
+# Tasks get this module's functions by value, so executors need not have the package.
+cloudpickle.register_pickle_by_value(sys.modules[__name__])
+
 STATE = StructType([StructField("exists", BooleanType()), StructField("deleted", BooleanType()), StructField("version", LongType())])
 OUTPUT = "id string, offset bigint, op string, asked bigint, applied boolean, stored bigint"
 RULES = ("optimistic", "guard", "must_exist")
