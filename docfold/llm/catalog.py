@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from docfold.llm import mixture, warc
+from docfold.llm import minmax, mixture, warc
 
 QueryFn = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, QueryFn] = {}
@@ -82,3 +82,9 @@ def op10(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every page written to WARC archives and read back."""
     return warc.round_trip(spark, table(spark, sf_dir, "pages")).select(
         "page_id", "payload_bytes", "payload_digest", "record_type", "refers_to")
+
+
+@query("op8_minmax_dedup")
+def op8(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Components of documents with at least 85 % of their five-word shingles in common."""
+    return minmax.link(table(spark, sf_dir, "documents"))
