@@ -5,8 +5,9 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from docfold.llm import minmax, mixture, warc
+from docfold.llm import lines, minmax, mixture, warc
 
 QueryFn = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, QueryFn] = {}
@@ -88,3 +89,11 @@ def op10(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op8(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Components of documents with at least 85 % of their five-word shingles in common."""
     return minmax.link(table(spark, sf_dir, "documents"))
+
+
+@query("op4_line_dedup")
+def op4(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every document without the lines that repeat an earlier one."""
+    out = lines.dedup(table(spark, sf_dir, "documents"))
+    return out.select("doc_id", "text", F.size("removed_lines").cast("long").alias("n_removed"),
+                      F.array_join(F.col("removed_lines").cast("array<string>"), ",").alias("removed_lines"))

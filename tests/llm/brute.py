@@ -54,3 +54,20 @@ def near_duplicates(docs: list[tuple[int, str | None]], percent: int = 85):
         pairs |= {(j, i) for j, n in shared.items() if 100 * n >= percent * (len(s) + len(sets[j]) - n)}
     root = roots(pairs, sets)
     return {i: (len(sets[i]), root[i]) for i in sets}
+
+
+def repeated_lines(docs: list[tuple[int, str | None]], least: int = 5) -> dict[int, list[int]]:
+    """doc_id -> numbers of the lines that match an earlier line at Jaccard >= 0.8."""
+    lines = [(i, k, frozenset(words(x))) for i, t in sorted(docs) for k, x in enumerate((t or "").split("\n"))] if docs else []
+    where, gone = defaultdict(list), defaultdict(list)
+    for at, (i, k, s) in enumerate(lines):
+        if len(s) < least:
+            continue
+        shared = defaultdict(int)
+        for w in s:
+            for j in where[w]:
+                shared[j] += 1
+            where[w].append(at)
+        if any(5 * n >= 4 * (len(s) + len(lines[j][2]) - n) for j, n in shared.items()):
+            gone[i].append(k)
+    return dict(gone)
