@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from docfold.llm import lines, minmax, mixture, warc
+from docfold.llm import decontam, lines, minmax, mixture, pii, warc
 
 QueryFn = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, QueryFn] = {}
@@ -97,3 +97,28 @@ def op4(spark: SparkSession, sf_dir: str) -> DataFrame:
     out = lines.dedup(table(spark, sf_dir, "documents"))
     return out.select("doc_id", "text", F.size("removed_lines").cast("long").alias("n_removed"),
                       F.array_join(F.col("removed_lines").cast("array<string>"), ",").alias("removed_lines"))
+
+
+@query("op1_pii")
+def op1(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Personal data in every document, and the terms that disclose it."""
+    return pii.report(table(spark, sf_dir, "documents"))
+
+
+LEAK_SQL = r"""
+WITH d AS (SELECT doc_id, list_filter(string_split_regex(lower(text), '[\x20\x09-\x0D]+'), lambda x: x <> '') AS w FROM documents),
+b AS (SELECT item_id, list_filter(string_split_regex(lower(text), '[\x20\x09-\x0D]+'), lambda x: x <> '') AS w FROM benchmark),
+s AS (SELECT DISTINCT item_id, n, array_to_string(w[i:i + n - 1], ' ') AS t
+      FROM (SELECT item_id, w, n, unnest(range(1, len(w) - n + 2)) AS i FROM (SELECT *, least(len(w), 5) AS n FROM b WHERE len(w) > 0))),
+g AS (SELECT DISTINCT doc_id, n, array_to_string(w[i:i + n - 1], ' ') AS t
+      FROM (SELECT doc_id, w, n, unnest(range(1, len(w) - n + 2)) AS i FROM d, (SELECT DISTINCT n FROM s))),
+c AS (SELECT doc_id, item_id, count(*) AS n_found FROM g JOIN s USING (n, t) GROUP BY ALL),
+m AS (SELECT item_id, count(*) AS n_item FROM s GROUP BY ALL)
+SELECT doc_id, item_id, n_item, n_found FROM c JOIN m USING (item_id) WHERE 100 * n_found >= 80 * n_item
+"""
+
+
+@query("op6_decontamination", LEAK_SQL)
+def op6(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Documents that contain a benchmark item."""
+    return decontam.contained(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark")).drop("_text")

@@ -71,3 +71,30 @@ def repeated_lines(docs: list[tuple[int, str | None]], least: int = 5) -> dict[i
         if any(5 * n >= 4 * (len(s) + len(lines[j][2]) - n) for j, n in shared.items()):
             gone[i].append(k)
     return dict(gone)
+
+
+PII = {
+    "email": r"[A-Za-z0-9._%+-]+@[A-Za-z0-9-]+(\.[A-Za-z0-9-]+)+", "ip": r"[0-9]+(\.[0-9]+)(\.[0-9]+)(\.[0-9]+)",
+    "card": r"[0-9]([\x20-]?[0-9])+", "phone": r"\+[0-9][\x20().0-9-]+[0-9]",
+}
+
+
+def luhn(digits: str) -> bool:
+    total = 0
+    for i, c in enumerate(reversed(digits)):
+        d = int(c) * (1 + i % 2)
+        total += d - 9 if d > 9 else d
+    return total % 10 == 0
+
+
+def personal(text: str | None) -> list[tuple[int, int, int]]:
+    """(start, kind number, end) of the base spans."""
+    out = []
+    for k, (kind, pattern) in enumerate(PII.items()):
+        for m in re.finditer(pattern, text or ""):
+            digits = re.sub("[^0-9]", "", m[0])
+            good = {"email": True, "ip": kind != "ip" or all(int(p) <= 255 for p in m[0].split(".")), "phone": 10 <= len(digits) <= 15,
+                    "card": 14 <= len(digits) <= 19 and luhn(digits)}[kind]
+            if good:
+                out.append((m.start(), k, m.end()))
+    return sorted(out)
