@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from docfold.llm import decontam, lines, minmax, mixture, pii, warc
+from docfold.llm import decontam, folds, langid, lines, minmax, mixture, pii, toxicity, warc
 
 QueryFn = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, QueryFn] = {}
@@ -122,3 +122,19 @@ SELECT doc_id, item_id, n_item, n_found FROM c JOIN m USING (item_id) WHERE 100
 def op6(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Documents that contain a benchmark item."""
     return decontam.contained(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark")).drop("_text")
+
+
+@query("op3_toxicity")
+def op3(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Toxicity of every document, learned outside the held-out fold."""
+    docs = table(spark, sf_dir, "documents")
+    learned = toxicity.learn(docs, table(spark, sf_dir, "labels"))
+    rows = docs.withColumn("held_out", folds.held_out(F.col("doc_id")))
+    return toxicity.score(rows, learned, keep=("doc_id", "held_out"))
+
+
+@query("op7_language")
+def op7(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Language of every document, learned outside the held-out fold."""
+    docs = table(spark, sf_dir, "documents")
+    return langid.predict(docs, langid.learn(docs))
