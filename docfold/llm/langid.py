@@ -205,7 +205,7 @@ def learn(docs: DataFrame) -> Model | None:
 
 def predictor(shared_model) -> Callable:
     def task(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        grams, model = Grams(), shared_model.value
+        grams, model = Grams(), shared_model.value and Model(**shared_model.value)
         for batch in batches:
             for a, b, data, offs in textcore.pieces(batch.column(2)):
                 langs, scores = [], []
@@ -227,6 +227,6 @@ def predictor(shared_model) -> Callable:
 
 def predict(docs: DataFrame, model: Model | None) -> DataFrame:
     """doc_id, held_out, lang_pred, score of every row."""
-    known = docs.sparkSession.sparkContext.broadcast(model)
+    known = docs.sparkSession.sparkContext.broadcast(model and vars(model))
     rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), folds.held_out(F.col("doc_id")).alias("held_out"), "text")
     return rows.mapInArrow(predictor(known), "doc_id long, held_out boolean, lang_pred string, score double")

@@ -1,10 +1,12 @@
 """Toxicity by weak supervision.
 
-1. Terms: words and word beginnings (4 and 6 bytes) whose counts in toxic and other labelled documents differ by a
-   log-likelihood ratio of at least `EVIDENCE`, at most `TERMS` of them. Labels come from the learning folds only, from at
-   most `LABELLED` documents (those with the smallest hashes of doc_id).
+1. Terms: words, word beginnings (4 and 6 bytes) and beginnings that occur twice or more. Those count whose numbers in
+   toxic and other labelled documents differ by a log-likelihood ratio of at least `EVIDENCE`, and that toxic ones hold `PURE`
+   times as often; at most `TERMS` of them. Labels come from the learning folds only, from at most `LABELLED`
+   documents (those with the smallest hashes of doc_id).
 2. Voters: the strongest terms one by one, the others in lexicons by rank, and patterns of writing (shouting, runs of
-   exclamation marks). Each votes on every document outside the held-out fold; the votes are counted by pattern.
+   exclamation marks). A voter says toxic or abstains, and one more says clean where all others abstain. They vote on
+   every document outside the held-out fold; the votes are counted by pattern.
 3. Label model: a generative model of a hidden label, fitted to those counts by expectation-maximisation, gives each
    voter's accuracy (how often it speaks on either class); known labels of the learning folds are held fixed. The votes'
    correlations within a class are then estimated, and a voter's weight divided by one plus the sum of its own, so that
@@ -31,11 +33,13 @@ from docfold.llm import folds, shared, textcore
 
 cloudpickle.register_pickle_by_value(sys.modules[__name__])
 
-LABELLED, TERMS, EVIDENCE = 12_000, 2_000, 20.0
+LABELLED, TERMS, EVIDENCE, PURE = 12_000, 2_000, 24.0, 4
 SINGLE, LEXICONS = 40, 8
 PATTERNS = 3  # half capitals, only capitals, exclamation marks
-VOTERS = SINGLE + LEXICONS + PATTERNS
+SILENT = SINGLE + LEXICONS + PATTERNS
+VOTERS = SILENT + 1
 BEGINNINGS = (4, 6)
+TWICE = np.uint64(0x5DEECE66D)  # turns the hash of a beginning into that of its repetition; the first 20 bits stay
 ROUNDS, AFTER = 12, 6
 
 
@@ -78,8 +82,8 @@ class Terms:
 class Lexicon:
     """Terms by rank, with a filter over their first 20 bits for quick look-ups."""
 
-    def __init__(self, terms: list[int]) -> None:
-        ranked = np.array(terms, np.int64).view(np.uint64)
+    def __init__(self, terms: np.ndarray) -> None:
+        ranked = terms.view(np.uint64)
         order = np.argsort(ranked)
         self.sorted, self.rank = ranked[order], order
         self.near = np.zeros(1 << 20, bool)
@@ -88,16 +92,23 @@ class Lexicon:
 
     def hits(self, terms: Terms, data: np.ndarray, offs: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """Distinct (row, rank of term) pairs."""
+        if not self.size:
+            return (np.empty(0, np.int64),) * 2
         found = []
-        for h, at in terms.kinds(data, offs):
+        for kind, (h, at) in enumerate(terms.kinds(data, offs)):
             near = np.flatnonzero(self.near[(h >> np.uint64(44)).astype(np.int64)])
-            place = np.searchsorted(self.sorted, h[near])
-            place[place == self.size] = 0
-            same = self.sorted[place] == h[near] if self.size else np.zeros(0, bool)
-            rows = np.searchsorted(at, near[same], "right") - 1
-            found.append(rows * max(1, self.size) + self.rank[place[same]])
-        pairs = np.unique(np.concatenate(found))
-        return pairs // max(1, self.size), pairs % max(1, self.size)
+            rows, h = np.searchsorted(at, near, "right") - 1, h[near]
+            found.append(np.unique(self._pairs(rows, h)))
+            if kind:
+                pairs, n = np.unique(self._pairs(rows, h ^ TWICE), return_counts=True)
+                found.append(pairs[n > 1])
+        pairs = np.concatenate(found)
+        return pairs // self.size, pairs % self.size
+
+    def _pairs(self, rows: np.ndarray, h: np.ndarray) -> np.ndarray:
+        place = np.minimum(np.searchsorted(self.sorted, h), self.size - 1)
+        same = self.sorted[place] == h
+        return rows[same] * self.size + self.rank[place[same]]
 
 
 def voter_of(rank: np.ndarray) -> np.ndarray:
@@ -111,6 +122,7 @@ def votes(lexicon: Lexicon, terms: Terms, data: np.ndarray, offs: np.ndarray) ->
     np.bitwise_or.at(bits, rows, np.uint64(1) << voter_of(rank).astype(np.uint64))
     for j, on in enumerate(terms.patterns(data, offs).T):
         bits[on] |= np.uint64(1 << (SINGLE + LEXICONS + j))
+    bits[bits == 0] = np.uint64(1 << SILENT)
     return bits
 
 
@@ -120,19 +132,24 @@ def counted(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in batches:
         for a, b, data, offs in textcore.pieces(batch.column(1)):
             toxic = np.asarray(batch.column(0).slice(a, b - a)) > 0
-            for h, at in terms.kinds(data, offs):
-                h, at = textcore.unique_by_row(h, at)
+            for kind, (h, at) in enumerate(terms.kinds(data, offs)):
+                row = np.repeat(np.arange(b - a), np.diff(at))
+                order = np.lexsort((h, row))
+                h, row = h[order], row[order]
+                first = np.flatnonzero(np.concatenate([[True], (h[1:] != h[:-1]) | (row[1:] != row[:-1])])) if len(h) else order
+                again = first[np.diff(np.append(first, len(h))) > 1] if kind else first[:0]
+                h, row = np.concatenate([h[first], h[again] ^ TWICE]), np.concatenate([row[first], row[again]])
                 values, place = np.unique(h, return_inverse=True)
-                ones = np.bincount(place, np.repeat(toxic, np.diff(at)), len(values)).astype(np.int64)
+                ones = np.bincount(place, toxic[row], len(values)).astype(np.int64)
                 yield pa.RecordBatch.from_pydict({"term": pa.array(values.view(np.int64)), "ones": pa.array(ones),
                                                   "others": pa.array(np.bincount(place, minlength=len(values)) - ones)})
 
 
-def find_terms(labelled: DataFrame) -> list[int]:
+def find_terms(labelled: DataFrame) -> np.ndarray:
     """Hashes of the terms that mark toxic documents, strongest first. `labelled`: toxic, text."""
     n1, n0 = labelled.agg(F.coalesce(F.sum("toxic"), F.lit(0)), F.count("*") - F.coalesce(F.sum("toxic"), F.lit(0))).first()
     if not n1 or not n0:
-        return []
+        return np.empty(0, np.int64)
     rows = labelled.select("toxic", "text").mapInArrow(counted, "term long, ones long, others long")
     rows = rows.groupBy("term").agg(F.sum("ones").alias("a"), F.sum("others").alias("b")).where("a > 2")
     rate = (F.col("a") + F.col("b")) / (n1 + n0)
@@ -141,26 +158,26 @@ def find_terms(labelled: DataFrame) -> list[int]:
         return F.when(seen > 0, seen * F.log(seen / expected)).otherwise(0.0)
 
     llr = 2 * (part(F.col("a"), n1 * rate) + part(F.col("b"), n0 * rate) + part(n1 - F.col("a"), n1 * (1 - rate)) + part(n0 - F.col("b"), n0 * (1 - rate)))
-    rows = rows.withColumn("llr", llr).where((F.col("llr") >= EVIDENCE) & (F.col("a") / n1 > F.col("b") / n0))
-    return [r["term"] for r in rows.orderBy(F.desc("llr"), "term").limit(TERMS).collect()]
+    rows = rows.withColumn("llr", llr).where((F.col("llr") >= EVIDENCE) & (F.col("a") / n1 >= PURE * F.col("b") / n0) & (F.col("a") >= PURE * F.col("b")))
+    return np.array([r["term"] for r in rows.orderBy(F.desc("llr"), "term").limit(TERMS).collect()], np.int64)
 
 
-def voted(lexicon) -> Callable:
+def voted(sent) -> Callable:
     """Counts of (votes, label) from rows (label or null, text)."""
 
     def task(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        terms = Terms()
+        terms, lexicon = Terms(), Lexicon(sent.value)
         for batch in batches:
             label = np.asarray(batch.column(0).fill_null(-1)).astype(np.int64)
             for a, b, data, offs in textcore.pieces(batch.column(1)):
-                keys, n = np.unique(np.stack([votes(lexicon.value, terms, data, offs).view(np.int64), label[a:b]]), axis=1, return_counts=True)
+                keys, n = np.unique(np.stack([votes(lexicon, terms, data, offs).view(np.int64), label[a:b]]), axis=1, return_counts=True)
                 yield pa.RecordBatch.from_pydict({"votes": pa.array(keys[0]), "label": pa.array(keys[1]), "n": pa.array(n.astype(np.int64))})
 
     return task
 
 
 class LabelModel:
-    """P(toxic), and per class how often each voter speaks; weight: 1 / (1 + correlations)."""
+    """P(toxic), and per class how often each voter speaks; weight: 1 / (1 + correlations). An abstention tells nothing."""
 
     def __init__(self) -> None:
         self.prior, self.speaks, self.weight = 0.05, None, np.ones(VOTERS)
@@ -168,10 +185,8 @@ class LabelModel:
     def posterior(self, bits: np.ndarray) -> np.ndarray:
         """bits: rows x voters."""
         if self.speaks is None:  # to begin with, one voice or more
-            return np.where(bits.any(axis=1), 0.9, 0.02)
-        q = np.clip(self.speaks, 1e-6, 1 - 1e-6)
-        odds = np.log(q[1] / q[0]) * bits + np.log((1 - q[1]) / (1 - q[0])) * (1 - bits)
-        score = np.log(self.prior / (1 - self.prior)) + odds @ self.weight
+            return np.where(bits[:, SILENT] > 0, 0.02, 0.9)
+        score = np.log(self.prior / (1 - self.prior)) + bits @ (self.weight * np.log(self.speaks[1] / self.speaks[0]))
         return 1 / (1 + np.exp(-np.clip(score, -50, 50)))
 
 
@@ -205,7 +220,7 @@ def fit_labels(patterns: DataFrame) -> LabelModel:
         mass, single, pair = sums[:2], sums[2:2 + 2 * VOTERS].reshape(2, VOTERS), sums[2 + 2 * VOTERS:].reshape(2, VOTERS, VOTERS)
         model.prior = float(np.clip((mass[1] + 1) / (mass.sum() + 2), 1e-4, 0.5))
         speaks = (single + 0.1) / (mass[:, None] + 1)
-        speaks[1] = np.maximum(speaks[1], speaks[0])  # a voter says toxic or nothing
+        speaks[1, :SILENT] = np.maximum(speaks[1], speaks[0])[:SILENT]  # a voter says toxic or nothing
         model.speaks = speaks
         if step == ROUNDS - 1:
             q = speaks[1]
@@ -221,13 +236,13 @@ def fit_labels(patterns: DataFrame) -> LabelModel:
 class Classifier:
     """Logistic regression on terms and patterns."""
 
-    def __init__(self, size: int) -> None:
-        self.size, self.weights, self.bias = size, np.zeros(size + PATTERNS), -np.inf
+    def __init__(self, size: int, weights: np.ndarray | None = None, bias: float = -np.inf) -> None:
+        self.size, self.weights, self.bias = size, np.zeros(size + PATTERNS) if weights is None else weights, bias
 
     def score(self, rows: np.ndarray, columns: np.ndarray, n: int) -> np.ndarray:
         return 1 / (1 + np.exp(-(np.bincount(rows, self.weights[columns], n) + self.bias)))
 
-    def fit(self, rows: np.ndarray, columns: np.ndarray, y: np.ndarray, steps: int = 400, rate: float = 0.05, decay: float = 1e-4) -> None:
+    def fit(self, rows: np.ndarray, columns: np.ndarray, y: np.ndarray, steps: int = 1500, rate: float = 0.1, decay: float = 1e-4) -> None:
         """Adam on the mean log loss against soft labels."""
         self.bias = float(np.log((y.mean() + 1e-6) / (1 - y.mean() + 1e-6)))
         m = v = np.zeros(len(self.weights) + 1)
@@ -246,31 +261,32 @@ def columns_of(lexicon: Lexicon, terms: Terms, data: np.ndarray, offs: np.ndarra
     return np.concatenate([rows, more]), np.concatenate([rank, lexicon.size + which])
 
 
-def featured(lexicon) -> Callable:
+def featured(sent) -> Callable:
     def task(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        terms = Terms()
+        terms, lexicon = Terms(), Lexicon(sent.value)
         for batch in batches:
             for a, b, data, offs in textcore.pieces(batch.column(2)):
-                rows, columns = columns_of(lexicon.value, terms, data, offs)
+                rows, columns = columns_of(lexicon, terms, data, offs)
                 order = np.argsort(rows, kind="stable")
                 at = np.searchsorted(rows[order], np.arange(b - a + 1))
                 columns = columns[order].astype(np.int32)
                 yield pa.RecordBatch.from_pydict({
                     "doc_id": batch.column(0).slice(a, b - a), "label": pa.array(np.asarray(batch.column(1).slice(a, b - a)).astype(np.int64)),
-                    "votes": pa.array(votes(lexicon.value, terms, data, offs).view(np.int64)),
+                    "votes": pa.array(votes(lexicon, terms, data, offs).view(np.int64)),
                     "columns": pa.array([columns[x:y].tobytes() for x, y in zip(at[:-1], at[1:])], pa.binary())})
 
     return task
 
 
-def learn(docs: DataFrame, labels: DataFrame) -> tuple[Lexicon, Classifier]:
+def learn(docs: DataFrame, labels: DataFrame) -> tuple[np.ndarray, np.ndarray, float]:
+    """Terms, weights and bias."""
     spark = docs.sparkSession
     known = labels.where(F.col("toxic").isNotNull() & ~folds.held_out(F.col("doc_id"))).groupBy("doc_id").agg(F.max(F.col("toxic").cast("long")).alias("toxic"))
     known = shared.written(folds.sample(known, LABELLED), "labels")  # at most LABELLED rows
     texts = docs.select("doc_id", "text").where(~folds.held_out(F.col("doc_id")))
     labelled = texts.join(F.broadcast(known), "doc_id")
-    lexicon = Lexicon(find_terms(labelled))
-    sent = spark.sparkContext.broadcast(lexicon)
+    found = find_terms(labelled)
+    lexicon, sent = Lexicon(found), spark.sparkContext.broadcast(found)
     patterns = (texts.join(F.broadcast(known), "doc_id", "left").select("toxic", "text").mapInArrow(voted(sent), "votes long, label long, n long")
                 .groupBy("votes", "label").agg(F.sum("n").alias("n")))
     model = fit_labels(shared.written(patterns, "votes"))
@@ -284,13 +300,13 @@ def learn(docs: DataFrame, labels: DataFrame) -> tuple[Lexicon, Classifier]:
         label = np.where(np.array([r["label"] for r in rows]) > 0, 0.98, 0.02)
         y = vote * label / (vote * label + (1 - vote) * (1 - label))
         classifier.fit(np.repeat(np.arange(len(rows)), [len(c) for c in columns]), np.concatenate(columns), y)
-    return lexicon, classifier
+    return found, classifier.weights, classifier.bias
 
 
 def scored(sent) -> Callable:
     def task(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        terms = Terms()
-        lexicon, classifier = sent.value
+        terms, (found, weights, bias) = Terms(), sent.value
+        lexicon, classifier = Lexicon(found), Classifier(len(found), weights, bias)
         for batch in batches:
             scores = [np.empty(0)]
             for a, b, data, offs in textcore.pieces(batch.column(0)):
@@ -300,7 +316,7 @@ def scored(sent) -> Callable:
     return task
 
 
-def score(docs: DataFrame, learned: tuple[Lexicon, Classifier], keep: tuple[str, ...] = ("doc_id",)) -> DataFrame:
+def score(docs: DataFrame, learned: tuple[np.ndarray, np.ndarray, float], keep: tuple[str, ...] = ("doc_id",)) -> DataFrame:
     """The columns `keep` of `docs`, score and predicted. Name text twice to keep it: it is read once and passed on."""
     sent = docs.sparkSession.sparkContext.broadcast(learned)
     rows = docs.select(F.col("text").alias("_text"), *keep)
