@@ -9,9 +9,9 @@ that one is itself kept. Lines of fewer than `min_words` distinct words are left
 2. Lines with equal sets: an aggregation finds the first, the others go.
 3. Each line puts the words of its prefix (n - ceil(0.8 n) + 1 rarest ones) into an index that is dealt by word hash.
    Entries of a word meet under the length filter, the positional filter and a parity bitmap (the differing bits cannot
-   outnumber the differing words). A line is paired with the earliest line that passes, once per word.
-4. Pairs are verified on the full sets. A line whose pairs all failed gets all its other partners in a second round,
-   which few lines reach; so no match is lost, and copies are not expanded into all pairs.
+   outnumber the differing words). A line is paired with the first four earlier lines that pass, for each word.
+4. Pairs are verified on the full sets. A line that had more partners, and none that matched, gets all of them in a
+   second round, which few lines reach; so no match is lost, and copies are not expanded into all pairs.
 
 Words and sets are compared by 64-bit hashes. A null text has no lines, and stays null. A null doc_id orders last. Rows
 repeating doc_id and text are the same lines and treated alike. Other columns pass through.
@@ -39,6 +39,7 @@ ENTRY = np.dtype([("word", "<u4"), ("id", "<i8"), ("line", "<i4"), ("n", "<u4"),
 LINE = np.dtype([("id", "<i8"), ("text", "<i8"), ("line", "<i4"), ("n", "<i4"), ("key", "<i8")])
 FLUSH = 1 << 20  # entries held back in a task
 FILTER_BITS = 23
+PARTNERS = 4
 
 
 def line_offsets(data: np.ndarray, offs: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
@@ -54,9 +55,13 @@ def line_offsets(data: np.ndarray, offs: np.ndarray) -> tuple[np.ndarray, np.nda
 def counted(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     words, table = textcore.Words(), np.zeros(1 << TABLE_BITS, np.int64)
     for batch in batches:
-        for _, _, data, offs in textcore.pieces(batch.column(2)):
-            h, _ = words.hashes(data, offs)
-            table += np.bincount((h >> np.uint64(64 - TABLE_BITS)).astype(np.int64), minlength=len(table))
+        found, held = [], 0
+        for _, b, data, offs in textcore.pieces(batch.column(2)):
+            found.append((words.hashes(data, offs)[0] >> np.uint64(64 - TABLE_BITS)).astype(np.int64))
+            held += len(found[-1])
+            if held >= FLUSH or b == len(batch):
+                table += np.bincount(np.concatenate(found), minlength=len(table))
+                found, held = [], 0
     yield _chunks(table)
 
 
@@ -153,41 +158,60 @@ def indexed(rank, parts: int, min_words: int) -> Callable:
 
 
 class Groups:
-    """Entries of one part, by word; equal lines stand once, earliest first."""
+    """Entries of one part, by word, then in order of their lines; equal lines stand once, at the earliest."""
 
     def __init__(self, e: np.ndarray) -> None:
-        e = e[np.lexsort((e["line"], e["id"]))]
-        tag = textcore.mix(e["parity"] ^ e["key"].astype(np.uint64) ^ (e["n"].astype(np.uint64) << np.uint64(40))) >> np.uint64(32)
-        e = e[np.argsort((e["word"].astype(np.uint64) << np.uint64(32)) | tag, kind="stable")]
+        word, n, key, parity = (e[x].astype(np.uint64) for x in ("word", "n", "key", "parity"))
+        tag = textcore.mix(parity ^ key ^ (n << np.uint64(40)))
+        e = e[np.argsort((word << np.uint64(32)) | (tag >> np.uint64(32)))]
         if len(e):
-            same = np.ones(len(e) - 1, bool)
+            new = np.zeros(len(e), bool)
+            new[0] = True
             for name in ("word", "parity", "key", "n"):
-                same &= e[name][1:] == e[name][:-1]
-            e = e[np.concatenate([[True], ~same])]
+                x = np.ascontiguousarray(e[name])
+                new[1:] |= x[1:] != x[:-1]
+            edge = np.flatnonzero(new)
+            run = np.cumsum(new) - 1
+            ids, lines = np.ascontiguousarray(e["id"]), np.ascontiguousarray(e["line"])
+            least = np.minimum.reduceat(ids, edge)
+            lines = np.minimum.reduceat(np.where(ids == least[run], lines, np.iinfo(np.int32).max), edge)
+            e = e[edge]
+            e["id"], e["line"] = least, lines
+            x = np.ascontiguousarray(e["word"])
+            beside = x[1:] == x[:-1]
+            e = e[np.concatenate([[False], beside]) | np.concatenate([beside, [False]])]
         e = e[np.lexsort((e["line"], e["id"], e["word"]))]
-        edge = np.flatnonzero(np.concatenate([[True], e["word"][1:] != e["word"][:-1]])) if len(e) else np.empty(0, np.int64)
-        size = np.diff(np.append(edge, len(e)))
-        self.e, self.start, self.size = e, np.repeat(edge, size), np.repeat(size, size)
+        x = np.ascontiguousarray(e["word"])
+        edge = np.flatnonzero(np.concatenate([[True], x[1:] != x[:-1]])) if len(e) else np.empty(0, np.int64)
+        self.e, self.start = e, np.repeat(edge, np.diff(np.append(edge, len(e))))
+        self.id, self.line, self.parity = (np.ascontiguousarray(e[x]) for x in ("id", "line", "parity"))
+        self.n, self.pos = e["n"].astype(np.int64), e["pos"].astype(np.int64)
 
     def passes(self, a: np.ndarray, b: np.ndarray) -> np.ndarray:
-        x, y = self.e[a], self.e[b]
-        m, n = x["n"].astype(np.int64), y["n"].astype(np.int64)
+        m, n = self.n[a], self.n[b]
         least = needed(m, n)
-        ok = (5 * np.minimum(m, n) >= 4 * np.maximum(m, n)) & (np.minimum(m - x["pos"], n - y["pos"]) >= least)
-        ok &= np.bitwise_count(x["parity"] ^ y["parity"]) <= m + n - 2 * least
-        return ok & ((x["id"] != y["id"]) | (x["line"] != y["line"]))
+        ok = (5 * np.minimum(m, n) >= 4 * np.maximum(m, n)) & (np.minimum(m - self.pos[a], n - self.pos[b]) >= least)
+        ok &= np.bitwise_count(self.parity[a] ^ self.parity[b]) <= m + n - 2 * least
+        return ok & ((self.id[a] != self.id[b]) | (self.line[a] != self.line[b]))
 
-    def first_partners(self) -> tuple[np.ndarray, np.ndarray]:
-        """For each entry the earliest one of its word that passes, if any."""
+    def first_partners(self) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """(earlier entry, entry) for the first PARTNERS that pass, and the entries that may have more."""
         b = np.flatnonzero(np.arange(len(self.e)) > self.start)
-        a = self.start[b].copy()
-        found = []
+        a, count, found, more = self.start[b].copy(), np.zeros(len(b), np.int64), [], []
         while len(b):
             ok = self.passes(a, b)
             found.append((a[ok], b[ok]))
-            a, b = a[~ok] + 1, b[~ok]
-            a, b = a[a < b], b[a < b]
-        return tuple(np.concatenate(x) for x in zip(*found)) if found else (np.empty(0, np.int64),) * 2
+            a, count = a + 1, count + ok
+            more.append(b[(count == PARTNERS) & (a < b)])
+            keep = (a < b) & (count < PARTNERS)
+            a, b, count = a[keep], b[keep], count[keep]
+        if not found:
+            return (np.empty(0, np.int64),) * 3
+        return *(np.concatenate(x) for x in zip(*found)), np.concatenate(more)
+
+    def of_words(self, some: np.ndarray) -> np.ndarray:
+        """All entries of the words of the given entries."""
+        return self.e[np.isin(self.start, self.start[some])]
 
     def partners_of(self, wanted: np.ndarray) -> Iterator[tuple[np.ndarray, np.ndarray]]:
         """All earlier partners of the wanted entries, one step back in the lists at a time."""
@@ -214,7 +238,7 @@ def _pairs(e: np.ndarray, a: np.ndarray, b: np.ndarray, more: dict) -> pa.Record
 
 
 def joined(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """First partners of the entries of each part; lists of three and more for the second round; line rows as they are."""
+    """First partners of the entries of each part; the lists of words with more of them; line rows as they are."""
     more = {"part": pa.int32(), "entries": pa.binary(), "lines": pa.binary()}
     now, held = None, []
 
@@ -224,9 +248,10 @@ def joined(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
     def close():
         g = Groups(np.concatenate(held))
-        yield _pairs(g.e, *g.first_partners(), more)
-        if (g.size > 2).any():
-            yield other(now, g.e[g.size > 2].tobytes(), None)
+        a, b, open_entries = g.first_partners()
+        yield _pairs(g.e, a, b, more)
+        if len(open_entries):
+            yield other(now, g.of_words(open_entries).tobytes(), None)
 
     for batch in batches:
         for part, entries, lines in zip(*(batch.column(i).to_pylist() for i in range(3))):
@@ -343,17 +368,20 @@ def repeats(docs: DataFrame, min_words: int = MIN_WORDS) -> DataFrame:
         sets = shared.written(rows.mapInArrow(sets_of(rank, *near), "id long, text long, line int, words binary"), "line-sets")
         by = sets.select(F.col("id").alias("by_id"), F.col("line").alias("by_line"), F.col("words").alias("by_words"))
         both = pairs.join(by, ["by_id", "by_line"]).join(sets, ["id", "line"]).select("id", "text", "line", "words", "by_words")
-        return shared.written(both.mapInArrow(verified, "id long, text long, line int").distinct(), "lines")
+        out = shared.written(both.mapInArrow(verified, "id long, text long, line int").distinct(), "lines")
+        shared.removed(sets)
+        return out
 
     pairs = shared.written(found.where("id IS NOT NULL").select("id", "line", "by_id", "by_line").distinct(), "line-pairs")
     near = confirm(pairs)
-    # lines that had partners by some word, none of which matched
+    # lines that may have had more partners, and none that matched
     settled = near.unionByName(gone).select("id", "line").distinct()
-    open_lines = pairs.select("id", "line").distinct().join(settled, ["id", "line"], "left_anti")
+    open_lines = pairs.groupBy("id", "line").count().where(F.col("count") >= PARTNERS).select("id", "line").join(settled, ["id", "line"], "left_anti")
     wanted = spark.sparkContext.broadcast(membership(open_lines, True))
     again = found.where("entries IS NOT NULL").select("entries").mapInArrow(second(wanted), PAIR).distinct()
     again = again.join(open_lines, ["id", "line"], "left_semi").join(pairs, ["id", "line", "by_id", "by_line"], "left_anti")
     again = shared.written(again, "line-pairs")
+    shared.removed(found)
     out = gone.unionByName(near)
     if again.limit(1).count():
         out = out.unionByName(confirm(again))

@@ -1,7 +1,7 @@
 """Words, shingles and characters of Arrow string columns as numpy arrays.
 
 Used inside Arrow tasks by the operators of this subpackage. A word is a maximal run of bytes other than space and
-\\x09-\\x0D; A-Z are lower-cased. Work goes in pieces of a few MB, so memory follows the largest text, not the batch.
+\\x09-\\x0D; A-Z are lower-cased. Work goes in pieces that fit a cache, so memory follows the largest text, not the batch.
 """
 
 from __future__ import annotations
@@ -15,7 +15,7 @@ from pyspark import cloudpickle
 
 cloudpickle.register_pickle_by_value(sys.modules[__name__])
 
-PIECE_BYTES = 2 << 20
+PIECE_BYTES = 1 << 18
 _ODD = 0x9E3779B97F4A7C15
 _MASK = (1 << 64) - 1
 
@@ -70,7 +70,7 @@ class Words:
         self.lower[65:91] += 32
         self.space = np.zeros(256, bool)
         self.space[[32, 9, 10, 11, 12, 13]] = True
-        self.code = seeds(256, 7)
+        self.code = seeds(256, 7)[self.lower]  # of the lower-cased byte
         self.size = 0
         self._grow(PIECE_BYTES)
 
@@ -109,7 +109,7 @@ class Words:
             return np.empty(0, np.uint64), at
         self._grow(len(data))
         total = np.zeros(len(data) + 1, np.uint64)
-        np.cumsum(self.code[self.lower[data]] * self.power[:len(data)], out=total[1:])
+        np.cumsum(self.code[data] * self.power[:len(data)], out=total[1:])
         return mix((total[ends] - total[starts]) * self.inverse[starts] + (ends - starts).astype(np.uint64)), at
 
 

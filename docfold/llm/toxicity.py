@@ -59,7 +59,7 @@ class Terms:
         at = np.searchsorted(starts, offs)
         w._grow(len(data))
         total = np.zeros(len(data) + 1, np.uint64)
-        np.cumsum(w.code[w.lower[data]] * w.power[:len(data)], out=total[1:])
+        np.cumsum(w.code[data] * w.power[:len(data)], out=total[1:])
         yield textcore.mix((total[ends] - total[starts]) * w.inverse[starts]), at
         for n in BEGINNINGS:
             long = ends - starts >= n
