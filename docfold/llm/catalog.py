@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from docfold.llm import decontam, folds, langid, lines, minmax, mixture, pii, toxicity, warc
+from docfold.llm import decontam, folds, graphann, langid, lines, minmax, mixture, pii, toxicity, warc
 
 QueryFn = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, QueryFn] = {}
@@ -138,3 +138,10 @@ def op7(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Language of every document, learned outside the held-out fold."""
     docs = table(spark, sf_dir, "documents")
     return langid.predict(docs, langid.learn(docs))
+
+
+@query("op5_nearest")
+def op5(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The 20 nearest vectors of every twentieth one."""
+    vectors = table(spark, sf_dir, "embeddings")
+    return graphann.nearest(vectors, vectors.where("vec_id % 20 = 0"), 20)
