@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from docfold.llm import decontam, folds, graphann, langid, lines, minmax, mixture, pii, toxicity, warc
+from docfold.llm import decontam, folds, graphann, htmltext, langid, lines, minmax, mixture, pii, toxicity, warc
 
 QueryFn = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, QueryFn] = {}
@@ -145,3 +145,10 @@ def op5(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The 20 nearest vectors of every twentieth one."""
     vectors = table(spark, sf_dir, "embeddings")
     return graphann.nearest(vectors, vectors.where("vec_id % 20 = 0"), 20)
+
+
+@query("op9_html_text")
+def op9(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Main text of every page."""
+    pages = table(spark, sf_dir, "pages")
+    return htmltext.extract(pages, htmltext.learn(pages))
