@@ -9,7 +9,7 @@ that one is itself kept. Lines of fewer than `min_words` distinct words are left
 2. Lines with equal sets: an aggregation finds the first, the others go.
 3. Each line puts the words of its prefix (n - ceil(0.8 n) + 1 rarest ones) into an index that is dealt by word hash.
    Entries of a word meet under the length filter, the positional filter and a parity bitmap (the differing bits cannot
-   outnumber the differing words). A line is paired with the first four earlier lines that pass, for each word.
+   outnumber the differing words). A line is paired with the first two earlier lines that pass, for each word.
 4. Pairs are verified on the full sets. A line that had more partners, and none that matched, gets all of them in a
    second round, which few lines reach; so no match is lost, and copies are not expanded into all pairs.
 
@@ -37,9 +37,10 @@ MIN_WORDS = 5
 LAST = (1 << 63) - 1
 ENTRY = np.dtype([("word", "<u4"), ("id", "<i8"), ("line", "<i4"), ("n", "<u4"), ("pos", "<u2"), ("key", "<u4"), ("parity", "<u8")])
 LINE = np.dtype([("id", "<i8"), ("text", "<i8"), ("line", "<i4"), ("n", "<i4"), ("key", "<i8")])
+LONG = 48  # lines of so many words or more have a parity bitmap of 128 bits, others of 64
 FLUSH = 1 << 20  # entries held back in a task
 FILTER_BITS = 23
-PARTNERS = 4
+PARTNERS = 2
 
 
 def line_offsets(data: np.ndarray, offs: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
@@ -104,19 +105,33 @@ def needed(a: np.ndarray, b: np.ndarray) -> np.ndarray:
     return (4 * (a + b) + 8) // 9
 
 
+def packed(e: np.ndarray, second: np.ndarray) -> bytes:
+    """Entries, and the second halves of the bitmaps of those that have one."""
+    return len(e).to_bytes(8, "little") + e.tobytes() + second[e["n"] >= LONG].tobytes()
+
+
+def unpack(blob: bytes) -> tuple[np.ndarray, np.ndarray]:
+    n = int.from_bytes(blob[:8], "little")
+    e = np.frombuffer(blob, ENTRY, n, 8)
+    second = np.zeros(n, np.uint64)
+    second[e["n"] >= LONG] = np.frombuffer(blob, np.uint64, -1, 8 + n * ENTRY.itemsize)
+    return e, second
+
+
 def indexed(rank, parts: int, min_words: int) -> Callable:
     def task(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         words, table = textcore.Words(), rank.value
-        entries, lines, held = [], [], 0
+        entries, halves, lines, held = [], [], [], 0
 
         def flush():
-            e = np.concatenate(entries)
+            e, second = np.concatenate(entries), np.concatenate(halves)
             part = e["word"] % np.uint32(parts)
-            e = e[np.argsort(part, kind="stable")]
+            order = np.argsort(part, kind="stable")
+            e, second = e[order], second[order]
             edges = np.searchsorted(np.sort(part), np.arange(parts + 1))
             some = [p for p in range(parts) if edges[p] < edges[p + 1]]
             everything = np.concatenate(lines)
-            rows = [(p, e[edges[p]:edges[p + 1]].tobytes(), None) for p in some]
+            rows = [(p, packed(e[edges[p]:edges[p + 1]], second[edges[p]:edges[p + 1]]), None) for p in some]
             step = max(1, -(-len(everything) // parts))
             rows += [(p, None, everything[i:i + step].tobytes()) for p, i in enumerate(range(0, len(everything), step))]
             return pa.RecordBatch.from_pydict({"part": pa.array([r[0] for r in rows], pa.int32()), "entries": pa.array([r[1] for r in rows], pa.binary()),
@@ -129,7 +144,10 @@ def indexed(rank, parts: int, min_words: int) -> Callable:
                 n = np.diff(at)
                 mixed = textcore.mix(keys)
                 key = textcore.by_row(np.add, mixed, at, 0)
-                parity = textcore.by_row(np.bitwise_xor, np.uint64(1) << (mixed >> np.uint64(58)), at, 0)
+                bit, odd = np.uint64(1) << (mixed >> np.uint64(58)), (mixed >> np.uint64(57)) & np.uint64(1)
+                parity = textcore.by_row(np.bitwise_xor, bit, at, 0)
+                second = np.where(n >= LONG, textcore.by_row(np.bitwise_xor, bit * odd, at, 0), np.uint64(0))
+                parity ^= second
                 long = n >= min_words
                 whole = np.empty(int(long.sum()), LINE)
                 whole["id"], whole["text"], whole["line"] = ids[row[long]], texts[row[long]], number[long]
@@ -146,11 +164,12 @@ def indexed(rank, parts: int, min_words: int) -> Callable:
                 e["id"], e["line"], e["n"] = ids[row[at_line]], number[at_line], n[at_line]
                 e["pos"], e["key"], e["parity"] = np.minimum(pos, 65535), key[at_line] & np.uint64(0xFFFFFFFF), parity[at_line]
                 entries.append(e)
+                halves.append(second[at_line])
                 lines.append(whole)
                 held += len(e)
                 if held >= FLUSH:
                     yield flush()
-                    entries, lines, held = [], [], 0
+                    entries, halves, lines, held = [], [], [], 0
         if lines:
             yield flush()
 
@@ -160,30 +179,32 @@ def indexed(rank, parts: int, min_words: int) -> Callable:
 class Groups:
     """Entries of one part, by word, then in order of their lines; equal lines stand once, at the earliest."""
 
-    def __init__(self, e: np.ndarray) -> None:
+    def __init__(self, e: np.ndarray, second: np.ndarray) -> None:
         word, n, key, parity = (e[x].astype(np.uint64) for x in ("word", "n", "key", "parity"))
-        tag = textcore.mix(parity ^ key ^ (n << np.uint64(40)))
-        e = e[np.argsort((word << np.uint64(32)) | (tag >> np.uint64(32)))]
+        tag = textcore.mix(parity ^ key ^ (n << np.uint64(40)) ^ (second * np.uint64(5)))
+        order = np.argsort((word << np.uint64(32)) | (tag >> np.uint64(32)))
+        e, second = e[order], second[order]
         if len(e):
             new = np.zeros(len(e), bool)
             new[0] = True
-            for name in ("word", "parity", "key", "n"):
-                x = np.ascontiguousarray(e[name])
+            for x in (*(np.ascontiguousarray(e[name]) for name in ("word", "parity", "key", "n")), second):
                 new[1:] |= x[1:] != x[:-1]
             edge = np.flatnonzero(new)
             run = np.cumsum(new) - 1
             ids, lines = np.ascontiguousarray(e["id"]), np.ascontiguousarray(e["line"])
             least = np.minimum.reduceat(ids, edge)
             lines = np.minimum.reduceat(np.where(ids == least[run], lines, np.iinfo(np.int32).max), edge)
-            e = e[edge]
+            e, second = e[edge], second[edge]
             e["id"], e["line"] = least, lines
             x = np.ascontiguousarray(e["word"])
             beside = x[1:] == x[:-1]
-            e = e[np.concatenate([[False], beside]) | np.concatenate([beside, [False]])]
-        e = e[np.lexsort((e["line"], e["id"], e["word"]))]
+            several = np.concatenate([[False], beside]) | np.concatenate([beside, [False]])
+            e, second = e[several], second[several]
+        order = np.lexsort((e["line"], e["id"], e["word"]))
+        e, second = e[order], second[order]
         x = np.ascontiguousarray(e["word"])
         edge = np.flatnonzero(np.concatenate([[True], x[1:] != x[:-1]])) if len(e) else np.empty(0, np.int64)
-        self.e, self.start = e, np.repeat(edge, np.diff(np.append(edge, len(e))))
+        self.e, self.second, self.start = e, second, np.repeat(edge, np.diff(np.append(edge, len(e))))
         self.id, self.line, self.parity = (np.ascontiguousarray(e[x]) for x in ("id", "line", "parity"))
         self.n, self.pos = e["n"].astype(np.int64), e["pos"].astype(np.int64)
 
@@ -191,7 +212,11 @@ class Groups:
         m, n = self.n[a], self.n[b]
         least = needed(m, n)
         ok = (5 * np.minimum(m, n) >= 4 * np.maximum(m, n)) & (np.minimum(m - self.pos[a], n - self.pos[b]) >= least)
-        ok &= np.bitwise_count(self.parity[a] ^ self.parity[b]) <= m + n - 2 * least
+        one, two = self.parity[a] ^ self.parity[b], self.second[a] ^ self.second[b]
+        wide = (m >= LONG) & (n >= LONG)
+        # a bitmap of 128 bits folds to the one of 64 bits
+        differing = np.where(wide, np.bitwise_count(one).astype(np.int64) + np.bitwise_count(two), np.bitwise_count(one ^ two))
+        ok &= differing <= m + n - 2 * least
         return ok & ((self.id[a] != self.id[b]) | (self.line[a] != self.line[b]))
 
     def first_partners(self) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
@@ -209,9 +234,10 @@ class Groups:
             return (np.empty(0, np.int64),) * 3
         return *(np.concatenate(x) for x in zip(*found)), np.concatenate(more)
 
-    def of_words(self, some: np.ndarray) -> np.ndarray:
+    def of_words(self, some: np.ndarray) -> bytes:
         """All entries of the words of the given entries."""
-        return self.e[np.isin(self.start, self.start[some])]
+        take = np.isin(self.start, self.start[some])
+        return packed(self.e[take], self.second[take])
 
     def partners_of(self, wanted: np.ndarray) -> Iterator[tuple[np.ndarray, np.ndarray]]:
         """All earlier partners of the wanted entries, one step back in the lists at a time."""
@@ -247,11 +273,11 @@ def joined(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
                                            "part": pa.array([part], pa.int32()), "entries": pa.array([entries], pa.binary()), "lines": pa.array([lines], pa.binary())})
 
     def close():
-        g = Groups(np.concatenate(held))
+        g = Groups(*(np.concatenate(x) for x in zip(*held)))
         a, b, open_entries = g.first_partners()
         yield _pairs(g.e, a, b, more)
         if len(open_entries):
-            yield other(now, g.of_words(open_entries).tobytes(), None)
+            yield other(now, g.of_words(open_entries), None)
 
     for batch in batches:
         for part, entries, lines in zip(*(batch.column(i).to_pylist() for i in range(3))):
@@ -262,7 +288,7 @@ def joined(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
                 if held:
                     yield from close()
                 now, held = part, []
-            held.append(np.frombuffer(entries, ENTRY))
+            held.append(unpack(entries))
     if held:
         yield from close()
 
@@ -280,7 +306,7 @@ def second(found) -> Callable:
     def task(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for x in batch.column(0):
-                g = Groups(np.frombuffer(x.as_buffer(), ENTRY))
+                g = Groups(*unpack(x.as_py()))
                 for a, b in g.partners_of(in_filter(found.value, spot(g.e["id"], g.e["line"]))):
                     if len(a):
                         yield _pairs(g.e, a, b, {})
@@ -302,20 +328,30 @@ def _marked(with_line: bool) -> Callable:
         seen = np.zeros(1 << FILTER_BITS, bool)
         for batch in batches:
             seen[spot(np.asarray(batch.column(0)), np.asarray(batch.column(1)) if with_line else 0).astype(np.int64)] = True
-        at = np.flatnonzero(seen)
-        for i in range(0, len(at), 100_000):
-            yield pa.RecordBatch.from_pydict({"word": pa.array(at[i:i + 100_000] >> 6), "bit": pa.array((np.uint64(1) << (at[i:i + 100_000] & 63).astype(np.uint64)).view(np.int64))})
+        parts = np.packbits(seen, bitorder="little").reshape(CHUNKS, -1)
+        some = [i for i in range(CHUNKS) if parts[i].any()]
+        yield pa.RecordBatch.from_pydict({"chunk": pa.array(some, pa.int32()), "bits": pa.array([parts[i].tobytes() for i in some], pa.binary())})
 
     return task
 
 
+def united(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    parts: dict[int, np.ndarray] = {}
+    for batch in batches:
+        for chunk, bits in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist()):
+            got = np.frombuffer(bits, np.uint8)
+            parts[chunk] = parts[chunk] | got if chunk in parts else got
+    if parts:
+        yield pa.RecordBatch.from_pydict({"chunk": pa.array(list(parts), pa.int32()), "bits": [x.tobytes() for x in parts.values()]})
+
+
 def membership(rows: DataFrame, with_line: bool) -> np.ndarray:
     """A filter of fixed size (1 MB) that holds every (id, line), or every id, of `rows`; others pass with small chance."""
-    marks = rows.mapInArrow(_marked(with_line), "word long, bit long").groupBy("word").agg(F.bit_or("bit").alias("bits")).collect()
-    words = np.zeros(1 << (FILTER_BITS - 6), np.int64)
-    for r in marks:
-        words[r["word"]] = r["bits"]
-    return words.view(np.uint8)
+    schema = "chunk int, bits binary"
+    out = np.zeros((CHUNKS, (1 << FILTER_BITS) // 8 // CHUNKS), np.uint8)
+    for r in rows.mapInArrow(_marked(with_line), schema).repartition(CHUNKS, "chunk").mapInArrow(united, schema).collect():
+        out[r["chunk"]] = np.frombuffer(r["bits"], np.uint8)
+    return out.ravel()
 
 
 def sets_of(rank, docs_in, lines_in) -> Callable:
