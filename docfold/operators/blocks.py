@@ -18,7 +18,7 @@ WIDTH = 1 << 18
 
 
 def with_block(df: DataFrame, order: str, width: int = WIDTH) -> DataFrame:
-    return df.withColumn(BLOCK, F.floor(F.col(order) / F.lit(width)).cast("bigint"))
+    return df.withColumn(BLOCK, F.expr(f"`{order}` div {width}L"))
 
 
 def inside(part: Sequence[str], order: str):

@@ -90,7 +90,9 @@ def delete_id(schema: T.StructType, key: str = "key") -> Column:
 
 def reserved_names(options: FoldOptions) -> tuple[str, ...]:
     """Top-level names the engine sets itself (P10)."""
-    return ("id", MAPPING_VERSION) if options.mapping_version else ("id",)
+    own = (options.mapping_version and MAPPING_VERSION, options.offset_version_field, options.offset_version_field and DELETED,
+           options.source_field)
+    return ("id", *dict.fromkeys(n for n in own if n and n != "id"))
 
 
 def stamps(schema: T.StructType, options: FoldOptions) -> dict[str, Column]:

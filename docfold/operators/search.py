@@ -10,10 +10,6 @@ from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from docfold.functions.geo import parse_latlon, within_km
 
-# Longest indexed term, in characters: longer text never matches as a term.
-MAX_TERM = 8000
-
-
 # --- predicates --------------------------------------------------------------------------------
 
 def term(col: Column, value) -> Column:
@@ -37,9 +33,10 @@ def in_range(col: Column, low=None, high=None, low_open: bool = False, high_open
     return col.isNotNull() if out is None else out
 
 
-def matches_ignoring_case(col: Column, value: str) -> Column:
-    """Q5: whole-value match without case; text over the term limit has no term."""
-    return (F.length(col) <= MAX_TERM) & (F.lower(col) == value.lower())
+def matches_ignoring_case(col: Column, value: str, limit: int | None = None) -> Column:
+    """Q5: whole-value match without case. With a `limit`, text of more characters has no term."""
+    same = F.lower(col) == value.lower()
+    return same if limit is None else same & (F.length(col) <= limit)
 
 
 def has_element(col: Column, value) -> Column:
@@ -62,11 +59,18 @@ def negate(condition: Column) -> Column:
     return ~F.coalesce(condition, F.lit(False))
 
 
-def search_anything(text: Column, words: str) -> Column:
-    """Q6: every word is a substring of some value of the catch-all list; special characters are literal."""
+def search_anything(text: Column, words: str, limit: int | None = None) -> Column:
+    """Q6: every word is a substring of some value of the catch-all list; special characters are literal.
+
+    With a `limit`, values of more characters have no term and never match.
+    """
+    def hit(x: Column, word: str) -> Column:
+        found = F.contains(F.lower(x), F.lit(word))
+        return found if limit is None else found & (F.length(x) <= limit)
+
     out = F.lit(True)
     for word in words.lower().split():
-        out = out & F.exists(text, lambda x: (F.length(x) <= MAX_TERM) & F.contains(F.lower(x), F.lit(word)))
+        out = out & F.exists(text, lambda x: hit(x, word))
     return F.coalesce(out, F.lit(False))
 
 
@@ -76,6 +80,12 @@ def near(location: Column, lat: float, lon: float, km: float) -> Column:
     return within_km(y, x, lat, lon, km)
 
 
+def term_in(df: DataFrame, name: str, value) -> Column:
+    """Q1 with the column's type at hand: the literal is cast to it, never the column, so the filter reaches the scan
+    and a number against a text column compares as text."""
+    return F.col(f"`{name}`") == F.lit(value).cast(df.schema[name].dataType)
+
+
 def find(df: DataFrame, *filters: Column) -> DataFrame:
     """Q2: all filters hold."""
     for f in filters:

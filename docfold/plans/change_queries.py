@@ -130,7 +130,7 @@ def _versioned(spark, sf):
     return ops.withColumn("arrival", demo.arrival(F.col("offset"))).withColumn("_offset_ver", F.floor(F.col("offset") / 3).cast("bigint"))
 
 
-_VERSIONED = "SELECT *, (event_id * 7919) % 1000003 AS arrival, event_id // 3 AS ver FROM events"
+_VERSIONED = "SELECT *, (event_id & 1023) * 9007199254740992 + (event_id >> 10) AS arrival, event_id // 3 AS ver FROM events"
 _GUARDED = f"""SELECT * FROM ({_VERSIONED}) QUALIFY row_number() OVER (PARTITION BY user_id ORDER BY ver DESC, arrival) = 1"""
 
 

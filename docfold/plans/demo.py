@@ -10,9 +10,7 @@ from pyspark.sql import Column, DataFrame, SparkSession, functions as F, types a
 from docfold.functions.encode import iso_instant
 from docfold.sources.tables import table
 
-# Fixed values of the mapping.
-ACTIONABLE = (1, 2, 4)
-ARRIVAL_STEP, ARRIVAL_PRIME = 7919, 1000003
+ACTIONABLE = ("t1", "t3")
 
 
 def change_log(spark: SparkSession, sf: str) -> DataFrame:
@@ -76,8 +74,8 @@ def user_ops(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def arrival(offset: Column) -> Column:
-    """A shuffled arrival order: a permutation of the offsets below the prime."""
-    return F.pmod(offset * F.lit(ARRIVAL_STEP), F.lit(ARRIVAL_PRIME))
+    """A shuffled arrival order: the low ten bits come first. Different offsets (0 to 2^63 - 1) keep different arrivals."""
+    return offset.bitwiseAND(F.lit(1023)) * F.lit(1 << 53) + F.shiftright(offset, 10)
 
 
 def json_ops(spark: SparkSession, sf: str) -> DataFrame:
@@ -97,11 +95,11 @@ def json_ops(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def customer_records(spark: SparkSession, sf: str) -> DataFrame:
-    """customer -> nation -> region as a nested struct. The two dimension tables have a fixed, tiny size."""
+    """customer -> nation -> region as a nested struct."""
     c, n, r = (table(spark, sf, t) for t in ("customer", "nation", "region"))
     return (
-        c.join(F.broadcast(n), F.col("c_nationkey") == F.col("n_nationkey"), "left")
-        .join(F.broadcast(r), F.col("n_regionkey") == F.col("r_regionkey"), "left")
+        c.join(n, F.col("c_nationkey") == F.col("n_nationkey"), "left")
+        .join(r, F.col("n_regionkey") == F.col("r_regionkey"), "left")
         .select(F.col("c_custkey").alias("id"), F.struct(
             F.col("c_name").alias("name"),
             F.struct(F.col("n_name").alias("name"), F.struct(F.col("r_name").alias("name")).alias("region")).alias("nation"),
@@ -129,22 +127,26 @@ def text_maps(spark: SparkSession, sf: str) -> DataFrame:
         "lang", "n_chars", F.lit("none"), F.lit(None).cast("bigint"), "source", "doc_id").alias("attrs"))
 
 
-def order_parents(spark: SparkSession, sf: str) -> DataFrame:
-    """Orders as search documents with three promises each, their source JSON and the derived latest date."""
+def line_parents(spark: SparkSession, sf: str) -> DataFrame:
+    """Documents with their text lines as children, the source JSON, and the longest actionable line as derived key.
+
+    The children are made inside the row, so a document with very many of them meets no shuffle.
+    """
     from docfold.operators.search import latest_actionable
 
+    d = text_records(spark, sf)
+    child = lambda x: F.struct(F.concat_ws("-", "id", x["pos"]).alias("id"), x["tag"].alias("tag"), x["chars"].alias("chars"))
+    docs = d.select("id", F.transform("lines", child).alias("children"))
+    return docs.select("*", F.to_json(F.struct("id", "children")).alias("_src"),
+                       latest_actionable(F.col("children"), "tag", "chars", ACTIONABLE).alias("longest_actionable"))
+
+
+def customer_orders(spark: SparkSession, sf: str) -> DataFrame:
+    """Customers with the date of their latest open order and the number of open ones; combined before the shuffle."""
     o = table(spark, sf, "orders")
-    key = F.col("o_orderkey")
-    promise = lambda k: F.struct(
-        (key * 3 + k).alias("id"), ((key + k) % 6 + 1).cast("int").alias("status"),
-        iso_instant(F.col("o_orderdate") + F.make_dt_interval(hours=((key + k) % 24).cast("int")), T.TimestampNTZType()).alias("created_at"))
-    docs = o.select(key.alias("id"), F.col("o_orderstatus").alias("state"), (key % 50 + 150).alias("height"),
-                    F.transform(F.sequence(F.lit(0), F.lit(2)), promise).alias("promises"))
-    actionable = F.filter("promises", lambda c: c["status"].isin(list(ACTIONABLE)))
-    return docs.select(
-        "*", F.to_json(F.struct("id", "promises")).alias("_src"),
-        F.size(actionable).cast("bigint").alias("actionable_total"),
-        latest_actionable(F.col("promises"), "status", "created_at", ACTIONABLE).alias("promises_latest_actionable_at"))
+    is_open = F.col("o_orderstatus").isin("O", "P")
+    return o.groupBy(F.col("o_custkey").alias("id")).agg(
+        F.max(F.when(is_open, F.col("o_orderdate"))).alias("latest_open"), F.count_if(is_open).alias("open_total"))
 
 
 def customer_location(key: Column) -> tuple[Column, Column]:

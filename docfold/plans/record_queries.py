@@ -96,10 +96,15 @@ def id_tpo(spark, sf):
     return log.select("offset", document_id(log.schema, FoldOptions(id_strategy="TOPIC_PARTITION_OFFSET")).alias("id"))
 
 
-@query("q_id_uuid")
+@query("q_id_uuid", "SELECT count(*) AS records, count(*) AS ids, count(*) AS well_formed FROM events")
 def id_uuid(spark, sf):
+    """Random ids: as many different ones as records, each in the form of a version 4 UUID."""
     log = demo.change_log(spark, sf)
-    return log.select("offset", document_id(log.schema, FoldOptions(use_autogenerated_ids=True)).alias("id"))
+    ids = log.select(document_id(log.schema, FoldOptions(use_autogenerated_ids=True)).alias("id"))
+    form = "^[0-9a-f]{8}-[0-9a-f]{4}-4[0-9a-f]{3}-[89ab][0-9a-f]{3}-[0-9a-f]{12}$"
+    # Counted per id first: an id must be drawn once only.
+    each = ids.groupBy("id").agg(F.count(F.lit(1)).alias("n"))
+    return each.agg(F.sum("n").alias("records"), F.count(F.lit(1)).alias("ids"), F.sum(F.when(F.col("id").rlike(form), F.col("n")).otherwise(0)).alias("well_formed"))
 
 
 @query("q_id_key_ignored", f"""WITH {_LOG}

@@ -11,15 +11,19 @@ from docfold.plans import demo
 from docfold.plans.registry import query
 from docfold.sources.tables import table
 
-_CHILDREN = """ch AS (SELECT o_orderkey, o_orderkey * 3 + k AS id, CAST((o_orderkey + k) % 6 + 1 AS INTEGER) AS status,
-  strftime(o_orderdate + INTERVAL 1 HOUR * ((o_orderkey + k) % 24), '%Y-%m-%dT%H:%M:%SZ') AS created_at
-  FROM orders, (SELECT unnest([0, 1, 2]) AS k)), act AS (SELECT * FROM ch WHERE status IN (1, 2, 4))"""
+# Children of a document: its text lines. Those whose length is odd have a tag; some tags are actionable.
+_LINES = """ch AS (SELECT doc_id, doc_id || '-' || (pos - 1) AS id, CAST(length(x) AS BIGINT) AS chars,
+    CASE WHEN length(x) % 2 = 1 THEN 't' || (length(x) % 7) END AS tag
+  FROM (SELECT doc_id, unnest(string_split(text, chr(10))) AS x, generate_subscripts(string_split(text, chr(10)), 1) AS pos FROM documents)),
+act AS (SELECT * FROM ch WHERE tag IN ('t1', 't3'))"""
+# Children of a customer: their orders; open and partly filled ones are actionable.
+_ORDERS = "act AS (SELECT * FROM orders WHERE o_orderstatus IN ('O', 'P'))"
 
 
 @query("q_term", "SELECT o_orderkey, o_custkey, o_orderstatus FROM orders WHERE o_custkey = 42")
 def term(spark, sf):
     o = table(spark, sf, "orders")
-    return search.find(o, search.term(F.col("o_custkey"), "42")).select("o_orderkey", "o_custkey", "o_orderstatus")
+    return search.find(o, search.term_in(o, "o_custkey", "42")).select("o_orderkey", "o_custkey", "o_orderstatus")
 
 
 @query("q_find", "SELECT o_orderkey, o_totalprice FROM orders WHERE o_orderstatus = 'P' AND o_orderpriority = '2-HIGH'")
@@ -53,8 +57,8 @@ def ci_match(spark, sf):
 
 
 @query("q_search_anything", """WITH t AS (SELECT doc_id, unnest([text, lang, source]) AS v FROM documents),
-w AS (SELECT doc_id, max(CASE WHEN length(v) <= 8000 AND contains(lower(v), 'the') THEN 1 ELSE 0 END) AS a,
-  max(CASE WHEN length(v) <= 8000 AND contains(lower(v), 'src1') THEN 1 ELSE 0 END) AS b FROM t GROUP BY doc_id)
+w AS (SELECT doc_id, max(CASE WHEN contains(lower(v), 'the') THEN 1 ELSE 0 END) AS a,
+  max(CASE WHEN contains(lower(v), 'src1') THEN 1 ELSE 0 END) AS b FROM t GROUP BY doc_id)
 SELECT doc_id FROM w WHERE a = 1 AND b = 1""")
 def search_anything(spark, sf):
     d = copy_fields(table(spark, sf, "documents"), ["text", "lang", "source"], "_text")
@@ -67,9 +71,9 @@ def multivalue_term(spark, sf):
     return search.find(demo.text_records(spark, sf), search.has_element(F.col("lines.tag"), "t3")).select("id")
 
 
-@query("q_exists", f"WITH {_CHILDREN} SELECT DISTINCT o_orderkey AS id FROM act")
+@query("q_exists", f"WITH {_ORDERS} SELECT DISTINCT o_custkey AS id FROM act")
 def exists(spark, sf):
-    return search.find(demo.order_parents(spark, sf), search.exists(F.col("promises_latest_actionable_at"))).select("id")
+    return search.find(demo.customer_orders(spark, sf), search.exists(F.col("latest_open"))).select("id")
 
 
 @query("q_prefix", "SELECT p_partkey, p_name FROM part WHERE p_name LIKE 're%'")
@@ -143,29 +147,34 @@ def count(spark, sf):
     return search.hits(table(spark, sf, "orders"), search.term(F.col("o_orderstatus"), "P"), search.in_range(F.col("o_totalprice"), 100000, low_open=True))
 
 
-_TOP = "SELECT id, status, created_at FROM act WHERE {parents} ORDER BY created_at DESC, id LIMIT 20"
+_TOP = "SELECT id, tag, chars FROM act WHERE {parents} ORDER BY chars DESC, id LIMIT 20"
 
 
-@query("q_recent_children", f"WITH {_CHILDREN} " + _TOP.format(
-    parents="o_orderkey IN (SELECT o_orderkey FROM act GROUP BY o_orderkey ORDER BY max(created_at) DESC, o_orderkey LIMIT 20)"))
+@query("q_recent_children", f"WITH {_LINES} " + _TOP.format(
+    parents="doc_id IN (SELECT doc_id FROM act GROUP BY doc_id ORDER BY max(chars) DESC, doc_id LIMIT 20)"))
 def recent_children(spark, sf):
     return search.recent_children(
-        demo.order_parents(spark, sf), "promises_latest_actionable_at", "_src", "promises",
-        "struct<id:bigint,status:int,created_at:string>", "status", "created_at", demo.ACTIONABLE, 20, [("id", "asc")], "id")
+        demo.line_parents(spark, sf), "longest_actionable", "_src", "children",
+        "struct<id:string,tag:string,chars:bigint>", "tag", "chars", demo.ACTIONABLE, 20, [("id", "asc")], "id")
 
 
-@query("q_top_hits", f"WITH {_CHILDREN} " + _TOP.format(parents="true"))
+@query("q_top_hits", f"WITH {_LINES} " + _TOP.format(parents="true"))
 def top_hits(spark, sf):
-    docs = demo.order_parents(spark, sf)
-    return search.top_children(docs, F.col("promises"), "status", "created_at", demo.ACTIONABLE, 20, [("id", "asc")])
+    docs = demo.line_parents(spark, sf)
+    return search.top_children(docs, F.col("children"), "tag", "chars", demo.ACTIONABLE, 20, [("id", "asc")])
 
 
-@query("q_latest_actionable", f"""WITH {_CHILDREN} SELECT ch.o_orderkey AS id,
-  max(created_at) FILTER (WHERE status IN (1, 2, 4)) AS promises_latest_actionable_at FROM ch GROUP BY ch.o_orderkey""")
+@query("q_latest_actionable", f"WITH {_LINES} SELECT ch.doc_id AS id, max(chars) FILTER (WHERE tag IN ('t1', 't3')) AS longest_actionable FROM ch GROUP BY ch.doc_id")
 def latest_actionable(spark, sf):
-    return demo.order_parents(spark, sf).select("id", "promises_latest_actionable_at")
+    return demo.line_parents(spark, sf).select("id", "longest_actionable")
 
 
-@query("q_facet_total", f"WITH {_CHILDREN} SELECT count(*) AS total FROM act")
+@query("q_latest_open", f"""WITH {_ORDERS} SELECT o_custkey AS id, CAST(max(o_orderdate) FILTER (WHERE o_orderstatus IN ('O', 'P')) AS VARCHAR) AS latest_open,
+  count(*) FILTER (WHERE o_orderstatus IN ('O', 'P')) AS open_total FROM orders GROUP BY o_custkey""")
+def latest_open(spark, sf):
+    return demo.customer_orders(spark, sf).withColumn("latest_open", F.col("latest_open").cast("string"))
+
+
+@query("q_facet_total", f"WITH {_ORDERS} SELECT count(*) AS total FROM act")
 def facet_total(spark, sf):
-    return demo.order_parents(spark, sf).agg(F.sum("actionable_total").alias("total"))
+    return demo.customer_orders(spark, sf).agg(F.sum("open_total").alias("total"))

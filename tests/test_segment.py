@@ -81,10 +81,10 @@ def test_skew_join_keeps_every_row(spark):
     right = [("hot", "H")] + [(f"k{i}", f"v{i}") for i in range(0, 30, 2)]
     table = dict(right)
     df, other = spark.createDataFrame(left, "k string, n bigint"), spark.createDataFrame(right, "k string, v string")
-    for hot_rows in (1, 50, 10_000):
-        got = skew_join(df, other, ["k"], "left", spread=["n"], hot_rows=hot_rows, salts=7)
+    for parts in (1, 7, 90, 5_000):
+        got = skew_join(df, other, ["k"], "left", spread=["n"], parts=parts)
         assert sorted((r.k or "", r.n, r.v or "") for r in got.collect()) == sorted((k or "", n, table.get(k) or "") for k, n in left)
-        inner = skew_join(df, other, ["k"], "inner", spread=["n"], hot_rows=hot_rows, hot_keys=3)
+        inner = skew_join(df, other, ["k"], "inner", spread=["n"], parts=parts)
         assert inner.count() == sum(k in table for k, _ in left)
 
 

@@ -39,7 +39,7 @@ def test_collections(spark, tmp_path):
 
 
 def test_long_strings(spark):
-    essay = "€" * 12_000
+    essay = "ß" * 12_000
     df = spark.createDataFrame([(essay, essay, essay, [essay, "x"])], "id string, _src string, first_name string, l array<string>")
     row = schema.cap_strings(df).first()
     assert (len(row.id), len(row._src), len(row.first_name), [len(x) for x in row.l]) == (12_000, 12_000, 8_000, [8_000, 1])
@@ -84,55 +84,65 @@ def test_optimistic_batch(spark):
 # --- search ------------------------------------------------------------------------------------
 
 @pytest.fixture(scope="module")
-def users(spark):
+def shops(spark):
     return spark.createDataFrame([
-        ("1", 1, 91, 9, 2.0, "2", ["Ada", "Augusta", "https://video.example/intro-clip"], "40.7128,-74.0060"),
-        ("2", 4, 269, 10, 10.0, "10", ["Grace", "a*b"], "0,0"), ("3", 10, 56, 100, 100.0, "100", None, "bad"),
-        ("4", None, None, None, None, "abc", ["x" * 9000 + "needle"], None)],
-        "id string, status int, height_to_cm bigint, conversation_id int, num double, txt string, _text array<string>, location string")
+        ("1", 1, 70, 8, 3.0, "3", ["Bakery", "Rye bread", "open 100%"], "52.52,13.405"),
+        ("2", 4, 310, 20, 30.0, "30", ["Tailor", "c*d"], "0,0"), ("3", 10, 15, 300, 300.0, "300", None, "bad"),
+        ("4", None, None, None, None, "kiosk", ["y" * 9000 + "pickle"], None)],
+        "id string, status int, area bigint, rank int, num double, txt string, words array<string>, location string")
 
 
 def found(df):
     return {r.id for r in df.collect()}
 
 
-def test_filters(users):
+def test_filters(shops):
     col = F.col
-    assert found(search.find(users, search.term(col("status"), "4"))) == {"2"}
-    assert found(search.find(users, search.any_of(col("status"), ["1", "4"]))) == {"1", "2"}
-    assert found(search.find(users, search.in_range(col("status"), high=4))) == {"1", "2"}
-    assert found(search.find(users, search.in_range(col("height_to_cm"), 91, 269, low_open=True))) == {"2"}
-    assert found(search.find(users, search.in_range(col("height_to_cm"), 56, 269, high_open=True))) == {"1", "3"}
-    assert found(search.find(users, search.in_range(col("status")))) == {"1", "2", "3"}
-    assert found(search.find(users, search.matches_ignoring_case(col("txt"), "ABC"))) == {"4"}
-    assert found(search.find(users, search.negate(col("status") == 1))) == {"2", "3", "4"}
-    assert found(search.find(users, search.exists(col("status")), search.starts_with(col("txt"), "1"))) == {"2", "3"}
-    assert found(search.find(users, search.has_element(col("_text"), "Grace"))) == {"2"}
-    assert search.hits(users, search.exists(col("status"))).first().num_found == 3
-    assert found(search.find(users, search.near(col("location"), 40.7128, -74.0060, 10))) == {"1"}
+    assert found(search.find(shops, search.term(col("status"), "4"))) == {"2"}
+    assert found(search.find(shops, search.any_of(col("status"), ["1", "4"]))) == {"1", "2"}
+    assert found(search.find(shops, search.in_range(col("status"), high=4))) == {"1", "2"}
+    assert found(search.find(shops, search.in_range(col("area"), 70, 310, low_open=True))) == {"2"}
+    assert found(search.find(shops, search.in_range(col("area"), 15, 310, high_open=True))) == {"1", "3"}
+    assert found(search.find(shops, search.in_range(col("status")))) == {"1", "2", "3"}
+    assert found(search.find(shops, search.matches_ignoring_case(col("txt"), "KIOSK"))) == {"4"}
+    assert found(search.find(shops, search.matches_ignoring_case(col("txt"), "KIOSK", limit=4))) == set()
+    assert found(search.find(shops, search.negate(col("status") == 1))) == {"2", "3", "4"}
+    assert found(search.find(shops, search.exists(col("status")), search.starts_with(col("txt"), "3"))) == {"1", "2", "3"}
+    assert found(search.find(shops, search.has_element(col("words"), "Tailor"))) == {"2"}
+    assert search.hits(shops, search.exists(col("status"))).first().num_found == 3
+    assert found(search.find(shops, search.near(col("location"), 52.52, 13.405, 10))) == {"1"}
+
+
+def test_a_number_against_a_text_column_is_text(shops):
+    assert found(search.find(shops, search.term_in(shops, "txt", 30))) == {"2"}
+    assert found(search.find(shops, search.term_in(shops, "num", "30"))) == {"2"}
 
 
 @pytest.mark.parametrize("words,expected", [
-    ("augusta", {"1"}), ("ADA clip", {"1"}), ("ada grace", set()), ("a*b", {"2"}), ("needle", set()), ("", {"1", "2", "3", "4"}), ("%", set())])
-def test_search_anything(users, words, expected):
-    assert found(search.find(users, search.search_anything(F.col("_text"), words))) == expected
+    ("bread", {"1"}), ("RYE bakery", {"1"}), ("rye tailor", set()), ("c*d", {"2"}), ("pickle", {"4"}), ("", {"1", "2", "3", "4"}), ("%", {"1"})])
+def test_search_anything(shops, words, expected):
+    assert found(search.find(shops, search.search_anything(F.col("words"), words))) == expected
+
+
+def test_search_with_a_term_limit(shops):
+    assert found(search.find(shops, search.search_anything(F.col("words"), "pickle", limit=8000))) == set()
 
 
 @pytest.mark.parametrize("sort,expected", [
-    ([("height_to_cm", "desc"), ("id", "asc")], "2134"), ([("height_to_cm", "asc"), ("id", "asc")], "3124"),
-    ([("conversation_id", "desc"), ("id", "asc")], "3214"), ([("num", "desc"), ("txt", "desc"), ("id", "asc")], "3214"),
+    ([("area", "desc"), ("id", "asc")], "2134"), ([("area", "asc"), ("id", "asc")], "3124"),
+    ([("rank", "desc"), ("id", "asc")], "3214"), ([("num", "desc"), ("txt", "desc"), ("id", "asc")], "3214"),
     ([("num", "asc"), ("txt", "asc"), ("id", "asc")], "1234")])
-def test_sorts(users, sort, expected):
-    rows = search.page(users, sort, 10, ["id"], "pos").collect()
+def test_sorts(shops, sort, expected):
+    rows = search.page(shops, sort, 10, ["id"], "pos").collect()
     assert "".join(r.id for r in sorted(rows, key=lambda r: r.pos)) == expected
     with pytest.raises(ValueError):
-        search.page(users, [("id", "up")], 1)
+        search.page(shops, [("id", "up")], 1)
 
 
 def test_cursor_pages_in_number_order(spark):
-    df = schema.copy_field(spark.createDataFrame([(i,) for i in ("2", "9", "10", "100", "11")], "id string"), "id", "id_sort", "bigint")
-    assert [r.id for r in search.cursor_page(df, "id_sort", None, 10).collect()] == ["2", "9", "10", "11", "100"]
-    assert [r.id for r in search.cursor_page(df, "id_sort", 10, 10).collect()] == ["11", "100"]
+    df = schema.copy_field(spark.createDataFrame([(i,) for i in ("3", "8", "12", "120", "15")], "id string"), "id", "id_sort", "bigint")
+    assert [r.id for r in search.cursor_page(df, "id_sort", None, 10).collect()] == ["3", "8", "12", "15", "120"]
+    assert [r.id for r in search.cursor_page(df, "id_sort", 12, 10).collect()] == ["15", "120"]
 
 
 def test_pages_plan_as_top_k_and_filters_reach_the_scan(spark):
