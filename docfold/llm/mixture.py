@@ -38,12 +38,12 @@ def cyclic_weights(sources: list[str | None], weights: tuple[float, ...] = (5, 2
     return {s: weights[i % len(weights)] for i, s in enumerate(order)}
 
 
-def targets(sizes: dict[str | None, int], weights: dict[str | None, float], repeats: int = REPEATS) -> dict[str | None, float]:
-    """Share sum(sizes) by weight; a source stops at `repeats` times its size and the excess is shared again.
+def targets(sizes: dict[str | None, int], weights: dict[str | None, float], repeats: int = REPEATS, total: int | None = None) -> dict[str | None, float]:
+    """Share `total` (default: sum(sizes)) by weight; a source stops at `repeats` times its size and the excess is shared again.
 
     The sources that stop are the first ones by size / weight, so one pass in that order finds them.
     """
-    left, weight, out = float(sum(sizes.values())), float(sum(weights[s] for s in sizes)), {}
+    left, weight, out = float(sum(sizes.values()) if total is None else total), float(sum(weights[s] for s in sizes)), {}
     for s in sorted(sizes, key=lambda s: (repeats * sizes[s] / weights[s], s is None, s or "")):
         share = left / weight * weights[s]
         if repeats * sizes[s] < share:
@@ -113,8 +113,7 @@ def mix(docs: DataFrame, members: Column, weights, repeats: int = REPEATS, seed:
     sources = {s for p in patterns for s in p}
     chosen = weights(list(sources)) if callable(weights) else weights
     whole = {s: sum(t for p, t in patterns.items() if s in p) for s in sources}
-    scale = sum(patterns.values())
-    goal = targets(whole, chosen, repeats) if len(patterns) == len(sources) else _bounded(whole, chosen, scale, repeats)
+    goal = targets(whole, chosen, repeats, sum(patterns.values()))
     given = flow(patterns, goal, repeats)
     source_of = {p: p[0] if len(p) == 1 else None for p in patterns}
     plan = spark.createDataFrame(
@@ -141,17 +140,6 @@ def mix(docs: DataFrame, members: Column, weights, repeats: int = REPEATS, seed:
             .drop("order", "bucket", "full", "rest", "line", "before", "more"))
 
 
-def _bounded(whole: dict, weights: dict, tokens: int, repeats: int) -> dict:
-    """Targets for overlapping sources: shares of the distinct tokens, each within `repeats` times the source."""
-    left, weight, out = float(tokens), float(sum(weights[s] for s in whole)), {}
-    for s in sorted(whole, key=lambda s: (repeats * whole[s] / weights[s], s is None, s or "")):
-        share = left / weight * weights[s]
-        out[s] = float(min(share, repeats * whole[s]))
-        if out[s] < share:
-            left, weight = left - out[s], weight - weights[s]
-    return out
-
-
 def mix_sources(docs: DataFrame, seed: str = SEED) -> DataFrame:
     """Every document belongs to its own source; weights 5, 2, 1 in turn."""
     mixed = mix(docs, F.array("source"), cyclic_weights, seed=seed)
