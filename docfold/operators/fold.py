@@ -66,13 +66,32 @@ def soft_deletes(ops: DataFrame, version: str, arrival: str, keys: Sequence[str]
 
 
 def live(docs: DataFrame) -> DataFrame:
-    """A10: what readers see; documents without the marker are live."""
-    return docs.where(~F.coalesce(F.col(DELETED), F.lit(False)))
+    """A10: what readers see; documents without the marker are live. The marker is a column or an entry of `fields`."""
+    return docs.where(~_marked(docs))
+
+
+def _marked(docs: DataFrame) -> Column:
+    if DELETED in docs.columns:
+        return F.coalesce(F.col(DELETED), F.lit(False))
+    return F.coalesce(F.get(F.col("fields")[DELETED], F.lit(0)) == "true", F.lit(False))
+
+
+def typed(docs: DataFrame, types: dict[str, str]) -> DataFrame:
+    """Keys and one column per field of `types` (name -> Spark type) from a `fields` map. An array type keeps all values,
+    another the first one; a value that does not fit the type is NULL."""
+    def column(name: str, kind: str) -> Column:
+        values = F.col("fields")[name]
+        if kind.startswith("array<"):
+            return F.transform(values, lambda v: v.try_cast(kind[6:-1])).alias(name)
+        return F.get(values, F.lit(0)).try_cast(kind).alias(name)
+
+    return docs.select(*_keys(docs, KEYS), *[column(n, t) for n, t in types.items()])
 
 
 def purge_deleted(docs: DataFrame, version: str, below: int) -> DataFrame:
     """A10: drop tombstone documents whose version is under `below` (no older write can still arrive)."""
-    return docs.where(~(F.coalesce(F.col(DELETED), F.lit(False)) & (F.col(version) < below)))
+    stored = F.col(version) if version in docs.columns else F.get(F.col("fields")[version], F.lit(0)).try_cast("bigint")
+    return docs.where(~(_marked(docs) & F.coalesce(stored < below, F.lit(False))))
 
 
 def delete_all(docs: DataFrame) -> DataFrame:

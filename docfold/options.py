@@ -1,4 +1,8 @@
-"""User options. Defaults are the documented ones; every option changes results, none tunes a client."""
+"""User options. Defaults are the documented ones.
+
+`batch_size`, `bulk_size_bytes` and `retry_timeout_ms` tune a client's requests. There is no client here, so they are
+checked and have no effect; they are accepted so that an existing configuration loads.
+"""
 
 from __future__ import annotations
 
@@ -85,6 +89,9 @@ class FoldOptions:
         values = {}
         for dotted, text in props.items():
             name = dotted.replace(".", "_")
+            # A property may carry the name of a product or a part in front: `x.collection` is `collection`.
+            while name not in known and "_" in name:
+                name = name.partition("_")[2]
             if name not in known:
                 raise ValueError(f"unknown option {dotted}")
             default = known[name].default

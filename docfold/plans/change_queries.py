@@ -10,6 +10,7 @@ from docfold.operators.identity import document_id
 from docfold.operators.variant import is_object, variant_fields
 from docfold.options import FoldOptions
 from docfold.plans import demo
+from docfold.plans.ingest import convert
 from docfold.plans.registry import query
 from docfold.sources.changes import decode_json, unwrap_key
 from docfold.sources.tables import table
@@ -350,3 +351,28 @@ def stalled(spark, sf):
 def latency_stats(spark, sf):
     out = progress.latency_stats(table(spark, sf, "events"), "value", ["event_type"])
     return out.withColumn("mean", F.round("mean", 6))
+
+
+# --- the pipeline's own order and stamps ------------------------------------------------------------
+
+_ONE = {"collection": "users", "collection_naming_strategy": "STATIC", "offset_version_field": "ver", "behavior_on_null_values": "delete"}
+
+
+@query("q_multi_topic_order", """SELECT CAST(user_id AS VARCHAR) AS id, event_id AS ver, event_type = 'error' AS deleted FROM events
+QUALIFY row_number() OVER (PARTITION BY user_id ORDER BY ts DESC, 'events-' || event_type DESC, event_id DESC) = 1""")
+def multi_topic_order(spark, sf):
+    """Several topics feed one collection: the last record by (timestamp, topic, partition, offset) stands."""
+    ops = convert(unwrap_key(demo.change_log(spark, sf)), FoldOptions(**_ONE)).ops
+    ops = ops.withColumn("at", F.struct("timestamp", "topic", "partition", "offset"))
+    docs = fold.apply_fields(ops, order="at")
+    return fold.typed(docs, {"ver": "bigint", "_deleted": "boolean"}).select("id", "ver", F.coalesce("_deleted", F.lit(False)).alias("deleted"))
+
+
+@query("q_stamp_collision", "SELECT event_id, event_id AS ver, event_id % 7 AS n FROM events")
+def stamp_collision(spark, sf):
+    """Records that carry the names of stamps: the stamp wins, and the batch goes on."""
+    text = F.format_string('{"ver": 1, "_deleted": true, "n": %d}', F.col("offset") % 7)
+    log = unwrap_key(demo.change_log(spark, sf)).withColumn("value", text)
+    ops = convert(log, FoldOptions(**_ONE)).ops
+    return fold.typed(ops.withColumn("id", F.col("offset").cast("string")), {"ver": "bigint", "n": "bigint"}).select(
+        F.col("id").cast("bigint").alias("event_id"), "ver", "n")

@@ -17,7 +17,7 @@ from docfold.sources.changes import decode_json
 
 @dataclass(frozen=True)
 class Converted:
-    """`ops`: collection, id, op, topic, partition, offset, version, fields. `dead`: the original record and `reason`."""
+    """`ops`: collection, id, op, topic, partition, offset, timestamp, version, fields. `dead`: the original record and `reason`."""
 
     ops: DataFrame
     dead: DataFrame
@@ -78,6 +78,7 @@ def convert(changes: DataFrame, options: FoldOptions = FoldOptions()) -> Convert
             F.create_map(*[x for n, c in extra for x in (F.lit(n), F.array(c.cast("string")))]),
             lambda k, v: F.get(v, 0).isNotNull()))
     version = stamps(changes.schema, options).get("_version_", F.lit(None).cast("bigint"))
+    timestamp = F.col("timestamp") if "timestamp" in changes.columns else F.lit(None).cast("timestamp")
     write = "replace" if not options.partial else "update"
     if soft:
         marker = F.create_map(F.lit(options.offset_version_field), F.array(F.col("offset").cast("string")),
@@ -86,7 +87,8 @@ def convert(changes: DataFrame, options: FoldOptions = FoldOptions()) -> Convert
     else:
         body, op = F.when(~gone, stamped), F.when(gone, F.lit("delete")).otherwise(F.lit(write))
     ops = good.select(
-        "collection", "id", op.alias("op"), "topic", "partition", "offset", version.alias("version"), body.alias("fields"))
+        "collection", "id", op.alias("op"), "topic", "partition", "offset", timestamp.alias("timestamp"), version.alias("version"),
+        body.alias("fields"))
     return Converted(ops, dead.select(*record_columns, "reason"))
 
 

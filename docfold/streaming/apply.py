@@ -9,7 +9,7 @@ from docfold.operators.fold import atomic_split
 from docfold.operators.identity import route
 from docfold.operators.schema import Collections
 from docfold.options import FoldOptions
-from docfold.plans.ingest import convert
+from docfold.plans.ingest import convert, dry_run_report
 from docfold.streaming.table import DocumentTable
 
 
@@ -33,28 +33,30 @@ def check_targets(batch: DataFrame, options: FoldOptions, collections: Collectio
 
 
 def apply_batch(batch: DataFrame, number: int, table: DocumentTable, options: FoldOptions,
-                collections: Collections | None = None) -> None:
-    """Convert one micro-batch and write it: dead letters first, then the ops.
+                collections: Collections | None = None, stream: str = "main") -> DataFrame | None:
+    """Convert one micro-batch of a stream and write it: dead letters first, then the ops. A dry run returns its
+    report (`dry_run_report`) and writes nothing.
 
     With `behavior_on_malformed_documents=fail` the first malformed record fails the batch and nothing of it
     is written. Under ATOMIC_UPDATE a missing document is a rejected record: a dead letter, or a failure.
     """
     if options.dry_run:
-        convert(batch, options).ops.groupBy("collection", "op").count().collect()      # a few rows: collections x kinds
-        return
+        return dry_run_report(convert(batch, options).ops)
     if collections is not None:
         check_targets(batch, options, collections)
     strict = options.behavior_on_malformed_documents == "fail"
     atomic = options.write_method == "ATOMIC_UPDATE"
     if strict and not atomic:
-        table.apply(convert(batch, options).ops, number)
-        return
+        table.apply(convert(batch, options).ops, number, stream)
+        return None
     batch = batch.persist()
     try:
         converted = convert(batch, options)
         ops, dead = converted.ops, converted.dead
         if atomic:
-            marked = atomic_split(table.existing(ops), ops)
+            # What the batch itself wrote when it was first delivered must not count.
+            ops = table.ordered(ops)
+            marked = atomic_split(table.existing(ops, before=(stream, number)), ops, order="at")
             ops = marked.where(~F.col("refused")).drop("refused")
             refused = marked.where("refused").select("topic", "partition", "offset", F.lit("document does not exist").alias("reason"))
             if strict:
@@ -65,17 +67,34 @@ def apply_batch(batch: DataFrame, number: int, table: DocumentTable, options: Fo
                 record = batch.join(refused, ["topic", "partition", "offset"])
                 dead = dead.unionByName(record, allowMissingColumns=True)
         if not strict:
-            table.reject(dead, number)
-        table.apply(ops, number)
+            table.reject(dead, number, stream)
+        table.apply(ops, number, stream)
     finally:
         batch.unpersist()
+    return None
 
 
 def start(changes: DataFrame, table: DocumentTable, options: FoldOptions = FoldOptions(), checkpoint: str | None = None,
-          collections: Collections | None = None, **trigger) -> StreamingQuery:
+          collections: Collections | None = None, compact_every: int = 100, report=None, **trigger) -> StreamingQuery:
     """Keep `table` up to date with a change stream. Source offsets are committed after a batch is written, so a
-    batch cut short is delivered again and overwrites its own directory."""
+    batch cut short is delivered again and overwrites its own directory.
+
+    The stream's name in the table is the id that Spark keeps in its checkpoint: a new checkpoint is a new stream.
+    Every `compact_every` batches the deltas become a base, and those of the base before are removed (0: never).
+    `report` gets the counts of every batch of a dry run.
+    """
     spark = changes.sparkSession
     folder = checkpoint or work_folder(spark, "apply")
+
+
+    def one(df: DataFrame, number: int) -> None:
+        stream = spark.sparkContext.getLocalProperty("sql.streaming.queryId")
+        found = apply_batch(df, number, table, options, collections, stream)
+        if found is not None and report is not None:
+            report(found)
+        if compact_every and number % compact_every == compact_every - 1 and not options.dry_run:
+            table.compact()
+            table.vacuum(keep=1)
+
     return (changes.writeStream.option("checkpointLocation", folder).trigger(**(trigger or {"availableNow": True}))
-            .foreachBatch(lambda df, n: apply_batch(df, n, table, options, collections)).start())
+            .foreachBatch(one).start())

@@ -1,28 +1,41 @@
 """A document table fed by micro-batches: appended deltas, merged when read.
 
 Parquet has no merge, and rewriting a big table for every small batch does not scale. Each batch therefore
-writes one delta per touched id (see `operators.fold`) under its own number; a reader folds the last base
-and the deltas after it; `compact` turns them into the next base. A delta keeps order values, so batches
-can be replayed, and older writes that arrive late lose, without looking at the table while writing.
-
-    <root>/delta/batch=<n>/collection=<c>/...      one directory per micro-batch
-    <root>/base/upto=<n>/collection=<c>/...        everything up to batch n
-    <root>/dead/batch=<n>/...                      records that could not be applied
-
-A directory counts once its `_SUCCESS` marker is there, so a half-written one is never read and is simply
-overwritten when its batch comes again.
+writes one delta per touched id (see `operators.fold`); a reader folds the newest base and the deltas that it
+does not hold; `compact` turns them into the next base. A delta keeps order values, so batches can be replayed,
+and older writes that arrive late lose, without looking at the table while writing.
+
+    <root>/data/stream=<s>/batch=<n>/collection=<c>/...       one directory per micro-batch of a stream
+    <root>/data/stream=_base/batch=<k>/collection=<c>/...     base k
+    <root>/bases/<k>.json                                     the (stream, batch) pairs that base k holds
+    <root>/dead/stream=<s>/batch=<n>/...                      records that could not be applied
+
+The identity of a write is the pair (stream, batch): several streams, or a stream with a new checkpoint, never
+replace or skip each other's batches. A directory counts once its `_SUCCESS` marker is there, a base once its
+list is there, so a half-written one is never read; a batch that comes again overwrites its own directory.
+
+The order of the writes of one id is the struct (timestamp, topic, partition, offset) of their records, which
+also orders several topics or partitions of one collection; with `order="offset"` it is the bare offset, for
+collections fed by one partition whose timestamps may go back.
 """
 
 from __future__ import annotations
 
+import json
+
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from docfold.operators import fold
 
+BASE = "_base"
+ORDERS = {"time": "struct<timestamp: timestamp, topic: string, partition: int, offset: bigint>", "offset": "bigint"}
+
 
 class DocumentTable:
-    def __init__(self, spark: SparkSession, root: str):
-        self._spark, self.root = spark, root.rstrip("/")
+    def __init__(self, spark: SparkSession, root: str, order: str = "time"):
+        if order not in ORDERS:
+            raise ValueError(f"order must be one of {', '.join(ORDERS)}, got {order!r}")
+        self._spark, self.root, self.order = spark, root.rstrip("/"), order
 
     # --- files ---------------------------------------------------------------------------------
 
@@ -30,53 +43,82 @@ class DocumentTable:
         p = self._spark._jvm.org.apache.hadoop.fs.Path(path)
         return p.getFileSystem(self._spark._jsc.hadoopConfiguration()), p
 
-    def _complete(self, kind: str, prefix: str) -> dict[int, str]:
-        """Number -> path of the finished directories of a kind."""
-        fs, parent = self._fs(f"{self.root}/{kind}")
-        if not fs.exists(parent):
-            return {}
+    def _complete(self, kind: str) -> dict[tuple[str, int], str]:
+        """(stream, batch) -> path of the finished directories of a kind; one listing."""
+        fs, pattern = self._fs(f"{self.root}/{kind}/stream=*/batch=*/_SUCCESS")
         out = {}
-        for status in fs.listStatus(parent):
-            path, name = status.getPath().toString(), status.getPath().getName()
-            if name.startswith(prefix) and self._has_marker(path):
-                out[int(name[len(prefix):])] = path
+        for status in fs.globStatus(pattern) or []:
+            folder = status.getPath().getParent()
+            batch, stream = folder.getName(), folder.getParent().getName()
+            out[stream.removeprefix("stream="), int(batch.removeprefix("batch="))] = folder.toString()
         return out
 
-    def _has_marker(self, path: str) -> bool:
-        fs, marker = self._fs(f"{path}/_SUCCESS")
-        return fs.exists(marker)
+    def _bases(self) -> list[int]:
+        fs, pattern = self._fs(f"{self.root}/bases/*.json")
+        return sorted(int(s.getPath().getName().removesuffix(".json")) for s in fs.globStatus(pattern) or [])
+
+    def _holds(self, base: int) -> set[tuple[str, int]]:
+        text = self._spark.read.text(f"{self.root}/bases/{base}.json", wholetext=True).first()
+        return {(s, n) for s, n in json.loads(text.value)}
+
+    def _write_holds(self, base: int, pairs: set[tuple[str, int]]) -> None:
+        """The list appears under its name only when it is whole."""
+        fs, temporary = self._fs(f"{self.root}/bases/_{base}.json.part")
+        out = fs.create(temporary, True)
+        out.write(bytearray(json.dumps(sorted(pairs)).encode()))
+        out.close()
+        fs.rename(temporary, self._fs(f"{self.root}/bases/{base}.json")[1])
 
     @property
-    def compacted(self) -> int:
-        """Last batch the newest base holds; -1 without a base."""
-        return max(self._complete("base", "upto="), default=-1)
+    def held(self) -> set[tuple[str, int]]:
+        """The (stream, batch) pairs in the newest base."""
+        bases = self._bases()
+        return self._holds(bases[-1]) if bases else set()
 
     # --- writing -------------------------------------------------------------------------------
 
-    def apply(self, ops: DataFrame, batch: int, order: str = "offset") -> None:
-        """Write one micro-batch. Repeating a batch leaves the same table."""
-        if batch <= self.compacted:
+    def ordered(self, ops: DataFrame) -> DataFrame:
+        """`ops` with the order column `at`."""
+        if self.order == "offset":
+            return ops.withColumn("at", F.col("offset"))
+        return ops.withColumn("at", F.struct(F.col("timestamp").cast("timestamp").alias("timestamp"), "topic",
+                                             F.col("partition").cast("int").alias("partition"), "offset"))
+
+    def apply(self, ops: DataFrame, batch: int, stream: str = "main") -> None:
+        """Write one micro-batch. Repeating a batch of a stream leaves the same table."""
+        if stream == BASE or "/" in stream:
+            raise ValueError(f"not a stream name: {stream!r}")
+        if (stream, batch) in self.held:      # this very batch, delivered again after a compaction
             return
-        fold.delta(ops, order=order).write.mode("overwrite").partitionBy("collection").parquet(f"{self.root}/delta/batch={batch}")
+        fold.delta(self.ordered(ops), order="at").write.mode("overwrite").partitionBy("collection").parquet(
+            f"{self.root}/data/stream={stream}/batch={batch}")
 
-    def reject(self, dead: DataFrame, batch: int) -> None:
+    def reject(self, dead: DataFrame, batch: int, stream: str = "main") -> None:
         """Write the dead letters of one micro-batch; done before its ops, so progress never passes a lost record."""
-        dead.write.mode("overwrite").parquet(f"{self.root}/dead/batch={batch}")
+        dead.write.mode("overwrite").parquet(f"{self.root}/dead/stream={stream}/batch={batch}")
 
     def compact(self) -> int:
-        """Fold everything into a new base and return the last batch it holds; readers switch when it is complete."""
-        deltas = self._complete("delta", "batch=")
-        last = max(deltas, default=-1)
-        if last > self.compacted:
-            merged = self._merged()
-            merged.write.mode("overwrite").partitionBy("collection").parquet(f"{self.root}/base/upto={last}")
-        return self.compacted
-
-    def vacuum(self) -> list[str]:
-        """Remove what the newest base replaces, and say what was removed. Only for when no reader still uses it."""
-        upto = self.compacted
-        old = [p for n, p in self._complete("delta", "batch=").items() if n <= upto]
-        old += [p for n, p in self._complete("base", "upto=").items() if n < upto]
+        """Fold everything into a new base and return its number (-1: nothing to fold); readers switch when its list is there."""
+        bases, pending = self._bases(), self._pending()
+        if not pending:
+            return bases[-1] if bases else -1
+        number = (bases[-1] if bases else -1) + 1
+        pairs = self.held | set(pending)
+        self._merged().write.mode("overwrite").partitionBy("collection").parquet(f"{self.root}/data/stream={BASE}/batch={number}")
+        self._write_holds(number, pairs)
+        return number
+
+    def vacuum(self, keep: int = 0) -> list[str]:
+        """Remove what bases replaced, and say what was removed. `keep` newest bases are left readable as they were,
+        with the deltas they do not hold: 1 gives readers the time of one compaction."""
+        bases = self._bases()
+        if len(bases) <= keep:
+            return []
+        upto = bases[-1 - keep]
+        held, old = self._holds(upto), []
+        for (stream, batch), path in self._complete("data").items():
+            if (stream, batch) in held or stream == BASE and batch < upto:
+                old.append(path)
         for path in old:
             fs, p = self._fs(path)
             fs.delete(p, True)
@@ -84,55 +126,53 @@ class DocumentTable:
 
     # --- reading -------------------------------------------------------------------------------
 
-    def _paths(self) -> list[str]:
-        bases = self._complete("base", "upto=")
-        upto = max(bases, default=-1)
-        deltas = [p for n, p in sorted(self._complete("delta", "batch=").items()) if n > upto]
-        return ([bases[upto]] if bases else []) + deltas
-
-    def _rows(self) -> DataFrame | None:
-        out = None
-        for path in self._paths():
-            # An empty batch has no files, hence no schema of its own.
-            if not self._has_files(path):
-                continue
-            df = self._spark.read.option("basePath", path).schema(self._schema()).parquet(path)
-            out = df if out is None else out.unionByName(df)
-        return out
+    def _pending(self) -> dict[tuple[str, int], str]:
+        """Deltas that the newest base does not hold."""
+        held = self.held
+        return {k: p for k, p in self._complete("data").items() if k[0] != BASE and k not in held}
+
+    def _rows(self, before: tuple[str, int] | None = None) -> DataFrame:
+        """One scan over the newest base and the deltas after it. `before`: leave out this batch and later ones of its stream."""
+        bases = self._bases()
+        paths = [f"{self.root}/data/stream={BASE}/batch={bases[-1]}"] if bases else []
+        paths += [p for (s, n), p in sorted(self._pending().items()) if before is None or s != before[0] or n < before[1]]
+        # An empty batch has a marker and no files.
+        paths = [p for p in paths if self._has_files(p)]
+        if not paths:
+            return self._spark.createDataFrame([], self._schema())
+        return self._spark.read.option("basePath", f"{self.root}/data").schema(self._schema()).parquet(*paths)
 
     def _has_files(self, path: str) -> bool:
         fs, p = self._fs(path)
         return any(s.isDirectory() for s in fs.listStatus(p))
 
     def _schema(self) -> str:
-        return ("id string, base bigint, written bigint, fields map<string, struct<at: bigint, value: array<string>>>, "
-                "collection string")
+        at = ORDERS[self.order]
+        return f"id string, base {at}, written {at}, fields map<string, struct<at: {at}, value: array<string>>>, collection string"
 
     def _merged(self) -> DataFrame:
-        rows = self._rows()
-        if rows is None:
-            rows = self._spark.createDataFrame([], self._schema())
-        return fold.merge_deltas(rows)
+        return fold.merge_deltas(self._rows())
 
-    def read(self, collection: str | None = None) -> DataFrame:
-        """Current documents: collection, id, fields. A collection reads its own partitions only."""
+    def read(self, collection: str | None = None, live: bool = False) -> DataFrame:
+        """Current documents: collection, id, fields. A collection reads its own partitions only. `live` leaves out
+        tombstone documents."""
         rows = self._rows()
-        if rows is None:
-            return self._spark.createDataFrame([], "collection string, id string, fields map<string, array<string>>")
         if collection is not None:
             rows = rows.where(F.col("collection") == collection)
-        return fold.documents(fold.merge_deltas(rows))
+        docs = fold.documents(fold.merge_deltas(rows))
+        return fold.live(docs) if live else docs
 
-    def existing(self, among: DataFrame) -> DataFrame:
-        """Ids of `among` (collection, id) that have a document now. Reads no field values."""
-        rows = self._rows()
-        if rows is None:
-            return among.select("collection", "id").limit(0)
+    def columns(self, types: dict[str, str], collection: str | None = None) -> DataFrame:
+        """Current documents with typed columns: a field of array type keeps all its values, another the first."""
+        return fold.typed(self.read(collection), types)
+
+    def existing(self, among: DataFrame, before: tuple[str, int] | None = None) -> DataFrame:
+        """Ids of `among` (collection, id) that have a document, as of `before` this (stream, batch). Reads no field values."""
         wanted = among.select("collection", "id").distinct()
-        marks = rows.select("collection", "id", "base", "written").join(wanted, ["collection", "id"], "left_semi")
+        marks = self._rows(before).select("collection", "id", "base", "written").join(wanted, ["collection", "id"], "left_semi")
         state = marks.groupBy("collection", "id").agg(F.max("base").alias("b"), F.max("written").alias("w"))
         return state.where(F.col("w").isNotNull() & (F.col("b").isNull() | (F.col("w") >= F.col("b")))).select("collection", "id")
 
     def dead_letters(self) -> DataFrame | None:
-        paths = [p for _, p in sorted(self._complete("dead", "batch=").items())]
+        paths = [p for _, p in sorted(self._complete("dead").items())]
         return self._spark.read.parquet(*paths) if paths else None

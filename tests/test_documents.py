@@ -268,6 +268,7 @@ def test_options():
             FoldOptions(**bad)
     with pytest.raises(ValueError):
         FoldOptions.from_properties({"no.such": "1"})
+    assert FoldOptions.from_properties({"product.collection": "c", "product.offset.version.field": "ver"}).offset_version_field == "ver"
 
 
 def test_typed_text_is_one_encoding(spark):
