@@ -152,10 +152,10 @@ def indexed(rank, parts: int, min_words: int) -> Callable:
                 whole = np.empty(int(long.sum()), LINE)
                 whole["id"], whole["text"], whole["line"] = ids[row[long]], texts[row[long]], number[long]
                 whole["n"], whole["key"] = n[long], key[long].view(np.int64)
-                # copies within a piece need no index entries of their own
-                _, first = np.unique(key, return_index=True)
+                # copies within a piece need no index entries of their own: the earliest by (id, line) stands for them
+                order = np.lexsort((number, ids[row], key))
                 alone = np.zeros(len(n), bool)
-                alone[first] = True
+                alone[order] = np.concatenate([[True], key[order][1:] != key[order][:-1]])
                 take = np.where(long & alone, n - (4 * n + 4) // 5 + 1, 0)
                 at_line = np.repeat(np.arange(len(n)), take)
                 pos = np.arange(len(at_line)) - np.repeat(np.cumsum(take) - take, take)

@@ -96,6 +96,15 @@ def test_many_variants_of_one_line_are_all_removed(spark):
     assert got == brute.repeated_lines(docs)
 
 
+def test_copies_in_descending_order_of_documents(spark):
+    """The earliest copy by doc_id meets the similar line, wherever it stands in its partition."""
+    line, similar = "a b c d e f g h i j", "a b c d e f g h i x"
+    docs = [(10, line), (5, line), (7, similar), (3, "k l m n o p\nk l m n o p"), (1, "q r s t u v"), (2, "q r s t u v\nk l m n o p")]
+    rows = spark.createDataFrame(docs, "doc_id long, text string").coalesce(1)
+    got = {r.doc_id: r.removed_lines for r in lines.dedup(rows).collect() if r.removed_lines}
+    assert got == brute.repeated_lines(docs) == {10: [0], 7: [0], 2: [0], 3: [0, 1]}
+
+
 def test_repeated_rows_and_null_ids_in_line_dedup(spark):
     text = "one two three four five six"
     rows = spark.createDataFrame([(3, text), (3, text), (None, text), (4, text)], "doc_id long, text string")
