@@ -30,8 +30,11 @@ def line_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Of each group of near-duplicates the document with the smallest doc_id stays; documents without words stay."""
-    linked = minmax.link(docs).where("NOT kept AND doc_id IS NOT NULL").select("doc_id").distinct()
+    """Of each group of near-duplicates the document with the smallest doc_id stays; documents without words stay.
+
+    Near-duplicates have at least 80 % of their five-word shingles in common.
+    """
+    linked = minmax.link(docs, percent=80).where("NOT kept AND doc_id IS NOT NULL").select("doc_id").distinct()
     rows = docs.select(*COLUMNS)
     return rows.join(linked, "doc_id", "left_anti").select(*COLUMNS)
 

@@ -19,6 +19,7 @@ not kept. Other columns are ignored; an empty table gives no rows.
 
 from __future__ import annotations
 
+import math
 import sys
 from collections.abc import Iterator
 
@@ -32,8 +33,8 @@ from docfold.llm import graphs, shared, textcore
 
 cloudpickle.register_pickle_by_value(sys.modules[__name__])
 
-PERMUTATIONS = 32
 BAND = 4
+MISS = 1e-5  # chance that a pair at the threshold shares no band
 WORDS = 5
 PARITY = 16  # 64-bit words of a parity bitmap
 SKETCH = "doc_id long, n_shingles long, f1 long, f2 long, bands array<long>, parity array<long>"
@@ -45,31 +46,41 @@ def _rows(values: np.ndarray) -> pa.ListArray:
     return pa.ListArray.from_arrays(np.arange(0, n * width + 1, width, dtype=np.int32), pa.array(values.astype(np.uint64).view(np.int64).ravel()))
 
 
-def _sketches(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    words = textcore.Words()
-    factors, shifts = textcore.seeds(PERMUTATIONS, 11) | np.uint64(1), textcore.seeds(PERMUTATIONS, 12)
-    for batch in batches:
-        for a, b, data, offs in textcore.pieces(batch.column(1)):
-            s, at = textcore.unique_by_row(*textcore.shingles(*words.hashes(data, offs), WORDS))
-            n = np.diff(at)
-            signature = np.empty((b - a, 2 * PERMUTATIONS), np.uint64)
-            for i in range(PERMUTATIONS):
-                h = (s ^ shifts[i]) * factors[i]
-                signature[:, i] = textcore.by_row(np.minimum, h, at, 0)
-                signature[:, PERMUTATIONS + i] = textcore.by_row(np.maximum, h, at, 0)
-            # a band holds values of different permutations: 0-3, 4-7, ... of the minima, then of the maxima
-            bands = np.zeros((b - a, 2 * PERMUTATIONS // BAND), np.uint64)
-            for j in range(BAND):
-                bands = textcore.mix(bands * np.uint64(3) + signature[:, j::BAND])
-            parity = np.empty((b - a, PARITY), np.uint64)
-            bit, word = np.uint64(1) << (s & np.uint64(63)), (s >> np.uint64(6)) & np.uint64(PARITY - 1)
-            for j in range(PARITY):
-                parity[:, j] = textcore.by_row(np.bitwise_xor, np.where(word == j, bit, np.uint64(0)), at, 0)
-            mixed = textcore.mix(s)
-            yield pa.RecordBatch.from_arrays(
-                [batch.column(0).slice(a, b - a), pa.array(n.astype(np.int64)),
-                 pa.array(textcore.by_row(np.add, s, at, 0).view(np.int64)), pa.array(textcore.by_row(np.add, mixed, at, 0).view(np.int64)),
-                 _rows(bands), _rows(parity)], names=["doc_id", "n_shingles", "f1", "f2", "bands", "parity"])
+def permutations(percent: int) -> int:
+    """Permutations for the bands that a threshold needs; half of the bands are of minima, half of maxima."""
+    at_threshold = (percent / 100) ** BAND
+    bands = math.log(MISS) / math.log(1 - at_threshold) if at_threshold < 1 else 1
+    return BAND * math.ceil(bands / 2)
+
+
+def _sketches(permutations: int):
+    def task(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        words = textcore.Words()
+        factors, shifts = textcore.seeds(permutations, 11) | np.uint64(1), textcore.seeds(permutations, 12)
+        for batch in batches:
+            for a, b, data, offs in textcore.pieces(batch.column(1)):
+                s, at = textcore.unique_by_row(*textcore.shingles(*words.hashes(data, offs), WORDS))
+                n = np.diff(at)
+                signature = np.empty((b - a, 2 * permutations), np.uint64)
+                for i in range(permutations):
+                    h = (s ^ shifts[i]) * factors[i]
+                    signature[:, i] = textcore.by_row(np.minimum, h, at, 0)
+                    signature[:, permutations + i] = textcore.by_row(np.maximum, h, at, 0)
+                # a band holds values of different permutations: 0-3, 4-7, ... of the minima, then of the maxima
+                bands = np.zeros((b - a, 2 * permutations // BAND), np.uint64)
+                for j in range(BAND):
+                    bands = textcore.mix(bands * np.uint64(3) + signature[:, j::BAND])
+                parity = np.empty((b - a, PARITY), np.uint64)
+                bit, word = np.uint64(1) << (s & np.uint64(63)), (s >> np.uint64(6)) & np.uint64(PARITY - 1)
+                for j in range(PARITY):
+                    parity[:, j] = textcore.by_row(np.bitwise_xor, np.where(word == j, bit, np.uint64(0)), at, 0)
+                mixed = textcore.mix(s)
+                yield pa.RecordBatch.from_arrays(
+                    [batch.column(0).slice(a, b - a), pa.array(n.astype(np.int64)),
+                     pa.array(textcore.by_row(np.add, s, at, 0).view(np.int64)), pa.array(textcore.by_row(np.add, mixed, at, 0).view(np.int64)),
+                     _rows(bands), _rows(parity)], names=["doc_id", "n_shingles", "f1", "f2", "bands", "parity"])
+
+    return task
 
 
 def _sets(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -116,7 +127,7 @@ def _confirmed(docs: DataFrame, pairs: DataFrame, percent: int) -> DataFrame:
 def link(docs: DataFrame, percent: int = 85) -> DataFrame:
     """doc_id, n_shingles, component_id, kept for every row of `docs` (doc_id, text)."""
     docs = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text")
-    sketch = shared.written(docs.mapInArrow(_sketches, SKETCH), "sketch")
+    sketch = shared.written(docs.mapInArrow(_sketches(permutations(percent)), SKETCH), "sketch")
     key = ["n_shingles", "f1", "f2"]
     classes = shared.written(sketch.where("n_shingles > 0 AND doc_id IS NOT NULL").groupBy(*key).agg(
         F.min("doc_id").alias("c"), F.first("bands").alias("bands"), F.first("parity").alias("parity")), "classes")

@@ -6,7 +6,7 @@ import zlib
 import corpus_pipeline
 import numpy as np
 import pytest
-from docfold.llm import folds, graphann, htmltext, langid, toxicity
+from docfold.llm import folds, graphann, htmltext, langid, minmax, toxicity
 from docfold.llm.catalog import table
 from pyspark.sql import functions as F
 
@@ -174,3 +174,18 @@ def test_pipeline_against_plain_python(spark, tmp_path):
         assert r.source_size == sum(n for i, n in size.items() if leaks[i].source == r.source)
         assert abs(r.target - sum(m.taken for m in mixed.values() if m.source == r.source)) <= max(size.values())
     assert {r.doc_id for r in corpus_pipeline.run(spark, folder).collect()} == set(mixed)
+
+
+def test_near_dedup_stage_links_from_80_percent(spark):
+    """Pairs of Jaccard in [0.80, 0.85) are near-duplicates in the pipeline, those below are not."""
+    import brute
+
+    docs = []
+    for k in range(200):
+        text = [f"w{k}x{i}" for i in range(64)]                      # 60 shingles
+        docs += [(k, " ".join(text)), (1000 + k, " ".join(text + [f"y{k}z{i}" for i in range(12 + k % 5)]))]
+    rows = spark.createDataFrame([(i, t, "en", "s", len(t)) for i, t in docs], "doc_id long, text string, lang string, source string, n_chars long")
+    got = {r.doc_id for r in corpus_pipeline.near_dedup(spark, rows, "").collect()}
+    want = {i for i, (_, c) in brute.near_duplicates(docs, 80).items() if i == c}
+    assert got == want == set(range(200)) | {1000 + k for k in range(4, 200, 5)}
+    assert minmax.permutations(85) == 32 and all((1 - (p / 100) ** 4) ** (minmax.permutations(p) // 2) <= 1e-5 for p in (50, 80, 85, 95))
