@@ -23,7 +23,7 @@ def toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 def line_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Lines that repeat an earlier one go, and n_chars follows; so do documents of which no word is left."""
-    out = lines.dedup(docs.select(*COLUMNS))
+    out = lines.dedup(docs.select(*COLUMNS), min_words=1)
     emptied = (F.size("removed_lines") > 0) & ~F.col("text").rlike(r"[^\x20\x09-\x0D]")
     length = F.when(F.size("removed_lines") > 0, F.length("text").cast("long")).otherwise(F.col("n_chars"))
     return out.where(~F.coalesce(emptied, F.lit(False))).withColumn("n_chars", length).select(*COLUMNS)

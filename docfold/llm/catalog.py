@@ -94,7 +94,7 @@ def op8(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query("op4_line_dedup")
 def op4(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every document without the lines that repeat an earlier one."""
-    out = lines.dedup(table(spark, sf_dir, "documents"))
+    out = lines.dedup(table(spark, sf_dir, "documents"), min_words=1)
     return out.select("doc_id", "text", F.size("removed_lines").cast("long").alias("n_removed"),
                       F.array_join(F.col("removed_lines").cast("array<string>"), ",").alias("removed_lines"))
 

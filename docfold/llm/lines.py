@@ -2,11 +2,13 @@
 
 A line (split at \\n) is the set of its words, A-Z lower-cased. Two lines match at Jaccard >= 0.8. Of two matching lines
 the later one is removed: order is doc_id, then line number; a line goes if any earlier line matches it, whether or not
-that one is itself kept. Lines of fewer than `min_words` distinct words are left alone.
+that one is itself kept. Lines of fewer than `min_words` distinct words are left alone; the query and the pipeline ask for
+1, so that only lines without words are.
 
 1. Word counts over all documents go into a table of 2^20 buckets (4 MB, whatever the corpus), which orders words by
    rarity; words of equal count are ordered by hash. Any order gives right results, a rare-first one short lists.
-2. Lines with equal sets: an aggregation finds the first, the others go.
+2. Lines with equal sets: an aggregation finds the first, the others go. Sets of fewer than four words match equal ones
+   only, so they are not indexed.
 3. Each line puts the words of its prefix (n - ceil(0.8 n) + 1 rarest ones) into an index that is dealt by word hash.
    Entries of a word meet under the length filter, the positional filter and a parity bitmap (the differing bits cannot
    outnumber the differing words). A line is paired with the first two earlier lines that pass, for each word.
@@ -34,6 +36,7 @@ cloudpickle.register_pickle_by_value(sys.modules[__name__])
 
 TABLE_BITS, CHUNKS = 20, 16
 MIN_WORDS = 5
+INDEXED = 4  # words of the smallest set that matches another than itself (4 of 5 words)
 LAST = (1 << 63) - 1
 ENTRY = np.dtype([("word", "<u4"), ("id", "<i8"), ("line", "<i4"), ("n", "<u4"), ("pos", "<u2"), ("key", "<u4"), ("parity", "<u8")])
 LINE = np.dtype([("id", "<i8"), ("text", "<i8"), ("line", "<i4"), ("n", "<i4"), ("key", "<i8")])
@@ -148,7 +151,7 @@ def indexed(rank, parts: int, min_words: int) -> Callable:
                 parity = textcore.by_row(np.bitwise_xor, bit, at, 0)
                 second = np.where(n >= LONG, textcore.by_row(np.bitwise_xor, bit * odd, at, 0), np.uint64(0))
                 parity ^= second
-                long = n >= min_words
+                long = n >= max(min_words, 1)
                 whole = np.empty(int(long.sum()), LINE)
                 whole["id"], whole["text"], whole["line"] = ids[row[long]], texts[row[long]], number[long]
                 whole["n"], whole["key"] = n[long], key[long].view(np.int64)
@@ -156,7 +159,7 @@ def indexed(rank, parts: int, min_words: int) -> Callable:
                 order = np.lexsort((number, ids[row], key))
                 alone = np.zeros(len(n), bool)
                 alone[order] = np.concatenate([[True], key[order][1:] != key[order][:-1]])
-                take = np.where(long & alone, n - (4 * n + 4) // 5 + 1, 0)
+                take = np.where(long & alone & (n >= INDEXED), n - (4 * n + 4) // 5 + 1, 0)
                 at_line = np.repeat(np.arange(len(n)), take)
                 pos = np.arange(len(at_line)) - np.repeat(np.cumsum(take) - take, take)
                 e = np.empty(len(at_line), ENTRY)

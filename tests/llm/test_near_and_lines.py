@@ -3,8 +3,9 @@
 import random
 
 import brute
+import corpus_pipeline
 import pyarrow as pa
-from docfold.llm import decontam, graphs, lines, minmax, textcore
+from docfold.llm import catalog, decontam, graphs, lines, minmax, textcore
 
 DOC = "doc_id long, text string, lang string, source string, n_chars long"
 
@@ -105,6 +106,21 @@ def test_copies_in_descending_order_of_documents(spark):
     assert got == brute.repeated_lines(docs) == {10: [0], 7: [0], 2: [0], 3: [0, 1]}
 
 
+def test_short_lines_in_query_and_pipeline(spark, tmp_path):
+    """No line with a word is too short: sets of one to three words match equal ones, four words match four of five."""
+    rng = random.Random(11)
+    docs = [(i, "\n".join(" ".join(rng.choice("abcdefgh") for _ in range(rng.randint(0, 6))) for _ in range(4))) for i in rng.sample(range(500), 60)]
+    docs += [(600, "Les."), (700, "les.\n \nall rights reserved."), (701, "p q r s t"), (702, "p q r s"), (703, "p q r")]
+    rows = spark.createDataFrame([(i, t, "en", "s", len(t)) for i, t in docs], "doc_id long, text string, lang string, source string, n_chars long")
+    rows.write.parquet(f"{tmp_path}/documents.parquet")
+    want = brute.repeated_lines(docs, least=1)
+    got = {r.doc_id: [int(x) for x in r.removed_lines.split(",")] for r in catalog.op4(spark, str(tmp_path)).collect() if r.n_removed}
+    assert got == want and want[700] == [0] and want[702] == [0] and 703 not in want
+    kept = {i: "\n".join(x for n, x in enumerate(t.split("\n")) if n not in want.get(i, [])) for i, t in docs}
+    kept = {i: t for i, t in kept.items() if i not in want or brute.words(t)}
+    assert {r.doc_id: r.text for r in corpus_pipeline.line_dedup(spark, rows, "").collect()} == kept
+
+
 def test_repeated_rows_and_null_ids_in_line_dedup(spark):
     text = "one two three four five six"
     rows = spark.createDataFrame([(3, text), (3, text), (None, text), (4, text)], "doc_id long, text string")
