@@ -9,7 +9,7 @@ hashes of page_id): elements and class words that name page furniture (fixed lis
 rewrapped copies of those pages, whose own blocks are put in other containers, so that furniture is known by many names.
 
 Text: character references decoded, white space in a block one space, ends trimmed, blocks joined by one \\n. Markup that
-never closes runs to the end of the page. A null html has no text. Every page is read whole; pages are independent, so
+never closes runs to the end of the page; <svg/> and <math/> are closed. A null html has no text. Every page is read whole; pages are independent, so
 repeated rows get equal results. A null page_id or url is passed on. Other columns are ignored.
 """
 
@@ -51,8 +51,10 @@ MAIN_CONTAINERS = [["article"], ["main"], ["main", "article"], ["div.content"],
 FURNITURE_CONTAINERS = [["nav", "ul", "li", "a"], ["header"], ["footer"], ["aside"], ["form"], ["form", "label"], ["header", "nav", "ul", "li", "a"], ["aside", "ul", "li", "a"],
                         ["form", "button"], ["footer", "p"], ["aside", "p"], ["header", "h1"], ["header", "p"]]
 
+# The rest of <svg .../> and <math .../>, which end there; a slash that ends an unquoted value belongs to the value.
+SELF_CLOSED = r"(?:(?<=<svg)|(?<=<math))(?:[^>\"'=/]++|/(?!>)|=\s*+(?:\"[^\"]*+\"|'[^']*+'|[^\s>\"'][^\s>]*+)?+|\"[^\"]*+\"|'[^']*+')*+/>"
 TAG = re.compile(
-    r"<!--.*?(?:-->|\Z)|<(" + "|".join(RAW) + r")\b[^>]*+>.*?(?:</\1\s*+>|\Z)|<[!?][^>]*+(?:>|\Z)"
+    r"<!--.*?(?:-->|\Z)|<(" + "|".join(RAW) + r")(?=[\s/>])(?:" + SELF_CLOSED + r"|[^>]*+>.*?(?:</\1\s*+>|\Z))|<[!?][^>]*+(?:>|\Z)"
     r"|<(/?)([a-zA-Z][^\s/>]*+)((?:[^>\"']++|\"[^\"]*+\"|'[^']*+')*+)>|<(/?)([a-zA-Z][^\s/>]*+)([^>]*+)(?:>|\Z)", re.S | re.I)
 NAMED = re.compile(r"\b(?:class|id|role)\s*+=\s*+(?:\"([^\"]*+)\"|'([^']*+)'|([^\s>]++))", re.I)
 PART = re.compile(r"[a-z]+")

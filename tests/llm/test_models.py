@@ -102,6 +102,14 @@ def test_blocks_of_broken_markup():
     assert path == ("div.side.bar.big.q", "span")
 
 
+def test_custom_elements_and_self_closed_drawings_keep_what_follows():
+    text = lambda page: [t for _, t in htmltext.blocks(page)]
+    for tag in ("<svg-icon name=x></svg-icon>", "<template-card>", "<math-field/>", "<svg/>", "<svg class='>' />", "<MATH x=1 />"):
+        assert text(f"<p>a</p>{tag}<p>rest of article</p>") == ["a", "rest of article"], tag
+    for tag in ("<svg><p>no</p></svg>", "<svg href=a/><p>no</p></svg>", "<svg x='/>'><p>no</p></svg>", "<script/><p>no</p></script>", "<math\n><p>no</p></math >"):
+        assert text(f"<p>a</p>{tag}<p>rest of article</p>") == ["a", "rest of article"], tag
+
+
 def test_main_text_of_pages(spark):
     pages = table(spark, SF, "pages")
     weights = htmltext.learn(pages)
