@@ -7,7 +7,8 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from docfold.llm import decontam, folds, graphann, htmltext, langid, lines, minmax, mixture, pii, toxicity, warc
+from docfold.llm import (
+    bitslice, decontam, folds, graphann, htmltext, langid, lines, minmax, mixture, phrases, pii, resample, toxicity, warc)
 
 QueryFn = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, QueryFn] = {}
@@ -152,3 +153,70 @@ def op9(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Main text of every page."""
     pages = table(spark, sf_dir, "pages")
     return htmltext.extract(pages, htmltext.learn(pages))
+
+
+_LOWER = "translate({0}, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
+
+RESAMPLE_SQL = rf"""
+WITH RECURSIVE bit(b, k, v) AS (
+  SELECT b, 0, b::BIGINT FROM range(256) r(b)
+  UNION ALL SELECT b, k + 1, CASE WHEN v % 2 = 1 THEN xor(3988292384, v // 2) ELSE v // 2 END FROM bit WHERE k < 8
+), crc AS MATERIALIZED (SELECT list(v ORDER BY b) AS t FROM bit WHERE k = 8),
+d AS MATERIALIZED (SELECT row_number() OVER () AS i, doc_id,
+      coalesce(regexp_extract_all({_LOWER.format("text")}, '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+'), []) AS w FROM documents),
+b AS MATERIALIZED (SELECT unnest(regexp_extract_all({_LOWER.format("text")}, '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+')) AS w FROM benchmark),
+u AS MATERIALIZED (SELECT i, unnest(w) AS w FROM d),
+x AS (SELECT w, hex(encode(w)) AS h, t FROM (SELECT w FROM u UNION SELECT w FROM b), crc),
+g AS MATERIALIZED (SELECT w, xor(4294967295, list_reduce(list_prepend(4294967295, list_transform(range(len(h) // 2),
+      lambda k: ('0x' || substr(h, (2 * k + 1)::INT, 2))::BIGINT)), lambda c, y: xor(c // 256, t[(xor(c, y) & 255) + 1]))) % 10000 AS bucket FROM x),
+s AS (SELECT bucket, count(*) AS n FROM u JOIN g USING (w) GROUP BY bucket),
+t AS (SELECT bucket, count(*) AS n FROM b JOIN g USING (w) GROUP BY bucket),
+z AS (SELECT bucket, floor(1000 * ln((coalesce(t.n, 0) + 1)::DOUBLE * ((SELECT coalesce(sum(n), 0) FROM s) + 10000)::DOUBLE
+        / ((s.n + 1)::DOUBLE * ((SELECT coalesce(sum(n), 0) FROM t) + 10000)::DOUBLE)))::BIGINT AS gain FROM s LEFT JOIN t USING (bucket)),
+m AS (SELECT i, sum(gain)::BIGINT AS weight FROM u JOIN g USING (w) JOIN z USING (bucket) GROUP BY i),
+o AS (SELECT doc_id, len(w)::BIGINT AS n_features, coalesce(weight, 0) AS weight, coalesce(weight, 0) + floor(-1000 * ln(-ln(
+        (('0x' || substr(sha256('2024:' || coalesce(doc_id::VARCHAR, 'null')), 1, 8))::BIGINT + 0.5)::DOUBLE / 4294967296)))::BIGINT AS score
+      FROM d LEFT JOIN m USING (i)),
+r AS (SELECT *, row_number() OVER (PARTITION BY n_features >= 20 ORDER BY score DESC, doc_id NULLS LAST) AS k,
+        10 * count(*) FILTER (WHERE n_features >= 20) OVER () // 100 AS take FROM o)
+SELECT doc_id, n_features, weight, score, CASE WHEN n_features >= 20 AND k <= take THEN k END AS rank FROM r
+"""
+
+
+@query("op11_resample", RESAMPLE_SQL)
+def op11(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A tenth of the documents, drawn towards the words of the benchmark texts."""
+    return resample.resample(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
+PHRASE_SQL = rf"""
+WITH p AS (SELECT coalesce(lang, 'und') AS lang, unnest(regexp_split_to_array({_LOWER.format("text")}, '[.,;:!?\x0A-\x0D]')) AS piece FROM documents),
+w AS MATERIALIZED (SELECT lang, list_filter(regexp_split_to_array(piece, '[\x20\x09]+'), lambda x: x <> '') AS w FROM p),
+f AS MATERIALIZED (
+  SELECT lang, k, phrase, count(*) AS a FROM (
+    SELECT lang, k, unnest(list_transform(range(1, len(w) - k + 2), lambda i: array_to_string(w[i:i + k - 1], ' '))) AS phrase
+    FROM w, (SELECT unnest([1, 2, 3]) AS k) WHERE len(w) >= k) GROUP BY ALL),
+n AS (SELECT lang, sum(a)::BIGINT AS n FROM f WHERE k = 1 GROUP BY lang),
+c AS MATERIALIZED (SELECT lang, k, phrase, a, string_split(phrase, ' ') AS v FROM f WHERE k > 1 AND a >= 10),
+e AS MATERIALIZED (SELECT *, array_to_string(v[1:j], ' ') AS front, array_to_string(v[j + 1:], ' ') AS back FROM c, (SELECT unnest([1, 2]) AS j) WHERE j < k),
+cut AS (SELECT e.lang, e.k, e.phrase, e.a, j, l.a AS l, r.a AS r, (1000000::HUGEINT * e.a * e.a) // (l.a::HUGEINT * r.a) AS score
+  FROM e JOIN f l ON l.lang = e.lang AND l.phrase = e.front JOIN f r ON r.lang = e.lang AND r.phrase = e.back),
+best AS (SELECT * FROM cut QUALIFY row_number() OVER (PARTITION BY lang, phrase ORDER BY score, j) = 1),
+inner2 AS (SELECT lang, array_to_string(v[i:i + 1], ' ') AS phrase, max(a) AS most FROM c, (SELECT unnest([1, 2]) AS i) WHERE k = 3 GROUP BY ALL),
+kept AS (SELECT b.* FROM best b LEFT JOIN inner2 USING (lang, phrase) WHERE most IS NULL OR 100 * most < 50 * b.a)
+SELECT lang, (row_number() OVER (PARTITION BY lang ORDER BY score DESC, a DESC, encode(phrase)))::BIGINT AS rank, phrase, a, l, r, n, score::BIGINT AS score
+FROM kept JOIN n USING (lang) QUALIFY rank <= 2000
+"""
+
+
+@query("op12_phrases", PHRASE_SQL)
+def op12(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The 2,000 strongest collocations of two and three words in every language."""
+    out = phrases.collocations(table(spark, sf_dir, "documents"))
+    return out.withColumn("rank", F.col("rank").cast("long"))
+
+
+@query("op13_simhash")
+def op13(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Components of documents whose fingerprints differ in two bits at most."""
+    return bitslice.link(table(spark, sf_dir, "documents"))
