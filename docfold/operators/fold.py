@@ -94,9 +94,9 @@ def purge_deleted(docs: DataFrame, version: str, below: int) -> DataFrame:
     return docs.where(~(_marked(docs) & F.coalesce(stored < below, F.lit(False))))
 
 
-def delete_all(docs: DataFrame) -> DataFrame:
-    """The same table without documents."""
-    return docs.limit(0)
+def delete_all(docs: DataFrame, collection: str | None = None) -> DataFrame:
+    """The same table without documents, or without those of one collection."""
+    return docs.limit(0) if collection is None else docs.where(F.col("collection") != collection)
 
 
 # --- field by field ----------------------------------------------------------------------------
@@ -157,8 +157,8 @@ def merge_deltas(deltas: DataFrame, keys: Sequence[str] = KEYS) -> DataFrame:
     return _fold_entries(_explode(deltas, keys, named, value_type, F.col("base"), F.col("written")), keys)
 
 
-def documents(deltas: DataFrame, keys: Sequence[str] = KEYS) -> DataFrame:
-    """Deltas (one per id) -> existing documents: keys, `fields` map without cleared fields.
+def documents(deltas: DataFrame, keys: Sequence[str] = KEYS, keep: Sequence[str] = ()) -> DataFrame:
+    """Deltas (one per id) -> existing documents: keys, `fields` map without cleared fields, and the columns to `keep`.
 
     An id whose last field was cleared stays as a document with no field.
     """
@@ -166,7 +166,7 @@ def documents(deltas: DataFrame, keys: Sequence[str] = KEYS) -> DataFrame:
     exists = F.col("written").isNotNull() & (F.col("base").isNull() | (F.col("written") >= F.col("base")))
     alive = F.map_filter("fields", lambda k, v: v["value"].isNotNull() & (
         F.col("base").isNull() | (v["at"] >= F.col("base"))))
-    return deltas.where(exists).select(*_keys(deltas, keys), F.transform_values(alive, lambda k, v: v["value"]).alias("fields"))
+    return deltas.where(exists).select(*_keys(deltas, keys), F.transform_values(alive, lambda k, v: v["value"]).alias("fields"), *keep)
 
 
 def apply_fields(ops: DataFrame, keys: Sequence[str] = KEYS, order: str = "offset") -> DataFrame:

@@ -65,11 +65,19 @@ def missing_fields(known: DataFrame, needed: DataFrame) -> DataFrame:
     return needed.join(known.select("name"), "name", "left_anti")
 
 
+def evolves(options: FoldOptions, topic: str | None = None) -> bool:
+    """Whether the schema of a topic's records may add fields."""
+    return options.schema_auto_evolve and not options.schema_ignore and topic not in options.topic_schema_ignore
+
+
 def evolve(known: DataFrame, needed: DataFrame, options: FoldOptions, topic: str | None = None) -> DataFrame:
     """T4: the catalog after growth; unchanged unless evolution is on and the schema is not ignored."""
-    if not options.schema_auto_evolve or options.schema_ignore or topic in options.topic_schema_ignore:
-        return known
-    return known.unionByName(missing_fields(known, needed))
+    return known.unionByName(missing_fields(known, needed)) if evolves(options, topic) else known
+
+
+def declared_types(catalog: dict[str, dict[str, list]]) -> dict[str, dict[str, str]]:
+    """collection -> field -> type of a catalog of [type, multi valued, dynamic] entries."""
+    return {c: {n: f[0] for n, f in fields.items()} for c, fields in catalog.items()}
 
 
 def widen(documents: DataFrame, incoming: DataFrame) -> DataFrame:
@@ -86,18 +94,33 @@ class MissingCollection(Exception):
 
 
 class Collections:
-    """T5: may a collection be written to? Remembers its answer per collection."""
+    """T5: may a collection be written to? Remembers its answer per collection.
+
+    `place` is a folder with one directory per collection, or a table that knows its collections (`collections()`) and
+    makes one (`declare(name)`).
+    """
 
-    def __init__(self, spark: SparkSession, root: str, options: FoldOptions):
-        self._spark, self._root, self._options = spark, root.rstrip("/"), options
+    def __init__(self, spark: SparkSession, place, options: FoldOptions):
+        self._spark, self._options = spark, options
+        self._table, self._root = (None, place.rstrip("/")) if isinstance(place, str) else (place, None)
         self._known: set[str] = set()
 
-    def path(self, collection: str) -> str:
-        return f"{self._root}/collection={collection}"
+    def _folder(self, collection: str):
+        path = self._spark._jvm.org.apache.hadoop.fs.Path(f"{self._root}/collection={collection}")
+        return path.getFileSystem(self._spark._jsc.hadoopConfiguration()), path
 
     def exists(self, collection: str) -> bool:
-        path = self._spark._jvm.org.apache.hadoop.fs.Path(self.path(collection))
-        return path.getFileSystem(self._spark._jsc.hadoopConfiguration()).exists(path)
+        if self._table is not None:
+            return collection in self._table.collections()
+        fs, path = self._folder(collection)
+        return fs.exists(path)
+
+    def create(self, collection: str) -> None:
+        if self._table is not None:
+            self._table.declare(collection)
+            return
+        fs, path = self._folder(collection)
+        fs.mkdirs(path)
 
     def ensure(self, collection: str) -> None:
         if not collection or collection in self._known:
@@ -105,11 +128,10 @@ class Collections:
         usage = self._options.external_resource_usage
         if usage != "UNUSED" and not self.exists(collection):
             if usage == "REQUIRED":
-                raise MissingCollection(f"collection {collection!r} does not exist and usage is REQUIRED")
+                raise MissingCollection(f"no collection {collection!r} here, and external_resource_usage=REQUIRED makes none")
             if not self._options.schema_auto_create:
-                raise MissingCollection(f"collection {collection!r} does not exist; schema_auto_create would create it")
-            path = self._spark._jvm.org.apache.hadoop.fs.Path(self.path(collection))
-            path.getFileSystem(self._spark._jsc.hadoopConfiguration()).mkdirs(path)
+                raise MissingCollection(f"no collection {collection!r} here; with schema_auto_create one would be made")
+            self.create(collection)
         self._known.add(collection)
 
 

@@ -63,6 +63,53 @@ def conformance_reason(df: DataFrame, declared: dict[str, T.DataType | str]) ->
     return F.coalesce(*checks, F.lit(None).cast("string"))
 
 
+# Types of target fields that text may fail to be read as, and Spark's types for them.
+READ_AS = {"pint": "int", "plong": "bigint", "pfloat": "float", "pdouble": "double", "boolean": "boolean", "pdate": "timestamp"}
+
+
+def misfit(fields: Column, declared: dict[str, str]) -> Column:
+    """What is wrong with a `fields` map (name -> list of text) under declared field types (name -> type of `READ_AS`,
+    others take any text): `field <name> is no <type>` for the first field with a value that cannot be read so, NULL when
+    all can. Fields that are not declared take any text, absent and null values fit."""
+    checked = {n: t for n, t in declared.items() if t in READ_AS}
+    if not checked:
+        return F.lit(None).cast("string")
+    types = F.create_map(*[F.lit(x) for pair in sorted(checked.items()) for x in pair])
+
+    def unread(kind: Column, v: Column) -> Column:
+        fails = F.lit(False)
+        for name in sorted(set(checked.values())):
+            fails = fails | ((kind == name) & v.try_cast(READ_AS[name]).isNull())
+        return v.isNotNull() & fails
+
+    def wrong(e: Column) -> Column:
+        return F.exists(e["value"], lambda v: unread(F.try_element_at(types, e["key"]), v))
+
+    bad = F.filter(F.map_entries(fields), lambda e: F.map_contains_key(types, e["key"]) & F.coalesce(wrong(e), F.lit(False)))
+    return F.get(F.transform(bad, lambda e: F.concat(F.lit("field "), e["key"], F.lit(" is no "), F.try_element_at(types, e["key"]))), F.lit(0))
+
+
+def misfit_in(collection: Column, fields: Column, catalog: dict[str, dict[str, str]]) -> Column:
+    """`misfit` under the declared types of each collection; one that is not in the catalog takes anything."""
+    reason = None
+    for name, declared in sorted(catalog.items()):
+        step = misfit(fields, declared)
+        reason = F.when(collection == name, step) if reason is None else reason.when(collection == name, step)
+    return F.lit(None).cast("string") if reason is None else reason
+
+
+def canonical(fields: Column, collection: Column, catalog: dict[str, dict[str, str]]) -> Column:
+    """`fields` that fit, whole numbers among them in one spelling (` 07` is `7`), so that equal numbers are equal text."""
+    out = fields
+    for name, declared in sorted(catalog.items()):
+        whole = sorted(n for n, t in declared.items() if t in ("pint", "plong"))
+        if whole:
+            plain = F.transform_values(fields, lambda k, v: F.when(k.isin(whole), F.transform(
+                v, lambda x: x.try_cast("bigint").cast("string"))).otherwise(v))
+            out = F.when(collection == name, plain).otherwise(out)
+    return out
+
+
 def conform(df: DataFrame, declared: dict[str, T.DataType | str]) -> tuple[DataFrame, DataFrame]:
     """Documents that fit, cast to the declared types, and the rejected ones with `field`.
 

@@ -17,7 +17,7 @@ from docfold.operators.flatten import MAP_KEY, MAP_VALUE
 MAX_JSON_DEPTH = 1000
 
 # Levels written out in the plan; records nested deeper go on in a loop inside the row.
-WRITTEN_OUT = 8
+WRITTEN_OUT = 3
 
 
 def _as_object(v: Column) -> Column:

@@ -78,7 +78,7 @@ class FoldOptions:
         if self.offset_version_field and self.write_method != "INDEX":
             raise ValueError("offset_version_field makes deletes tombstone documents, so it needs write_method=INDEX")
         if self.collection_naming_strategy == "TOPIC_REGEX" and "=>" not in self.collection:
-            raise ValueError("TOPIC_REGEX needs collection in 'pattern=>replacement' form")
+            raise ValueError("collection has no '=>': under TOPIC_REGEX it is a pattern, '=>' and what replaces a match")
         if self.retry_timeout_ms < -1:
             raise ValueError("retry_timeout_ms must be >= -1")
 

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from docfold.plans import change_queries, document_queries, record_queries, search_queries  # noqa: F401
+from docfold.plans import change_queries, document_queries, pipeline_queries, record_queries, search_queries  # noqa: F401
 from docfold.plans.registry import QUERIES  # noqa: F401
 
 

@@ -23,9 +23,12 @@ class Converted:
     dead: DataFrame
 
 
-def convert(changes: DataFrame, options: FoldOptions = FoldOptions()) -> Converted:
+def convert(changes: DataFrame, options: FoldOptions = FoldOptions(), catalog: dict[str, dict[str, str]] | None = None) -> Converted:
     """Route, identify, flatten and stamp every record; no shuffle.
 
+    `catalog` (collection -> field -> type) holds declared fields: a record with a value that cannot be read as its
+    field's type is malformed, its neighbours are not, and whole numbers are written in one spelling.
+
     The value may be JSON text, VARIANT, or a struct (a declared schema: every field is then carried).
     Under `offset_version_field` a delete is a tombstone document, otherwise it is a delete op.
     """
@@ -68,6 +71,11 @@ def convert(changes: DataFrame, options: FoldOptions = FoldOptions()) -> Convert
     stamped_only = bool(options.mapping_version)
     wanted = F.filter(F.array(fields), lambda f: f.isNull() | effective(f, options.partial, stamped_only))
     good = good.withColumn("fields", F.explode(wanted))
+    if catalog:
+        marked = good.withColumn("reason", triage.misfit_in(F.col("collection"), F.col("fields"), catalog))
+        good, misfits = triage.split_malformed(marked, options.behavior_on_malformed_documents)
+        dead = dead.select(*record_columns, "reason").unionByName(misfits.select(*record_columns, "reason"))
+        good = good.withColumn("fields", triage.canonical(F.col("fields"), F.col("collection"), catalog))
 
     extra = [(name, col) for name, col in stamps(changes.schema, options).items() if name != "_version_"]
     if options.source_field:

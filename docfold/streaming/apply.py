@@ -2,12 +2,17 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession, functions as F
+import tempfile
+import uuid
+import warnings
+
+from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
 from pyspark.sql.streaming import StreamingQuery
 
+from docfold.operators import versions
 from docfold.operators.fold import atomic_split
-from docfold.operators.identity import route
-from docfold.operators.schema import Collections
+from docfold.operators.identity import reserved_names, route
+from docfold.operators.schema import Collections, declared_types, evolves, field_specs
 from docfold.options import FoldOptions
 from docfold.plans.ingest import convert, dry_run_report
 from docfold.streaming.table import DocumentTable
@@ -21,6 +26,15 @@ def work_folder(spark: SparkSession, name: str) -> str:
     return f"{shared.rstrip('/')}/{name}"
 
 
+def scratch_folder(spark: SparkSession, name: str) -> str:
+    """A new folder under `spark.checkpoint.dir`; a temporary one where that is unset and there is one machine only."""
+    if not spark.conf.get("spark.checkpoint.dir", None):
+        if not spark.sparkContext.master.startswith("local"):
+            return work_folder(spark, name)      # says what to set
+        return tempfile.mkdtemp(prefix=f"docfold-{name}-")
+    return work_folder(spark, f"{name}-{uuid.uuid4().hex}")
+
+
 def check_targets(batch: DataFrame, options: FoldOptions, collections: Collections) -> None:
     """T5 for one micro-batch: every collection it writes to exists, may be created, or the batch fails.
 
@@ -32,43 +46,79 @@ def check_targets(batch: DataFrame, options: FoldOptions, collections: Collectio
         collections.ensure(row.c)
 
 
+def grow_catalog(batch: DataFrame, table: DocumentTable, options: FoldOptions) -> None:
+    """T4: declare the fields that a batch of records with a declared schema brings, in the collections it writes to.
+
+    Topics whose schema is ignored add nothing. Growth that fails is a warning, and the records are written all the same.
+    """
+    schema = batch.schema["value"].dataType
+    if not options.schema_auto_evolve or options.schema_ignore or not isinstance(schema, T.StructType):
+        return
+    needed = {s.name: [s.type, s.multi_valued, s.dynamic] for s in field_specs(schema, options.compact_map_entries, reserved_names(options))}
+    names = batch.where(F.col("value").isNotNull()).select("topic", route(F.col("topic"), options).alias("c")).distinct()
+    for collection in sorted({row.c for row in names.collect() if evolves(options, row.topic)}):      # as few as topics
+        try:
+            table.declare(collection, needed)
+        except Exception as e:
+            warnings.warn(f"collection {collection!r} does not get its new fields: {e}")
+
+
+def _refused(ops: DataFrame, table: DocumentTable, options: FoldOptions, at: tuple[str, int]) -> DataFrame:
+    """topic, partition, offset, reason of the writes (with `at`) that the stored documents, or writes of the batch before
+    them, keep from being applied. What the batch itself wrote when it was first delivered does not count."""
+    stored = table.existing(ops, before=at)
+    if options.external_version_header:
+        out = versions.refused(ops, stored, table.order, must_exist=options.write_method == "ATOMIC_UPDATE")
+        return out.select("topic", "partition", "offset", F.lit(versions.CONFLICT).alias("reason"))
+    marked = atomic_split(stored.select("collection", "id"), ops, order="at")
+    return marked.where("refused").select("topic", "partition", "offset", F.lit("document does not exist").alias("reason"))
+
+
 def apply_batch(batch: DataFrame, number: int, table: DocumentTable, options: FoldOptions,
                 collections: Collections | None = None, stream: str = "main") -> DataFrame | None:
     """Convert one micro-batch of a stream and write it: dead letters first, then the ops. A dry run returns its
-    report (`dry_run_report`) and writes nothing.
+    report (`dry_run_report`) and writes nothing. A batch that the table has already does nothing.
 
-    With `behavior_on_malformed_documents=fail` the first malformed record fails the batch and nothing of it
-    is written. Under ATOMIC_UPDATE a missing document is a rejected record: a dead letter, or a failure.
+    Records are checked against the table's catalog, which grows first where the options allow it. With
+    `behavior_on_malformed_documents=fail` the first malformed record fails the batch and nothing of it is written.
+    Under ATOMIC_UPDATE a missing document is a rejected record, and with `external_version_header` a document of
+    another version than the record asks for: a dead letter, or a failure.
     """
     if options.dry_run:
-        return dry_run_report(convert(batch, options).ops)
+        return dry_run_report(convert(batch, options, declared_types(table.catalog())).ops)
+    if table.written(number, stream):
+        return None
     if collections is not None:
         check_targets(batch, options, collections)
+    grow_catalog(batch, table, options)
+    catalog = declared_types(table.catalog())
     strict = options.behavior_on_malformed_documents == "fail"
-    atomic = options.write_method == "ATOMIC_UPDATE"
-    if strict and not atomic:
-        table.apply(convert(batch, options).ops, number, stream)
+    conditional = options.write_method == "ATOMIC_UPDATE" or bool(options.external_version_header)
+    if strict and not conditional:
+        table.apply(convert(batch, options, catalog).ops, number, stream)
         return None
     batch = batch.persist()
     try:
-        converted = convert(batch, options)
+        converted = convert(batch, options, catalog)
         ops, dead = converted.ops, converted.dead
-        if atomic:
-            # What the batch itself wrote when it was first delivered must not count.
-            ops = table.ordered(ops)
-            marked = atomic_split(table.existing(ops, before=(stream, number)), ops, order="at")
-            ops = marked.where(~F.col("refused")).drop("refused")
-            refused = marked.where("refused").select("topic", "partition", "offset", F.lit("document does not exist").alias("reason"))
-            if strict:
-                if not refused.isEmpty():
-                    raise ValueError(f"batch {number} updates documents that do not exist")
-            else:
-                # The original record goes to the dead letters, as for any other rejection.
-                record = batch.join(refused, ["topic", "partition", "offset"])
-                dead = dead.unionByName(record, allowMissingColumns=True)
+        kept = []
+        if conditional:
+            ops = table.ordered(ops).persist()      # flattened once, for the decision and for the write
+            record = ["topic", "partition", "offset"]
+            refused = _refused(ops, table, options, (stream, number)).persist()
+            kept = [ops, refused]
+            if strict and not refused.isEmpty():
+                row = refused.first()
+                raise ValueError(f"batch {number} writes to documents that do not exist or have another version, "
+                                 f"first {row.topic}-{row.partition}@{row.offset}: {row.reason}")
+            ops = ops.join(refused.select(*record), record, "left_anti")
+            # The original record goes to the dead letters, as for any other rejection.
+            dead = dead.unionByName(batch.join(refused, record), allowMissingColumns=True)
         if not strict:
             table.reject(dead, number, stream)
         table.apply(ops, number, stream)
+        for frame in kept:
+            frame.unpersist()
     finally:
         batch.unpersist()
     return None
@@ -86,7 +136,6 @@ def start(changes: DataFrame, table: DocumentTable, options: FoldOptions = FoldO
     spark = changes.sparkSession
     folder = checkpoint or work_folder(spark, "apply")
 
-
     def one(df: DataFrame, number: int) -> None:
         stream = spark.sparkContext.getLocalProperty("sql.streaming.queryId")
         found = apply_batch(df, number, table, options, collections, stream)

@@ -16,6 +16,8 @@ from pyspark.sql import DataFrame
 from pyspark.sql.streaming import StatefulProcessor, StatefulProcessorHandle
 from pyspark.sql.types import BooleanType, LongType, StructField, StructType
 
+from docfold.operators.versions import accepts
+
 # Tasks get this module's functions by value, so executors need not have the package.
 cloudpickle.register_pickle_by_value(sys.modules[__name__])
 
@@ -31,13 +33,7 @@ def _decide(rule: str, op: str, asked, offset: int, exists: bool, version) -> bo
         return version is None or offset > version
     if op == "delete":
         return True
-    if rule == "must_exist":
-        return exists
-    if asked is None or asked == 0:
-        return True
-    if asked < 0:
-        return not exists
-    return exists if asked == 1 else exists and asked == version
+    return exists if rule == "must_exist" else accepts(asked, exists, version)
 
 
 class _Writes(StatefulProcessor):
