@@ -30,7 +30,7 @@ from __future__ import annotations
 import time
 import uuid
 
-from pyspark.sql import Column, DataFrame, SparkSession, functions as F
+from pyspark.sql import Column, DataFrame, SparkSession, functions as F, types as T
 
 from docfold.operators import fold
 from docfold.operators.versions import version_of
@@ -103,7 +103,14 @@ class DocumentTable:
         fold.delta(self.ordered(ops), order="at").write.mode("overwrite").partitionBy("collection").parquet(path)
 
     def reject(self, dead: DataFrame, batch: int, stream: str = "main") -> None:
-        """Write the dead letters of one micro-batch; done before its ops, so progress never passes a lost record."""
+        """Write the dead letters of one micro-batch; done before its ops, so progress never passes a lost record. Keys and
+        values that are not text are written as JSON, nulls kept, so that records of any schema share one table."""
+        for name in ("key", "value"):
+            kind = dead.schema[name].dataType
+            if isinstance(kind, (T.StructType, T.MapType, T.ArrayType, T.VariantType)):
+                dead = dead.withColumn(name, F.to_json(name, {"ignoreNullFields": "false"}))
+            elif not isinstance(kind, (T.StringType, T.BinaryType)):
+                dead = dead.withColumn(name, F.col(name).cast("string"))
         dead.write.mode("overwrite").parquet(f"{self.root}/dead/stream={stream}/batch={batch}")
 
     def compact(self) -> int:

@@ -149,7 +149,8 @@ def test_filters_of_few_ids_reach_the_base_files(spark, tmp_path):
     table.compact()
     marks = table.marks(spark.createDataFrame([("t", "a")], "collection string, id string"))
     plan = marks._jdf.queryExecution().executedPlan().toString()
-    assert "PartitionFilters: [bucket" in plan and ("EqualTo(id,a)" in plan or "In(id, [a])" in plan) and "fields:map" not in plan
+    scan = next(line for line in plan.splitlines() if "FileScan" in line)
+    assert "bucket" in scan.partition("PartitionFilters")[2] and "EqualTo(id,a)" in scan and "fields" not in scan
 
 
 # --- conditional writes ------------------------------------------------------------------------
@@ -271,7 +272,8 @@ def test_a_batch_grows_the_catalog_and_later_ones_keep_to_it(spark, tmp_path):
     apply_batch(typed(spark, [(2, ("tall", "n")), (3, (" 0180", "m"))], "height_cm: string, nick: string"), 1, table, options)
     assert table.catalog()["t"] == {"height_cm": ["plong", False, False], "tags": ["string", True, False], "nick": ["string", False, False]}
     assert docs(table.read()) == {("t", "k1"): {"height_cm": ["170"], "tags": ["x"]}, ("t", "k3"): {"height_cm": ["180"], "nick": ["m"]}}
-    assert [(r.key, r.reason) for r in table.dead_letters().collect()] == [("k2", "field height_cm is no plong")]
+    assert [tuple(r)[3:] for r in table.dead_letters().select("topic", "partition", "offset", "key", "value", "reason").collect()] == [
+        ("k2", '{"height_cm":"tall","nick":"n"}', "field height_cm is no plong")]
     # JSON records are held to the catalog, and never grow it
     put(spark, table, 2, (9, "j", '{"height_cm":"x","new":1}'), (10, "l", '{"height_cm":null,"new":1}'))
     assert ("t", "l") in docs(table.read()) and ("t", "j") not in docs(table.read()) and "new" not in table.catalog()["t"]
