@@ -42,7 +42,7 @@ ENTRY = np.dtype([("word", "<u4"), ("id", "<i8"), ("line", "<i4"), ("n", "<u4"),
 LINE = np.dtype([("id", "<i8"), ("text", "<i8"), ("line", "<i4"), ("n", "<i4"), ("key", "<i8")])
 LONG = 48  # lines of so many words or more have a parity bitmap of 128 bits, others of 64
 FLUSH = 1 << 20  # entries held back in a task
-FILTER_BITS = 23
+FILTER_BITS = (23, 26)  # least and most bits of a filter, as a power of two: eight a row, 1 to 8 MB
 PARTNERS = 2
 
 
@@ -156,7 +156,8 @@ def indexed(rank, parts: int, min_words: int) -> Callable:
                 whole["id"], whole["text"], whole["line"] = ids[row[long]], texts[row[long]], number[long]
                 whole["n"], whole["key"] = n[long], key[long].view(np.int64)
                 # copies within a piece need no index entries of their own: the earliest by (id, line) stands for them
-                order = np.lexsort((number, ids[row], key))
+                # where ids rise from row to row, lines are in that order already
+                order = np.argsort(key, kind="stable") if (ids[1:] > ids[:-1]).all() else np.lexsort((number, ids[row], key))
                 alone = np.zeros(len(n), bool)
                 alone[order] = np.concatenate([[True], key[order][1:] != key[order][:-1]])
                 take = np.where(long & alone & (n >= INDEXED), n - (4 * n + 4) // 5 + 1, 0)
@@ -319,18 +320,20 @@ def second(found) -> Callable:
 
 def spot(ids: np.ndarray, lines: np.ndarray | int = 0) -> np.ndarray:
     x = np.asarray(ids).astype(np.int64).view(np.uint64)
-    return textcore.mix(x * np.uint64(31) + np.asarray(lines).astype(np.uint64)) >> np.uint64(64 - FILTER_BITS)
+    return textcore.mix(x * np.uint64(31) + np.asarray(lines).astype(np.uint64))
 
 
-def in_filter(bits: np.ndarray, at: np.ndarray) -> np.ndarray:
+def in_filter(bits: np.ndarray, h: np.ndarray) -> np.ndarray:
+    at = h >> np.uint64(64 - (8 * len(bits)).bit_length() + 1)
     return (bits[(at >> np.uint64(3)).astype(np.int64)] >> (at & np.uint64(7)).astype(np.uint8)) & 1 == 1
 
 
-def _marked(with_line: bool) -> Callable:
+def _marked(with_line: bool, size: int) -> Callable:
     def task(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        seen = np.zeros(1 << FILTER_BITS, bool)
+        seen = np.zeros(1 << size, bool)
         for batch in batches:
-            seen[spot(np.asarray(batch.column(0)), np.asarray(batch.column(1)) if with_line else 0).astype(np.int64)] = True
+            h = spot(np.asarray(batch.column(0)), np.asarray(batch.column(1)) if with_line else 0)
+            seen[(h >> np.uint64(64 - size)).astype(np.int64)] = True
         parts = np.packbits(seen, bitorder="little").reshape(CHUNKS, -1)
         some = [i for i in range(CHUNKS) if parts[i].any()]
         yield pa.RecordBatch.from_pydict({"chunk": pa.array(some, pa.int32()), "bits": pa.array([parts[i].tobytes() for i in some], pa.binary())})
@@ -348,11 +351,24 @@ def united(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         yield pa.RecordBatch.from_pydict({"chunk": pa.array(list(parts), pa.int32()), "bits": [x.tobytes() for x in parts.values()]})
 
 
+def unpacked_among(wanted) -> Callable:
+    """Lines whose (key, n) may be in the filter."""
+
+    def task(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in unpacked(batches):
+            key, n = (np.asarray(batch.column(batch.schema.get_field_index(c))) for c in ("key", "n"))
+            yield batch.filter(pa.array(in_filter(wanted.value, spot(key, n))))
+
+    return task
+
+
 def membership(rows: DataFrame, with_line: bool) -> np.ndarray:
-    """A filter of fixed size (1 MB) that holds every (id, line), or every id, of `rows`; others pass with small chance."""
+    """A filter that holds every (id, line), or every id, of `rows`; others pass with small chance. It grows with the rows
+    up to 8 MB; beyond 2^23 rows more others pass."""
     schema = "chunk int, bits binary"
-    out = np.zeros((CHUNKS, (1 << FILTER_BITS) // 8 // CHUNKS), np.uint8)
-    for r in rows.mapInArrow(_marked(with_line), schema).repartition(CHUNKS, "chunk").mapInArrow(united, schema).collect():
+    size = min(max(FILTER_BITS[0], (8 * rows.count() - 1).bit_length()), FILTER_BITS[1])
+    out = np.zeros((CHUNKS, (1 << size) // 8 // CHUNKS), np.uint8)
+    for r in rows.mapInArrow(_marked(with_line, size), schema).repartition(CHUNKS, "chunk").mapInArrow(united, schema).collect():
         out[r["chunk"]] = np.frombuffer(r["bits"], np.uint8)
     return out.ravel()
 
@@ -397,9 +413,14 @@ def repeats(docs: DataFrame, min_words: int = MIN_WORDS) -> DataFrame:
     found = shared.written(index.mapInArrow(joined, OUT), "line-index")
 
     lines = found.where("lines IS NOT NULL").select("lines").mapInArrow(unpacked, "id long, text long, line int, n int, key long")
+    # most lines stand alone: only those whose words occur again are compared and shuffled whole
+    twice = shared.written(lines.groupBy("key", "n").agg(F.count("*").alias("c")).where("c > 1").select(F.col("key").alias("id"), F.col("n").alias("line")), "twice")
+    again = spark.sparkContext.broadcast(membership(twice, True))
+    lines = found.where("lines IS NOT NULL").select("lines").mapInArrow(unpacked_among(again), "id long, text long, line int, n int, key long")
     firsts = lines.groupBy("key", "n").agg(F.min(F.struct("id", "line", "text")).alias("first"), F.count("*").alias("c")).where("c > 1")
     equal = (lines.join(firsts, ["key", "n"]).where(F.struct("id", "line") > F.struct("first.id", "first.line")).select("id", "text", "line"))
     gone = shared.written(equal, "lines")
+    shared.removed(twice)
 
     def confirm(pairs):
         ends = pairs.select("id", "line").unionByName(pairs.select(F.col("by_id").alias("id"), F.col("by_line").alias("line")))
