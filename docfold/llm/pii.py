@@ -8,14 +8,15 @@ Terms are runs of letters and digits, in lower case. Over the distinct texts of
     n(e), n(t)   texts with entity e, with term t        n(e, t)   texts with both, wherever they stand
     PMI(e, t) = log2(N n(e, t) / (n(e) n(t)))            IC(e)     = log2(N / n(e))
 
-PMI / IC is the share of e's information that t discloses: 1 when t occurs only in texts with e. Equal texts are one text,
-so copies are no evidence, and a pair counts from `SUPPORT` texts on: every word of a text is alone with its entities. A
-term whose share reaches `GENERALISE` for any entity is generalised at every place in every document, also where the entity
-is not written out (a word becomes its shape: WORD, NAME, NUMBER); from `REMOVE` on it is removed.
+PMI / IC is the share of e's information that t discloses: 1 when t occurs only in texts with e. A pair counts with two
+different surroundings of the entity at least (`AROUND` characters on both sides; of several in a text the first in code point
+order): an entity that stands only in copies of one passage has every word of that passage for company. A term whose share
+reaches `GENERALISE` for any entity is generalised at every place in every document, also where the entity is not written
+out (a word becomes its shape: WORD, NAME, NUMBER); from `REMOVE` on it is removed. Equal texts count once.
 
-Entities that occur in the same texts have the same counts, and so have terms; they are counted as one class (number of
-texts and 128 bits of their keys). A share of GENERALISE needs n(t) <= n(e)^GENERALISE N^(1 - GENERALISE), so other classes
-are not paired. What is left per text is its entity classes times its term classes, summed before the shuffle.
+Terms that occur in the same texts have the same counts and are one class (number of texts and 128 bits of their keys). A
+share of GENERALISE needs n(t) <= n(e)^GENERALISE N^(1 - GENERALISE), so other classes are not paired. What is left per text
+is its entities with several surroundings times its term classes, summed before the shuffle.
 
 Spans are positions in code points, end exclusive; a term that overlaps a base span is no span of its own. Only DataFrame
 functions are used: positions come from the lengths of the pieces between matches. Patterns are possessive and start where
@@ -32,7 +33,7 @@ from docfold.llm import shared
 
 KINDS = ("email", "ip", "card", "phone")
 GENERALISE, REMOVE = 0.7, 0.9
-SUPPORT = 2
+AROUND = 60
 SALTS = 16  # parts of a group of equal texts
 BLOCK = 256  # matches whose positions are summed in one go
 
@@ -122,49 +123,57 @@ def base(docs: DataFrame, *keep: str) -> DataFrame:
     return rows.withColumn("spans", F.array_sort(F.concat(*KINDS)))
 
 
-def _texts(docs: DataFrame) -> DataFrame:
-    """Distinct texts of `docs`: key, their entities and their terms, each once."""
-    rows = base(docs).select("key", F.array_distinct(F.transform("spans", lambda s: s["value"])).alias("entities"), F.array_distinct(
-        F.transform(F.regexp_extract_all("text", F.lit(TERM), F.lit(0)), lambda t: F.lower(t))).alias("terms"))
-    rows = shared.written(rows.withColumn("row", F.monotonically_increasing_id()), "texts")
-    first = shared.written(rows.groupBy("key").agg(F.min("row").alias("row")), "first")
-    return rows.join(first.select("row"), "row", "left_semi").drop("row")
+def _terms(docs: DataFrame) -> DataFrame:
+    """key, t: the terms of every text, each once a row."""
+    text = F.coalesce("text", F.lit(""))
+    terms = F.array_distinct(F.transform(F.regexp_extract_all(text, F.lit(TERM), F.lit(0)), lambda t: F.lower(t)))
+    return docs.select(F.xxhash64(text).alias("key"), F.explode(terms).alias("t"))
 
 
-def _counted(rows: DataFrame, name: str) -> DataFrame:
-    """name, n (texts with it), and its class a, b; from SUPPORT texts on. `rows`: key, name; no pair twice."""
-    return rows.groupBy(name).agg(F.count("*").alias("n"), F.bit_xor(F.xxhash64("key")).alias("a"),
-                                  F.bit_xor(F.xxhash64(F.lit("b"), "key")).alias("b")).where(F.col("n") >= SUPPORT)
+def entities(docs: DataFrame) -> DataFrame:
+    """key, e, around: the entities of every text with their surroundings, no pair twice."""
 
+    def around(s):
+        begin = F.greatest(s["start"] - AROUND, F.lit(0).cast("long"))
+        left = F.substring("text", (begin + 1).cast("int"), (s["start"] - begin).cast("int"))
+        return F.struct(s["value"].alias("e"), F.concat(left, F.lit("\0"), F.substring("text", (s["end"] + 1).cast("int"), F.lit(AROUND))).alias("around"))
 
-def disclosing(texts: DataFrame) -> DataFrame:
-    """t, share: terms whose share of some entity's information reaches GENERALISE. `texts`: key, entities, terms."""
-    spark = texts.sparkSession
-    whole = texts.count()
-    entities = texts.select("key", F.explode("entities").alias("e"))
-    known = shared.written(_counted(entities, "e").where(F.col("n") < whole), "entities")
-    most = known.agg(F.max("n")).first()[0]
+    found = base(docs).where(F.size("spans") > 0).select("key", F.explode(F.transform("spans", around)).alias("x"))
+    return found.groupBy("key", "x.e").agg(F.min("x.around").alias("around"))
+
+
+def disclosing(docs: DataFrame) -> DataFrame:
+    """t, share: terms whose share of some entity's information reaches GENERALISE."""
+    spark = docs.sparkSession
+    keyed = docs.select(F.xxhash64(F.coalesce("text", F.lit(""))).alias("key"), "text")
+    whole = keyed.select("key").distinct().count()
+    named = shared.written(entities(docs), "entities")
+    known = named.groupBy("e").agg(F.count("*").alias("n_e"), F.min("around").alias("lo"), F.max("around").alias("hi"))
+    known = shared.written(known.where((F.col("lo") < F.col("hi")) & (F.col("n_e") < whole)).select("e", "n_e"), "known")
+    most = known.agg(F.max("n_e")).first()[0]
     if not most:
         return spark.createDataFrame([], "t string, share double")
     bound = 1.000001 * whole ** (1 - GENERALISE)  # rounded up: the share itself decides
-    terms = texts.select("key", F.explode("terms").alias("t"))
-    rare = shared.written(_counted(terms, "t").where(F.col("n") <= bound * most ** GENERALISE), "terms")
-    left = shared.written(entities.join(known, "e").select("key", F.struct("n", "a", "b").alias("ec")).distinct(), "entity_classes")
-    near = texts.join(left.select("key").distinct(), "key", "left_semi").select("key", F.explode("terms").alias("t"))
+    left = shared.written(named.join(known, "e"), "known_in")
+    # terms of texts that hold such an entity; only those are counted over all texts
+    near = shared.written(_terms(keyed.join(left.select("key").distinct(), "key", "left_semi")).distinct(), "near")
+    asked = shared.written(near.groupBy("t").agg(F.count("*").alias("n")).where("n > 1").select("t"), "asked")
+    counts = _terms(docs).join(asked, "t").distinct().groupBy("t").agg(
+        F.count("*").alias("n"), F.bit_xor(F.xxhash64("key")).alias("a"), F.bit_xor(F.xxhash64(F.lit("b"), "key")).alias("b"))
+    rare = shared.written(counts.where(F.col("n") <= bound * most ** GENERALISE), "terms")
     right = near.join(rare, "t").select("key", F.struct("n", "a", "b").alias("tc")).distinct()
-    pairs = left.join(right, "key").where(F.col("tc.n") <= bound * F.pow("ec.n", F.lit(GENERALISE)))
-    pairs = pairs.groupBy("ec", "tc").agg(F.count("*").alias("n_et")).where(F.col("n_et") >= SUPPORT)
-    pmi = F.log2(F.lit(float(whole)) * F.col("n_et") / (F.col("ec.n") * F.col("tc.n")))
-    share = pmi / F.log2(F.lit(float(whole)) / F.col("ec.n"))
+    pairs = left.join(right, "key").where(F.col("tc.n") <= bound * F.pow("n_e", F.lit(GENERALISE)))
+    pairs = pairs.groupBy("e", "n_e", "tc").agg(F.count("*").alias("n_et"), F.min("around").alias("lo"), F.max("around").alias("hi")).where("lo < hi")
+    pmi = F.log2(F.lit(float(whole)) * F.col("n_et") / (F.col("n_e") * F.col("tc.n")))
+    share = pmi / F.log2(F.lit(float(whole)) / F.col("n_e"))
     best = pairs.select("tc.*", share.alias("share")).where(F.col("share") >= GENERALISE).groupBy("n", "a", "b").agg(F.max("share").alias("share"))
     return rare.join(best, ["n", "a", "b"]).select("t", "share")
 
 
 def analyse(docs: DataFrame) -> DataFrame:
     """doc_id, text, base spans by kind and together, and `terms` (start, end, share), for every row of `docs`."""
-    texts = _texts(docs)
-    flagged = shared.written(disclosing(texts), "disclosing")
-    hits = texts.select("key", F.explode("terms").alias("t")).join(flagged, "t").groupBy("key").agg(F.collect_list(F.struct("t", "share")).alias("hits"))
+    flagged = shared.written(disclosing(docs), "disclosing")
+    hits = _terms(docs).join(flagged, "t").groupBy("key").agg(F.collect_set(F.struct("t", "share")).alias("hits"))
     hits = shared.written(hits, "hits").withColumn("salt", F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1))))
     rows = docs.select("doc_id", F.coalesce("text", F.lit("")).alias("text"))
     rows = rows.withColumns({"key": F.xxhash64("text"), "salt": F.pmod(F.xxhash64("doc_id"), F.lit(SALTS)).cast("int")})
