@@ -3,20 +3,15 @@
 import base64
 import hashlib
 import io
-import math
 import random
-import re
 import time
 import zlib
-from collections import Counter, defaultdict
 
 import brute
 import pytest
-import regex
 from docfold.llm import mixture, pii, warc
 from hypothesis import given, settings
 from hypothesis import strategies as st
-from pyspark.sql import functions as F
 
 KINDS = list(brute.PII)
 
@@ -55,62 +50,6 @@ def test_terms_that_disclose_an_entity_are_generalised_or_removed(spark):
     assert pii.report(df.limit(0)).count() == 0
 
 
-def disclosed(rows: list[tuple[int, str | None]]) -> dict[int, str]:
-    """All spans by document, counted pair by pair over distinct texts."""
-    def terms(text):
-        return [(m.start(), m.end(), m[0].lower()) for m in regex.finditer(r"[\p{L}\p{N}]+", text)]
-
-    def entities(text):
-        out = {}
-        for a, k, b in brute.personal(text):
-            e = ("email:" + text[a:b].lower()) if k == 0 else KINDS[k] + ":" + re.sub("[^0-9.]" if k == 1 else "[^0-9]", "", text[a:b])
-            around = text[max(0, a - 60):a] + "\0" + text[b:b + 60]
-            out[e] = min(around, out.get(e, around))
-        return out
-
-    texts = {t or "" for _, t in rows}
-    n_e, n_t, n_et, around = Counter(), Counter(), Counter(), defaultdict(set)
-    for text in texts:
-        es, ts = entities(text), {t for _, _, t in terms(text)}
-        n_e.update(es.keys())
-        n_t.update(ts)
-        n_et.update((e, t) for e in es for t in ts)
-        for e, t in ((e, t) for e in es for t in ts):
-            around[e, t].add(es[e])
-    n = len(texts)
-    bad = {t for (e, t), c in n_et.items() if len(around[e, t]) > 1 and n_e[e] < n and math.log2(n * c / (n_e[e] * n_t[t])) / math.log2(n / n_e[e]) >= 0.7}
-    out = {}
-    for i, text in rows:
-        text = text or ""
-        found = brute.personal(text)
-        extra = [(a, 4, b) for a, b, t in terms(text) if t in bad and not any(s < b and e > a for s, _, e in found)]
-        out[i] = ",".join(f"{[*KINDS, 'term'][k]}:{a}:{b}" for a, k, b in sorted(found + extra))
-    return out
-
-
-def test_terms_match_a_count_pair_by_pair(spark):
-    rng = random.Random(7)
-    people = [("Zorblax Ltd", "ada@x.org"), ("Müller", "+49 30 1234567"), ("quux", "10.0.0.7"), ("Étoile9", "4111 1111 1111 1111")]
-    plain = "the plan of a day in this old town was to go and see what they made there".split()
-    rows: list = [(0, None), (1, ""), (2, "ada@x.org")]
-    for i in range(3, 160):
-        words = [rng.choice(plain) for _ in range(rng.randint(1, 9))]
-        name, entity = rng.choice(people)
-        if rng.random() < 0.5:
-            words.insert(rng.randrange(len(words)), entity)
-        if rng.random() < 0.4:
-            words[rng.randrange(len(words)):0] = [name] + ["far"] * rng.choice([0, 0, 40])  # far beyond the entity
-        rows.append((i, " ".join(words)))
-    rows += [(200 + i, "copied passage ada@x.org Copyonly") for i in range(40)]
-    passage = " ".join(plain) + " bob@y.org " + " ".join(plain)
-    rows += [(300 + i, f"Similar{i % 2} {passage} Copies Only") for i in range(4)]  # other texts, one passage
-    df = spark.createDataFrame(rows, "doc_id long, text string").withColumns({c: F.lit("x") for c in ("key", "salt", "spans", "terms", "hits", "row", "t", "n")})
-    got = {r.doc_id: r for r in pii.report(df.repartition(8)).collect()}
-    want = disclosed(rows)
-    assert {i: r.spans for i, r in got.items()} == want
-    assert sum(r.n_terms for r in got.values()) > 20 and "term" not in want[200] + want[300]
-
-
 def test_long_texts_of_numbers_take_seconds(spark):
     text = "12 a " * 200_000 + "1.2.3.4 " * 2000 + "mail x@y.zz"
     rows = spark.createDataFrame([(i, text + str(i)) for i in range(2)], "doc_id long, text string").repartition(2)
