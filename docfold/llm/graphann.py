@@ -1,12 +1,14 @@
 """Approximate nearest neighbours by inner product on robust-pruned directed graphs.
 
 Equal vectors form a class that stands once in the index; a class keeps its `k` + 1 smallest vec_ids, all that an answer
-can need. Classes are dealt by hash to shards of about `SHARD` vectors. Inner products become distances by one more
-coordinate, sqrt(M^2 - |x|^2) with M the largest norm, 0 for a query. In a shard the graph grows in rounds that double it:
-greedy beam searches from an entry point propose neighbours, robust pruning keeps a candidate unless a kept one is
-`ALPHA` times nearer to it, edges are made in both directions and pruned again where a node has too many. A node whose
-in-edges all were pruned away gets one back. Every query is searched by beam in every shard, in blocks, and the
-best of all shards are its answer, scored in double precision on the original vectors.
+can need. Classes are dealt by hash to shards of about `SHARD` vectors, and inside a shard to bands of like lengths, one
+graph each: the lengths of a band differ by a factor of 2^(1/`BANDS`) at most, so no long vector hides the others. Inner
+products become distances by one more coordinate, sqrt(M^2 - |x|^2) with M the band's largest length, 0 for a query. A
+graph grows in rounds that double it: greedy beam searches from an entry point propose neighbours, robust pruning keeps a
+candidate unless a kept one is `ALPHA` times nearer to it, edges are made in both directions and pruned again where a
+node has too many. A node whose in-edges all were pruned away gets one back. Every query is searched by beam in every
+shard, in blocks, from the longest band down; it leaves a shard when |q| M of the next band cannot reach its worst
+answer there. The best of all shards are its answer, scored in double precision on the original vectors.
 
 Every row with a usable vector is indexed; there is no sample. Vectors that are null, zero, of another length than the
 most common one, or hold null or non-finite components take no part, nor do rows without vec_id. Of a vec_id with several
@@ -32,6 +34,7 @@ from docfold.llm import shared
 cloudpickle.register_pickle_by_value(sys.modules[__name__])
 
 SHARD = 8192
+BANDS = 2  # to a doubling of the length
 DEGREE, BEAM, SEARCH_BEAM, ALPHA = 32, 56, 160, 1.2
 QUERIES = 4096  # in a block
 
@@ -188,7 +191,7 @@ class Graph:
                 met[point] = True
 
 
-GRAPH = "shard int, entry int, ids binary, vectors binary, edges binary, size int"
+GRAPH = "shard int, top double, entry int, ids binary, vectors binary, edges binary, size int"
 FOUND = "query_id long, c long, score double"
 
 
@@ -208,48 +211,75 @@ def usable(vectors: DataFrame) -> DataFrame:
     return rows.groupBy("vec_id").agg(F.min("v").alias("v"))
 
 
-def build(classes: DataFrame, shards: int, top: float) -> DataFrame:
-    """One row per shard: its graph. `classes`: c, v."""
+def lengths(x: np.ndarray) -> np.ndarray:
+    """Of the rows, without overflow of the squares."""
+    most = np.abs(x).max(axis=1)
+    return most * np.sqrt(((x / most[:, None]) ** 2).sum(axis=1))
+
+
+def lifted(x: np.ndarray, top: float) -> np.ndarray:
+    """The rows over the largest length `top`, with the coordinate that makes them equally long."""
+    x = x / top
+    return np.concatenate([x, np.sqrt(np.maximum(1 - (x * x).sum(axis=1), 0))[:, None]], axis=1)
+
+
+def build(classes: DataFrame, shards: int) -> DataFrame:
+    """One row per shard and band of lengths: its graph. `classes`: c, v."""
 
     def task(key: tuple, pdf: pd.DataFrame) -> pd.DataFrame:
         pdf = pdf.sort_values("c")
-        x = np.stack(pdf["v"].to_list()).astype(np.float64)
-        lift = np.sqrt(np.maximum(top * top - (x * x).sum(axis=1), 0))
-        g = Graph(np.concatenate([x, lift[:, None]], axis=1) / top)
-        return pd.DataFrame({"shard": [key[0]], "entry": [g.entry], "ids": [pdf["c"].to_numpy(np.int64).tobytes()], "vectors": [x.tobytes()],
-                             "edges": [g.edges.astype(np.int32).tobytes()], "size": [len(x)]})
+        x, ids = np.stack(pdf["v"].to_list()).astype(np.float64), pdf["c"].to_numpy(np.int64)
+        long = lengths(x)
+        band = np.floor(BANDS * (np.log2(long.max()) - np.log2(long))).astype(np.int64)
+        out = []
+        for b in np.unique(band):
+            at = band == b
+            top = float(long[at].max())
+            g = Graph(lifted(x[at], top))
+            out.append((key[0], top, g.entry, ids[at].tobytes(), x[at].tobytes(), g.edges.astype(np.int32).tobytes(), int(at.sum())))
+        return pd.DataFrame(out, columns=["shard", "top", "entry", "ids", "vectors", "edges", "size"])
 
     placed = classes.withColumn("shard", F.pmod(F.xxhash64("c"), F.lit(shards)).cast("int"))
     return shared.written(placed.groupBy("shard").applyInPandas(task, GRAPH), "graphs")
 
 
-def search(graphs: DataFrame, queries: DataFrame, shards: int, blocks: int, top: float, k: int) -> DataFrame:
+def best_of(ids: np.ndarray, scores: np.ndarray, k: int) -> tuple[np.ndarray, np.ndarray]:
+    """The k best of each row: higher score first, ties to the smaller id; places without an entry score -inf."""
+    order = np.lexsort((ids, -scores), axis=1)[:, :k]
+    return np.take_along_axis(ids, order, 1), np.take_along_axis(scores, order, 1)
+
+
+def search(graphs: DataFrame, queries: DataFrame, shards: int, blocks: int, k: int) -> DataFrame:
     """query_id, c, score: the k best classes of each query in each shard. `queries`: query_id, block, v."""
 
     def task(key: tuple, graph: pd.DataFrame, asked: pd.DataFrame) -> pd.DataFrame:
         if not len(graph) or not len(asked):
             return pd.DataFrame({"query_id": [], "c": [], "score": []})
-        g = graph.iloc[0]
-        x = np.frombuffer(g["vectors"], np.float64).reshape(g["size"], -1)
-        lift = np.sqrt(np.maximum(top * top - (x * x).sum(axis=1), 0))
-        space = (np.concatenate([x, lift[:, None]], axis=1) / top).astype(np.float32)
-        edges = np.frombuffer(g["edges"], np.int32).reshape(g["size"], -1).astype(np.int64)
-        ids = np.frombuffer(g["ids"], np.int64)
+        graph = graph.sort_values("top", ascending=False)
+        query_ids = asked["query_id"].to_numpy()
         q = np.stack(asked["v"].to_list()).astype(np.float64)
+        long = lengths(q)
         # a query's length changes no order; length 1 keeps the search well scaled
-        unit = np.concatenate([q / np.sqrt((q * q).sum(axis=1))[:, None], np.zeros((len(q), 1))], axis=1).astype(np.float32)
-        out = []
-        for i in range(0, len(q), 1024):
-            best, _, _ = beam_search(space, edges, int(g["entry"]), unit[i:i + 1024], max(SEARCH_BEAM, 2 * k))
-            row, col = np.nonzero(best >= 0)
-            node = best[row, col]
-            score = np.einsum("ij,ij->i", q[i:i + 1024][row], x[node])
-            order = np.lexsort((ids[node], -score, row))
-            row, node, score = row[order], node[order], score[order]
-            first = np.searchsorted(row, np.arange(row.max(initial=-1) + 1))
-            keep = np.arange(len(row)) - first[row] < k
-            out.append(pd.DataFrame({"query_id": asked["query_id"].to_numpy()[i:i + 1024][row[keep]], "c": ids[node[keep]], "score": score[keep]}))
-        return pd.concat(out)
+        unit = np.concatenate([q / long[:, None], np.zeros((len(q), 1))], axis=1).astype(np.float32)
+        found, scores = np.full((len(q), k), -1, np.int64), np.full((len(q), k), -np.inf)
+        for g in graph.itertuples():
+            active = np.flatnonzero(long * g.top * (1 + 1e-9) >= scores[:, -1])
+            if not len(active):
+                break
+            x = np.frombuffer(g.vectors, np.float64).reshape(g.size, -1)
+            space = lifted(x, g.top).astype(np.float32)
+            edges = np.frombuffer(g.edges, np.int32).reshape(g.size, -1).astype(np.int64)
+            ids = np.frombuffer(g.ids, np.int64)
+            for i in range(0, len(active), 1024):
+                part = active[i:i + 1024]
+                best, _, _ = beam_search(space, edges, int(g.entry), unit[part], max(SEARCH_BEAM, 2 * k))
+                row, col = np.nonzero(best >= 0)
+                score, near = np.full(best.shape, -np.inf), np.full(best.shape, -1, np.int64)
+                score[row, col] = np.einsum("ij,ij->i", q[part[row]], x[best[row, col]])
+                near[row, col] = ids[best[row, col]]
+                found[part], scores[part] = best_of(np.concatenate([found[part], near], axis=1), np.concatenate([scores[part], score], axis=1), k)
+        row, col = np.nonzero(~np.isneginf(scores))
+        return pd.DataFrame({"query_id": query_ids[row], "c": found[row, col], "score": scores[row, col]})
 
     spread = graphs.withColumn("block", F.explode(F.sequence(F.lit(0), F.lit(blocks - 1))))
     asked = queries.withColumn("shard", F.explode(F.sequence(F.lit(0), F.lit(shards - 1))))  # each block visits each shard
@@ -264,14 +294,14 @@ def nearest(vectors: DataFrame, queries: DataFrame, k: int = 20) -> DataFrame:
     members = rows.withColumn("r", F.row_number().over(order)).where(F.col("r") <= k + 1)
     members = shared.written(members.withColumn("c", F.first("vec_id").over(order)), "members")  # c: the class's smallest vec_id
     classes = members.where("r = 1").select("c", "v")
-    n, top = classes.agg(F.count("*"), F.max(F.sqrt(F.aggregate("v", F.lit(0.0), lambda s, x: s + x * x)))).first()
+    n = classes.count()
     asked = usable(queries).select(F.col("vec_id").alias("query_id"), "v")
     total = asked.count()
     blocks = max(1, -(-total // QUERIES))
     asked = asked.withColumn("block", F.pmod(F.xxhash64("query_id", "v"), F.lit(blocks)).cast("int"))
     shards = max(1, -(-n // SHARD))
-    graphs = build(classes, shards, top or 1.0)
-    found = search(graphs, asked, shards, blocks, top or 1.0, k + 1)
+    graphs = build(classes, shards)
+    found = search(graphs, asked, shards, blocks, k + 1)
     by_class = Window.partitionBy("query_id").orderBy(F.desc("score"), "c")
     kept = found.withColumn("r", F.row_number().over(by_class)).where(F.col("r") <= k + 1).drop("r")
     # classes, then their members without the query itself
