@@ -42,7 +42,7 @@ class Grams:
     def __init__(self) -> None:
         points = np.arange(0x110000, dtype=np.uint32)
         self.lower, self.letter = points, np.zeros(len(points), bool)
-        for c in range(0x30000):  # letters beyond are left as other characters
+        for c in range(0x40000):  # planes from the fourth on hold no letters
             s = chr(c)
             if s.isalpha():
                 self.letter[c] = True
@@ -177,7 +177,7 @@ def learn(docs: DataFrame) -> Model | None:
     # the PER_LANGUAGE smallest hashes of each language; ids first, so that texts are read only for those
     order = Window.partitionBy("lang").orderBy(F.xxhash64(F.lit("sample"), "doc_id"), "doc_id")
     chosen = rows.select("doc_id", "lang").withColumn("r", F.row_number().over(order)).where(F.col("r") <= PER_LANGUAGE).select("doc_id", "lang")
-    some = rows.join(F.broadcast(chosen), ["doc_id", "lang"], "left_semi").dropDuplicates(["doc_id", "lang"])
+    some = rows.join(F.broadcast(chosen), ["doc_id", "lang"], "left_semi").groupBy("doc_id", "lang").agg(F.min("text").alias("text"))
 
     def features(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         grams = Grams()
