@@ -10,7 +10,8 @@ rewrapped copies of those pages, whose own blocks are put in other containers, s
 
 Text: character references decoded, white space in a block one space, ends trimmed, blocks joined by one \\n. Markup that
 never closes runs to the end of the page; <svg/> and <math/> are closed. A null html has no text. Every page is read whole; pages are independent, so
-repeated rows get equal results. A null page_id or url is passed on. Other columns are ignored.
+repeated rows get equal results; of a page_id with several pages the learner reads the first in order. Memory and time
+grow with the page's length, however deep its elements nest. A null page_id or url is passed on. Other columns are ignored.
 """
 
 from __future__ import annotations
@@ -19,7 +20,8 @@ import html
 import re
 import sys
 import zlib
-from collections.abc import Callable, Iterator
+from collections import Counter
+from collections.abc import Callable, Iterable, Iterator
 
 import numpy as np
 import pyarrow as pa
@@ -42,6 +44,7 @@ INLINE = set("a abbr acronym b bdi bdo big br cite code data del dfn em font i i
 CLOSED_BY_BLOCKS = "p"
 SIBLINGS = {"li": {"li"}, "dt": {"dt", "dd"}, "dd": {"dt", "dd"}, "tr": {"tr", "td", "th"}, "td": {"td", "th"}, "th": {"td", "th"}, "option": {"option"}}
 FURNITURE_TAGS = set("head title nav header footer aside form menu dialog button select fieldset figcaption".split())
+MAIN_TAGS = set("article main p section div td h1 h2 h3 blockquote pre ul ol".split())
 FURNITURE_WORDS = """ad ads advert advertisement adverts banner promo promotion sponsor sponsored cookie cookies consent gdpr notice notification alert
  menu nav navbar navigation breadcrumb breadcrumbs sidebar side widget related recommended share sharing social comment comments reply replies respond
  footer foot header masthead subscribe subscription newsletter signup popup modal overlay login search copyright legal disclaimer toolbar pagination
@@ -60,30 +63,68 @@ NAMED = re.compile(r"\b(?:class|id|role)\s*+=\s*+(?:\"([^\"]*+)\"|'([^']*+)'|([^
 PART = re.compile(r"[a-z]+")
 
 
-def blocks(page: str) -> list[tuple[tuple[str, ...], str]]:
-    """(path, text) of the leaf blocks; a path step is a tag with its class words, like `div.side.menu`."""
-    out: list[tuple[tuple[str, ...], str]] = []
-    stack: list[str] = []
+def column(mark: str) -> int:
+    return zlib.crc32(mark.encode()) >> (32 - PATH_BITS)
+
+
+#: What a path of open elements tells: the columns of its tags and words as bits, the last tag, whether a step names
+#: furniture, whether one may hold main text. Its size does not grow with the depth.
+Place = tuple[int, str, bool, bool]
+TOP: Place = (0, "", False, False)
+
+
+def step_marks(step: str) -> Place:
+    """Of one step: a tag with its class words, like `div.side.menu`."""
+    tag, *words = step.split(".")
+    bits = 0
+    for mark in (f"tag {tag}", *(f"word {w}" for w in words)):
+        bits |= 1 << column(mark)
+    return bits, tag, tag in FURNITURE_TAGS or any(w in FURNITURE_WORDS for w in words), tag in MAIN_TAGS
+
+
+def below(place: Place, step: Place) -> Place:
+    return place[0] | step[0], step[1], place[2] or step[2], place[3] or step[3]
+
+
+def place_of(steps: Iterable[str]) -> Place:
+    place = TOP
+    for step in steps:
+        place = below(place, step_marks(step))
+    return place
+
+
+def blocks(page: str) -> list[tuple[Place, str]]:
+    """(place, text) of the leaf blocks."""
+    out: list[tuple[Place, str]] = []
+    stack: list[Place] = []
     names: list[str] = []
+    count: Counter[str] = Counter()  # of the open elements by name
+    known: dict[str, Place] = {}
     held: list[str] = []
-    place: tuple[str, ...] | None = None
+    place: Place | None = None
 
     def close() -> None:
         nonlocal held, place
         if held:
             text = " ".join(html.unescape("".join(held)).split())
             if text:
-                out.append((place or (), text))
+                out.append((place or TOP, text))
         held, place = [], None
 
     def text(piece: str) -> None:
         nonlocal place
         if place is None and not piece.isspace():
-            place = tuple(stack)
+            place = stack[-1] if stack else TOP
         held.append(piece)
 
-    def pop_to(i: int) -> None:
-        del stack[i:], names[i:]
+    def pop(name: str) -> None:
+        """Leave the innermost element of that name."""
+        while names:
+            last = names.pop()
+            stack.pop()
+            count[last] -= 1
+            if last == name:
+                return
 
     at = 0
     for m in TAG.finditer(page):
@@ -103,19 +144,19 @@ def blocks(page: str) -> list[tuple[tuple[str, ...], str]]:
         if not inline:
             close()
         if end:
-            if name in names:
-                pop_to(len(names) - 1 - names[::-1].index(name))
+            if count[name]:
+                pop(name)
             continue
         if name in VOID:
             continue
-        if not inline and CLOSED_BY_BLOCKS in names:
-            pop_to(len(names) - 1 - names[::-1].index(CLOSED_BY_BLOCKS))
-        if name in SIBLINGS:
-            for i in range(len(names) - 1, -1, -1):
-                if names[i] in SIBLINGS[name]:
-                    pop_to(i)
+        if not inline and count[CLOSED_BY_BLOCKS]:
+            pop(CLOSED_BY_BLOCKS)
+        if name in SIBLINGS and any(count[x] for x in SIBLINGS[name]):
+            for other in reversed(names):
+                if other in SIBLINGS[name]:
+                    pop(other)
                     break
-                if names[i] in ("ul", "ol", "dl", "table", "select", "tbody"):
+                if other in ("ul", "ol", "dl", "table", "select", "tbody"):
                     break
         step = name
         if "=" in attributes:
@@ -123,24 +164,23 @@ def blocks(page: str) -> list[tuple[tuple[str, ...], str]]:
             if words:
                 step = ".".join([name, *words])
         if not attributes.endswith("/") or not inline:
-            stack.append(step)
+            if step not in known:
+                known[step] = step_marks(step)
+            stack.append(below(stack[-1] if stack else TOP, known[step]))
             names.append(name)
+            count[name] += 1
     if at < len(page):
         text(page[at:])
     close()
     return out
 
 
-def is_furniture(path: tuple[str, ...]) -> bool:
-    """The weak label. A header inside an article is the article's own only if it holds the headline, not a menu."""
-    for step in path:
-        tag, *words = step.split(".")
-        if tag in FURNITURE_TAGS or any(w in FURNITURE_WORDS for w in words):
-            return True
-    return not any(step.partition(".")[0] in ("article", "main", "p", "section", "div", "td", "h1", "h2", "h3", "blockquote", "pre", "ul", "ol") for step in path)
+def is_furniture(place: Place) -> bool:
+    """The weak label: a step names furniture, or none may hold main text."""
+    return place[2] or not place[3]
 
 
-def rewrapped(page: list[tuple[tuple[str, ...], str]], rng: np.random.Generator) -> list[tuple[tuple[str, ...], str]]:
+def rewrapped(page: list[tuple[Place, str]], rng: np.random.Generator) -> list[tuple[Place, str]]:
     """The blocks of a page in other containers, furniture before, within and after the main text."""
     main = [(p, t) for p, t in page if not is_furniture(p)]
     rest = [t for p, t in page if is_furniture(p)] or ["menu"]
@@ -164,15 +204,13 @@ def rewrapped(page: list[tuple[tuple[str, ...], str]], rng: np.random.Generator)
         inner = inner[:within] + extra + inner[within:]
     front = [x for _ in range(rng.integers(1, 4)) for x in furniture()]
     back = [x for _ in range(rng.integers(1, 4)) for x in furniture()]
-    return [(("html", "head", "title"), prose[0])] + front + inner + back
+    made = [(("html", "head", "title"), prose[0])] + front + inner + back
+    return [(place_of(p), t) for p, t in made]
 
 
-def path_columns(path: tuple[str, ...]) -> list[int]:
-    marks = [f"last {path[-1].partition('.')[0]}"] if path else ["none"]
-    for step in path:
-        tag, *words = step.split(".")
-        marks += [f"tag {tag}", *(f"word {w}" for w in words)]
-    return sorted({zlib.crc32(x.encode()) >> (32 - PATH_BITS) for x in marks})
+def path_columns(place: Place) -> list[int]:
+    bits = place[0] | 1 << column(f"last {place[1]}" if place[1] else "none")
+    return [i for i in range(1 << PATH_BITS) if bits >> i & 1]
 
 
 class Encoder:
@@ -270,8 +308,8 @@ class Labeller:
 class Batch:
     """Pages of similar length as padded arrays."""
 
-    def __init__(self, pages: list[list[tuple[tuple[str, ...], str]]], encoder: Encoder) -> None:
-        index: dict[tuple[str, ...], int] = {(): 0}
+    def __init__(self, pages: list[list[tuple[Place, str]]], encoder: Encoder) -> None:
+        index: dict[Place, int] = {TOP: 0}
         steps, n = max(map(len, pages)), len(pages)
         self.of, self.mask = np.zeros((steps, n), np.int64), np.zeros((steps, n), bool)
         self.words = np.zeros((steps, n, WORD_COLUMNS), np.float32)
@@ -314,7 +352,7 @@ def train(pages: list[str]) -> dict[str, np.ndarray]:
     return net.w
 
 
-def label(pages: list[list[tuple[tuple[str, ...], str]]], net: Labeller, encoder: Encoder) -> list[np.ndarray]:
+def label(pages: list[list[tuple[Place, str]]], net: Labeller, encoder: Encoder) -> list[np.ndarray]:
     """For each page, which of its blocks are main text."""
     out: list[np.ndarray] = [np.zeros(0, bool)] * len(pages)
     order = [i for i in sorted(range(len(pages)), key=lambda i: len(pages[i])) if pages[i]]
@@ -347,7 +385,7 @@ def extractor(sent) -> Callable:
 def learn(pages: DataFrame) -> dict[str, np.ndarray]:
     known = pages.where("html IS NOT NULL AND page_id IS NOT NULL")
     ids = folds.sample(known.select("page_id").distinct(), PAGES, "page_id")
-    rows = known.join(F.broadcast(ids), "page_id").dropDuplicates(["page_id"]).select("page_id", "html").collect()  # at most PAGES pages
+    rows = known.join(F.broadcast(ids), "page_id").groupBy("page_id").agg(F.min("html").alias("html")).collect()  # at most PAGES pages
     return train([r["html"] for r in sorted(rows, key=lambda r: r["page_id"])]) if rows else Labeller().w
 
 

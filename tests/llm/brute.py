@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import html.parser
 import re
 from collections import defaultdict
 
@@ -98,3 +99,37 @@ def personal(text: str | None) -> list[tuple[int, int, int]]:
             if good:
                 out.append((m.start(), k, m.end()))
     return sorted(out)
+
+
+class _Article(html.parser.HTMLParser):
+    """The blocks inside <article>, by the standard library's parser."""
+
+    def __init__(self):
+        super().__init__(convert_charrefs=True)
+        self.inside, self.blocks, self.now = 0, [], ""
+
+    def cut(self, tag):
+        if tag not in ("a", "b", "i", "em", "strong", "span", "code", "small", "br"):
+            text = " ".join(self.now.split())
+            if text:
+                self.blocks.append(text)
+            self.now = ""
+
+    def handle_starttag(self, tag, attrs):
+        self.cut(tag)
+        self.inside += tag == "article"
+
+    def handle_endtag(self, tag):
+        self.cut(tag)
+        self.inside -= tag == "article"
+
+    def handle_data(self, data):
+        if self.inside:
+            self.now += data
+
+
+def article_blocks(page):
+    parser = _Article()
+    parser.feed(page)
+    parser.close()
+    return parser.blocks

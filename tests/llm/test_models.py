@@ -98,8 +98,8 @@ def test_blocks_of_broken_markup():
     assert text("<script>x='<p>no</p>'</script><p>yes<!-- <p>no -->!") == ["yes!"]
     assert text("<div><p>cut off &am") == ["cut off &am"] and text("a<div class='x") == ["a"] and text("a<!-- open <p>b") == ["a"]
     assert text("<ul><li>1<li>2</ul>3") == ["1", "2", "3"] and text("1 < 2 <p>\xa0&nbsp;x\n\ty</p>") == ["1 < 2", "x y"]
-    path, _ = htmltext.blocks('<div class="Side-Bar big" id=q><span>x</span></div>')[0]
-    assert path == ("div.side.bar.big.q", "span")
+    place, _ = htmltext.blocks('<div class="Side-Bar big" id=q><span>x</span></div>')[0]
+    assert place == htmltext.place_of(("div.side.bar.big.q", "span"))
 
 
 def test_custom_elements_and_self_closed_drawings_keep_what_follows():
@@ -111,6 +111,8 @@ def test_custom_elements_and_self_closed_drawings_keep_what_follows():
 
 
 def test_main_text_of_pages(spark):
+    import brute
+
     pages = table(spark, SF, "pages")
     weights = htmltext.learn(pages)
     odd = spark.createDataFrame([(None, None, None), (1_000_001, "u", ""), (1_000_002, "u", "<p>" + "x " * 60_000)], pages.schema)
@@ -119,8 +121,7 @@ def test_main_text_of_pages(spark):
     html = {r.page_id: r.html for r in pages.collect()}
     for r in got:
         if r.page_id in html:
-            want = [t for p, t in htmltext.blocks(html[r.page_id]) if any(s.split(".")[0] == "article" for s in p)]
-            assert r.text == "\n".join(want)
+            assert r.text == "\n".join(brute.article_blocks(html[r.page_id]))
     assert [r.text for r in got if r.page_id in (None, 1_000_001)] == ["", ""]
     assert htmltext.extract(pages.limit(0), htmltext.learn(pages.limit(0))).count() == 0
 
