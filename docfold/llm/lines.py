@@ -418,7 +418,7 @@ def repeats(docs: DataFrame, min_words: int = MIN_WORDS) -> DataFrame:
     again = spark.sparkContext.broadcast(membership(twice, True))
     lines = found.where("lines IS NOT NULL").select("lines").mapInArrow(unpacked_among(again), "id long, text long, line int, n int, key long")
     firsts = lines.groupBy("key", "n").agg(F.min(F.struct("id", "line", "text")).alias("first"), F.count("*").alias("c")).where("c > 1")
-    equal = (lines.join(firsts, ["key", "n"]).where(F.struct("id", "line") > F.struct("first.id", "first.line")).select("id", "text", "line"))
+    equal = (lines.join(firsts, ["key", "n"]).where(F.struct("id", "line", "text") > F.col("first")).select("id", "text", "line"))
     gone = shared.written(equal, "lines")
     shared.removed(twice)
 
@@ -452,10 +452,12 @@ def dedup(docs: DataFrame, min_words: int = MIN_WORDS) -> DataFrame:
     """`docs` with repeated lines taken out of text, and the column `removed_lines`: their numbers, from 0."""
     gone = (repeats(docs, min_words).groupBy(F.col("id").alias("_id"), F.col("text").alias("_key"))
             .agg(F.sort_array(F.collect_set("line")).alias("removed_lines")))
-    keyed = docs.withColumns({"_id": F.coalesce(F.col("doc_id").cast("long"), F.lit(LAST)), "_key": F.xxhash64("text")})
-    out = keyed.join(gone, ["_id", "_key"], "left").drop("_id", "_key")
+    given, moved = shared.set_aside(docs, {"_id", "_key", "removed_lines"})
+    keyed = docs.select(*given, F.coalesce(F.col("doc_id").cast("long"), F.lit(LAST)).alias("_id"), F.xxhash64("text").alias("_key"))
+    out = keyed.join(gone, ["_id", "_key"], "left").drop("_id", "_key", *(new for new, old in moved.items() if old.lower() == "removed_lines"))
     # rebuild only texts that lose lines
     lines = F.split("text", "\n", -1)
     kept = F.filter(lines, lambda x, i: ~F.array_contains("removed_lines", i))
-    return out.withColumn("text", F.when(F.col("removed_lines").isNotNull(), F.array_join(kept, "\n")).otherwise(F.col("text"))).withColumn(
+    out = out.withColumn("text", F.when(F.col("removed_lines").isNotNull(), F.array_join(kept, "\n")).otherwise(F.col("text"))).withColumn(
         "removed_lines", F.coalesce("removed_lines", F.array().cast("array<int>")))
+    return out.withColumnsRenamed({new: old for new, old in moved.items() if old.lower() != "removed_lines"})

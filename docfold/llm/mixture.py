@@ -12,19 +12,25 @@ falls is ordered, so a source with most of the rows is never sorted in one task.
 
 Nulls: a null text has size 0, a null source is the source null, ordered last. A null doc_id hashes as the empty text.
 Size-0 documents take 0 words. Repeated rows are documents of their own. An empty table gives an empty result.
+Other columns pass through; those named like an output column are replaced by it.
 """
 
 from __future__ import annotations
 
-from collections import defaultdict
+from collections import deque
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
+from docfold.llm import shared
+
 REPEATS = 3
 SEED = "mix-1"
 BUCKETS = 65536
+PATTERNS = 100_000  # the most of which a row each is broadcast
+OUTPUTS = {"size", "pattern", "tokens", "target", "copies", "taken"}
+INNER = OUTPUTS | {"order", "bucket", "words", "full", "rest", "line", "before", "ahead", "more"}
 
 
 def size_of(text: Column) -> Column:
@@ -55,48 +61,62 @@ def targets(sizes: dict[str | None, int], weights: dict[str | None, float], repe
     return out
 
 
+def _route(start: tuple, room: dict, givers: dict[str | None, dict], dead: set) -> list | None:
+    """Pattern, source, pattern, ..., source: the shortest way from `start` to a source with room, or None.
+
+    A pattern passes tokens to its sources, a source hands back those of patterns that give to it. What a vain search met
+    is closed: no later way leads out of it, as room never grows.
+    """
+    before: dict = {}
+    queue = deque([start])
+    met = {start}
+    while queue:
+        pattern = queue.popleft()
+        for s in pattern:
+            if s in before or s not in room:
+                continue
+            before[s] = pattern
+            if room[s] > 0:
+                way = [s, pattern]
+                while way[-1] != start:
+                    back = before["from", way[-1]]
+                    way += [back, before[back]]
+                return way[::-1]
+            for q in givers[s]:
+                if q not in met and q not in dead:
+                    met.add(q)
+                    before["from", q] = s
+                    queue.append(q)
+    dead |= met
+    return None
+
+
 def flow(patterns: dict[tuple, int], quotas: dict[str | None, float], repeats: int = REPEATS) -> dict[tuple, list[float]]:
-    """Tokens that each pattern gives in its first, second, ... copy, by successive cheapest augmenting paths."""
-    sources, keys = list(quotas), list(patterns)
-    used = {p: [0.0] * repeats for p in keys}
-    given: dict[tuple, dict] = {p: defaultdict(float) for p in keys}
+    """Tokens that each pattern gives in its first, second, ... copy: min-cost flow by cheapest augmenting paths.
+
+    Only a token's copy costs, so paths are cheapest first when all first copies go before all second ones.
+    """
+    used = {p: [0.0] * repeats for p in patterns}
     room = dict(quotas)
-    while True:
-        # cost of one more token from pattern p, directly or by p taking over what q gives to a source
-        open_level = {p: next((k for k in range(repeats) if used[p][k] < patterns[p]), None) for p in keys}
-        dist = {("p", p): k * k for p, k in open_level.items() if k is not None}
-        before: dict = dict.fromkeys(dist)
-        queue = list(dist)
-        while queue:
-            node = queue.pop(0)
-            kind, x = node
-            if kind == "p":
-                steps = [(("s", s), 0.0) for s in x if s in room]
-            else:
-                steps = [(("p", q), 0.0) for q in keys if given[q][x] > 0]
-            for to, cost in steps:
-                if to not in dist or dist[node] + cost < dist[to]:
-                    dist[to], before[to] = dist[node] + cost, node
-                    queue.append(to)
-        ends = [("s", s) for s in sources if room[s] > 0 and ("s", s) in dist]
-        if not ends:
-            return used
-        node = min(ends, key=lambda n: (dist[n], sources.index(n[1])))
-        path = [node]
-        while before[path[-1]] is not None:
-            path.append(before[path[-1]])
-        path.reverse()  # p, s, p, s, ...
-        first, level = path[0][1], open_level[path[0][1]]
-        most = min(room[node[1]], patterns[first] - used[first][level])
-        for a, b in zip(path[1::2], path[2::2]):
-            most = min(most, given[b[1]][a[1]])
-        full = most == patterns[first] - used[first][level]
-        used[first][level] = float(patterns[first]) if full else used[first][level] + most
-        room[node[1]] = 0.0 if most == room[node[1]] else room[node[1]] - most
-        for a, b in zip(path[0::2], path[1::2]):
-            given[a[1]][b[1]] += most
-        for a, b in zip(path[1::2], path[2::2]):
-            given[b[1]][a[1]] -= most
+    givers: dict[str | None, dict[tuple, float]] = {s: {} for s in quotas}
+    dead: set[tuple] = set()
+    for copy in range(repeats):
+        for p, tokens in patterns.items():
+            while p not in dead and used[p][copy] < tokens:
+                way = _route(p, room, givers, dead)
+                if way is None:
+                    break
+                left = tokens - used[p][copy]
+                most = min([left, room[way[-1]], *(givers[s][q] for s, q in zip(way[1::2], way[2::2]))])
+                used[p][copy] = float(tokens) if most == left else used[p][copy] + most
+                room[way[-1]] -= most
+                for q, s in zip(way[0::2], way[1::2]):
+                    givers[s][q] = givers[s].get(q, 0.0) + most
+                for s, q in zip(way[1::2], way[2::2]):
+                    givers[s][q] -= most
+                    if givers[s][q] <= 0:
+                        del givers[s][q]
+    return used
 
 
 def mix(docs: DataFrame, members: Column, weights, repeats: int = REPEATS, seed: str = SEED, spark: SparkSession | None = None) -> DataFrame:
@@ -105,8 +125,9 @@ def mix(docs: DataFrame, members: Column, weights, repeats: int = REPEATS, seed:
     `members`: array of the sources that a document belongs to. `weights`: dict by source, or a function of the list of sources.
     """
     spark = spark or docs.sparkSession
-    rows = docs.withColumns({"size": size_of(F.col("text")), "pattern": F.array_sort(F.array_distinct(members)),
-                             "order": F.md5(F.concat(F.lit(seed + ":"), F.coalesce(F.col("doc_id").cast("string"), F.lit(""))))})
+    given, moved = shared.set_aside(docs, INNER)
+    order = F.md5(F.concat(F.lit(seed + ":"), F.coalesce(F.col("doc_id").cast("string"), F.lit(""))))
+    rows = docs.select(*given, size_of(F.col("text")).alias("size"), F.array_sort(F.array_distinct(members)).alias("pattern"), order.alias("order"))
     rows = rows.withColumn("bucket", F.conv(F.substring("order", 1, 4), 16, 10).cast("int"))
     totals = rows.groupBy("pattern").agg(F.sum("size").alias("tokens")).collect()  # one row per pattern
     patterns = {tuple(r["pattern"]): r["tokens"] for r in totals}
@@ -114,20 +135,21 @@ def mix(docs: DataFrame, members: Column, weights, repeats: int = REPEATS, seed:
     chosen = weights(list(sources)) if callable(weights) else weights
     whole = {s: sum(t for p, t in patterns.items() if s in p) for s in sources}
     goal = targets(whole, chosen, repeats, sum(patterns.values()))
-    given = flow(patterns, goal, repeats)
+    used = flow(patterns, goal, repeats)
     source_of = {p: p[0] if len(p) == 1 else None for p in patterns}
     plan = spark.createDataFrame(
-        [(list(p), patterns[p], float(goal[source_of[p]]) if len(p) == 1 else None, sum(x == patterns[p] for x in given[p]) if patterns[p] else 0,
-          next((x for x in given[p] if 0 < x < patterns[p]), 0.0)) for p in sorted(patterns, key=str)],
+        [(list(p), patterns[p], float(goal[source_of[p]]) if len(p) == 1 else None, sum(x == patterns[p] for x in used[p]) if patterns[p] else 0,
+          next((x for x in used[p] if 0 < x < patterns[p]), 0.0)) for p in sorted(patterns, key=str)],
         "pattern array<string>, tokens long, target double, full int, rest double")
     # where the running sum of each pattern's documents, in hash order, passes `rest`
     sums = rows.groupBy("pattern", "bucket").agg(F.sum("size").alias("words"))
     ordered = Window.partitionBy("pattern").orderBy("bucket")
     before = F.coalesce(F.sum("words").over(ordered.rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))
-    lines = (sums.withColumn("before", before).join(F.broadcast(plan.select("pattern", "rest")), "pattern")
+    small = F.broadcast if len(patterns) <= PATTERNS else (lambda df: df)
+    lines = (sums.withColumn("before", before).join(small(plan.select("pattern", "rest")), "pattern")
              .where("before <= rest AND before + words > rest AND rest > 0").select("pattern", F.col("bucket").alias("line"), "before"))
     plan = plan.join(lines, "pattern", "left")
-    placed = rows.join(F.broadcast(plan), "pattern")  # one row per pattern
+    placed = rows.join(small(plan), "pattern")  # one row per pattern
     at_line = F.col("bucket") == F.col("line")
     within = Window.partitionBy("pattern", "bucket").orderBy("order", "doc_id", "size").rowsBetween(Window.unboundedPreceding, -1)
     edge = (placed.where(at_line).withColumn("ahead", F.col("before") + F.coalesce(F.sum("size").over(within), F.lit(0)))
@@ -135,12 +157,13 @@ def mix(docs: DataFrame, members: Column, weights, repeats: int = REPEATS, seed:
     inner = placed.where(~F.coalesce(at_line, F.lit(False))).withColumn(
         "more", (F.col("rest") > 0).cast("int") * F.coalesce(F.col("bucket") < F.col("line"), F.lit(True)).cast("int"))
     out = inner.unionByName(edge)
-    return (out.withColumn("copies", F.when(F.col("size") > 0, F.col("full") + F.col("more")).otherwise(0))
-            .withColumn("taken", F.col("copies") * F.col("size"))
-            .drop("order", "bucket", "full", "rest", "line", "before", "more"))
+    out = (out.withColumn("copies", F.when(F.col("size") > 0, F.col("full") + F.col("more")).otherwise(0))
+           .withColumn("taken", F.col("copies") * F.col("size"))
+           .drop("order", "bucket", "full", "rest", "line", "before", "more", *(new for new, old in moved.items() if old.lower() in OUTPUTS)))
+    return out.withColumnsRenamed({new: old for new, old in moved.items() if old.lower() not in OUTPUTS})
 
 
 def mix_sources(docs: DataFrame, seed: str = SEED) -> DataFrame:
     """Every document belongs to its own source; weights 5, 2, 1 in turn."""
-    mixed = mix(docs, F.array("source"), cyclic_weights, seed=seed)
+    mixed = mix(docs.drop("source_size"), F.array("source"), cyclic_weights, seed=seed)
     return mixed.withColumnRenamed("tokens", "source_size")

@@ -4,8 +4,10 @@ from __future__ import annotations
 
 import tempfile
 import uuid
+from collections.abc import Iterable
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 
 def folder(spark: SparkSession) -> str:
@@ -24,6 +26,20 @@ def new_path(spark: SparkSession, name: str) -> str:
     return f"{folder(spark)}/docfold/{name}-{uuid.uuid4().hex}"
 
 
+def set_aside(df: DataFrame, names: Iterable[str]) -> tuple[list[Column], dict[str, str]]:
+    """The columns of `df`, those named like one of `names` (upper and lower case alike) under unused names: {new: old}."""
+    taken, moved, out = {c.lower() for c in df.columns} | set(names), {}, []
+    for c in df.columns:
+        new = c
+        if c.lower() in names:
+            while new.lower() in taken:
+                new += "_"
+            taken.add(new.lower())
+            moved[new] = c
+        out.append(F.col(f"`{c.replace('`', '``')}`").alias(new))
+    return out, moved
+
+
 def written(df: DataFrame, name: str) -> DataFrame:
     """`df` as a table in the shared folder: computed once, and still there when executors are lost."""
     path = new_path(df.sparkSession, name)
