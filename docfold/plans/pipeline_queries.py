@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, functions as F
 
-from docfold.operators import versions
+from docfold.operators import search, versions
 from docfold.operators.schema import declared_types
 from docfold.options import FoldOptions
 from docfold.plans import demo
@@ -13,6 +13,7 @@ from docfold.plans.registry import query
 from docfold.sources.changes import unwrap_key
 from docfold.sources.tables import table
 from docfold.streaming.apply import apply_batch, scratch_folder
+from docfold.streaming.layout import SearchLayout
 from docfold.streaming.table import DocumentTable
 
 BATCHES = 4
@@ -102,6 +103,22 @@ def delete_all(spark, sf):
     return documents.columns({"k": "bigint"}).select("collection", "id", "k")
 
 
+@query("q_pipeline_search", f"""SELECT CAST(user_id AS VARCHAR) AS id, CAST(props->>'$.k' AS BIGINT) AS k FROM
+  ({_LAST.format(columns="*", more="")}) WHERE event_type <> 'error' AND CAST(props->>'$.k' AS BIGINT) BETWEEN 10 AND 60
+ORDER BY k DESC, id LIMIT 50""")
+def pipeline_search(spark, sf):
+    """Events to documents to a typed copy in the order of a field, to the first page of a range: with batches that came
+    after the copy."""
+    documents = DocumentTable(spark, scratch_folder(spark, "searched"), order="offset")
+    documents.declare("users", {"k": ["plong", False, False]})
+    log, options = _batched(unwrap_key(demo.change_log(spark, sf))), FoldOptions(**_USERS)
+    _applied(documents, log, options, deliveries=range(BATCHES - 1), compact_after=1)
+    layout = SearchLayout(documents, "users", "k")
+    layout.refresh()
+    _applied(documents, log, options, deliveries=[BATCHES - 1])
+    return search.page(layout.read(10, 60), [("k", "desc"), ("id", "asc")], 50, ["id", "k"])
+
+
 # --- declared fields ---------------------------------------------------------------------------
 
 @query("q_pipeline_rejects", """SELECT event_id AS "offset", CASE event_type WHEN 'signup' THEN 'field height_cm is no plong'

@@ -5,6 +5,7 @@ from __future__ import annotations
 import tempfile
 import uuid
 import warnings
+from collections.abc import Sequence
 
 from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
 from pyspark.sql.streaming import StreamingQuery
@@ -15,6 +16,7 @@ from docfold.operators.identity import reserved_names, route
 from docfold.operators.schema import Collections, declared_types, evolves, field_specs
 from docfold.options import FoldOptions
 from docfold.plans.ingest import convert, dry_run_report
+from docfold.streaming.layout import SearchLayout
 from docfold.streaming.table import DocumentTable
 
 
@@ -125,13 +127,14 @@ def apply_batch(batch: DataFrame, number: int, table: DocumentTable, options: Fo
 
 
 def start(changes: DataFrame, table: DocumentTable, options: FoldOptions = FoldOptions(), checkpoint: str | None = None,
-          collections: Collections | None = None, compact_every: int = 100, report=None, **trigger) -> StreamingQuery:
+          collections: Collections | None = None, compact_every: int = 100, report=None,
+          layouts: Sequence[SearchLayout] = (), **trigger) -> StreamingQuery:
     """Keep `table` up to date with a change stream. Source offsets are committed after a batch is written, so a
     batch cut short is delivered again and overwrites its own directory.
 
     The stream's name in the table is the id that Spark keeps in its checkpoint: a new checkpoint is a new stream.
     Every `compact_every` batches the deltas become a base, and those of the base before are removed (0: never).
-    `report` gets the counts of every batch of a dry run.
+    `report` gets the counts of every batch of a dry run. `layouts` are made anew with every base.
     """
     spark = changes.sparkSession
     folder = checkpoint or work_folder(spark, "apply")
@@ -144,6 +147,8 @@ def start(changes: DataFrame, table: DocumentTable, options: FoldOptions = FoldO
         if compact_every and number % compact_every == compact_every - 1 and not options.dry_run:
             table.compact()
             table.vacuum(keep=1)
+            for layout in layouts:
+                layout.refresh()
 
     return (changes.writeStream.option("checkpointLocation", folder).trigger(**(trigger or {"availableNow": True}))
             .foreachBatch(one).start())

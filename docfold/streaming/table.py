@@ -48,7 +48,8 @@ class DocumentTable:
     def __init__(self, spark: SparkSession, root: str, order: str = "time", bucket_bytes: int = 128 << 20):
         if order not in ORDERS:
             raise ValueError(f"order must be one of {', '.join(ORDERS)}, got {order!r}")
-        self._spark, self.root, self.order, self._bucket_bytes = spark, root.rstrip("/"), order, bucket_bytes
+        self.spark = self._spark = spark
+        self.root, self.order, self._bucket_bytes = root.rstrip("/"), order, bucket_bytes
         self._files = commits.Files(spark)
         self._bases = commits.CommitLog(self._files, f"{self.root}/bases")
         self._catalogs = commits.CommitLog(self._files, f"{self.root}/catalog")
@@ -220,18 +221,48 @@ class DocumentTable:
         """collection, id, base, written of the stored rows of `among` (collection, id). Reads no field values, and of the
         base only the buckets that hold an id of `among`; a few ids are asked for by name, so that filters of the
         files apply."""
+        return self._among(among, before, ("collection", "id", "base", "written"))
+
+    def _among(self, among: DataFrame, before: tuple[str, int] | None, columns: tuple[str, ...]) -> DataFrame:
         entry = self._bases.newest()[1]
         wanted = among.select("collection", "id").distinct()
-        rows, base = self._deltas(self._pending(entry), before).select("collection", "id", "base", "written"), self._based(entry)
+        rows, base = self._deltas(self._pending(entry), before).select(*columns), self._based(entry)
         if base is not None:
             touched = {r.bucket: r["count"] for r in wanted.select(self._bucket(entry["buckets"]).alias("bucket"))
                        .groupBy("bucket").count().collect()}      # at most MAX_BUCKETS rows
             base = base.where(F.col("bucket").isin(list(touched)))
             if sum(touched.values()) <= NAMED_IDS:
                 base = base.where(F.col("id").isin([r.id for r in wanted.select("id").distinct().collect()]))
-            rows = rows.unionByName(base.select("collection", "id", "base", "written"))
+            rows = rows.unionByName(base.select(*columns))
         return rows.join(wanted, ["collection", "id"], "left_semi")
 
+    def read_among(self, among: DataFrame) -> DataFrame:
+        """Current documents of the ids of `among` (collection, id): of the base, only their buckets are read."""
+        rows = self._among(among, None, ("collection", "id", "base", "written", "fields"))
+        return fold.documents(fold.merge_deltas(rows))
+
+    def touched(self, collection: str, held: dict) -> DataFrame | None:
+        """collection, id of what the batches outside `held` wrote to or deleted; None where there is no such batch."""
+        entry = self._bases.newest()[1]
+        newer = {k: p for k, p in self._pending(entry).items() if not commits.holds(held, *k)}
+        if not newer:
+            return None
+        return self._deltas(newer).where(F.col("collection") == collection).select("collection", "id").distinct()
+
+    @property
+    def base(self) -> int:
+        """Number of the newest base, -1 without one."""
+        return self._bases.newest()[0]
+
+    def snapshot(self, collection: str) -> tuple[int, dict, DataFrame, int]:
+        """Newest base, the batches it and the deltas after it hold, the documents of both, and the bytes they are read from."""
+        number, entry = self._bases.newest()
+        pending = self._pending(entry)
+        folders = [*pending.values(), *([f"{self.root}/base/{entry['folder']}"] if entry else [])]
+        docs = fold.documents(fold.merge_deltas(self._rows(entry, pending).where(F.col("collection") == collection)))
+        held = commits.holding(entry.get("holds", {}), list(pending))
+        return number, held, docs, sum(self._files.size(f) for f in folders)
+
     def existing(self, among: DataFrame, before: tuple[str, int] | None = None) -> DataFrame:
         """collection, id, version of the documents that ids of `among` (collection, id) have, as of `before` this
         (stream, batch)."""
