@@ -19,6 +19,7 @@ import sys
 from collections.abc import Iterator
 
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark import cloudpickle
 from pyspark.sql import Column, DataFrame, functions as F
 
@@ -28,6 +29,7 @@ cloudpickle.register_pickle_by_value(sys.modules[__name__])
 MUST_EXIST = 1
 FIRST = 2      # versions lie above the special values
 CONFLICT = "version conflict"
+FREE, DELETE, ASKING = 0, 1, 2      # what a row does: it is written whatever is stored, deletes, or asks
 _ROWS = "collection string, id string, topic string, partition int, offset bigint, stored bigint"
 
 
@@ -51,22 +53,32 @@ def accepts(asked: int | None, exists: bool, stored: int | None) -> bool:
 
 def _refused(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """Sorted rows, of each id what is stored before its writes -> the writes refused, with the version they met."""
-    key, exists, stored = None, False, None
+    key, stored = None, None
     for batch in batches:
-        out = []
-        for row in zip(*[c.to_pylist() for c in batch.columns]):
-            collection, doc_id, step, op, asked, own, topic, partition, offset = row
-            if (collection, doc_id) != key:
-                key, exists, stored = (collection, doc_id), False, None
-            if op == "delete":
-                exists, stored = False, None
-            elif step == 0 or accepts(asked, exists, stored):
-                exists, stored = True, own
+        if not batch.num_rows:
+            continue
+        names = [batch.column(n) for n in ("collection", "id")]
+        ends = [c[-1].as_py() for c in names]
+        # Where another id begins; the first row is compared with the batch before.
+        begins = [[c[0].as_py() for c in names] != key]
+        if batch.num_rows > 1:
+            other = pc.or_(*[pc.coalesce(pc.not_equal(c[1:], c[:-1]), pc.not_equal(pc.is_null(c[1:]), pc.is_null(c[:-1]))) for c in names])
+            begins += other.to_numpy(zero_copy_only=False).tolist()
+        key = ends
+        kinds, asked, own = [pc.fill_null(batch.column(n), 0).to_numpy(zero_copy_only=False).tolist() for n in ("kind", "asked", "own")]
+        kept, met = [], []
+        for i, (begin, kind, ask, version) in enumerate(zip(begins, kinds, asked, own)):
+            if begin:
+                stored = None
+            if kind == DELETE:
+                stored = None
+            elif kind == FREE or accepts(ask, stored is not None, stored):
+                stored = version
             else:
-                out.append((collection, doc_id, topic, partition, offset, stored))
-        columns = list(zip(*out)) or [()] * 6
-        types = [pa.string(), pa.string(), pa.string(), pa.int32(), pa.int64(), pa.int64()]
-        yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(columns, types)],
+                kept.append(i)
+                met.append(stored or None)      # 0: a document without a version
+        found = batch.take(pa.array(kept, pa.int64()))
+        yield pa.RecordBatch.from_arrays([*(found.column(n) for n in ("collection", "id", "topic", "partition", "offset")), pa.array(met, pa.int64())],
                                          names=["collection", "id", "topic", "partition", "offset", "stored"])
 
 
@@ -90,5 +102,7 @@ def refused(ops: DataFrame, stored: DataFrame, order: str = "offset", must_exist
         none.cast("bigint").alias("asked"), F.col("version").alias("own"), none.cast("string").alias("topic"),
         none.cast("int").alias("partition"), none.cast("bigint").alias("offset"))
     rows = writes.unionByName(before).join(conditional, ["collection", "id"], "left_semi")
-    walked = rows.repartition("collection", "id").sortWithinPartitions("collection", "id", "step", "at")
-    return walked.drop("at").mapInArrow(_refused, _ROWS)
+    kind = (F.when(F.col("op") == "delete", F.lit(DELETE))
+            .when((F.col("step") == 1) & (F.col("asked") != 0), F.lit(ASKING)).otherwise(F.lit(FREE)))
+    walked = rows.withColumn("kind", kind).repartition("collection", "id").sortWithinPartitions("collection", "id", "step", "at")
+    return walked.drop("step", "at", "op").mapInArrow(_refused, _ROWS)

@@ -35,13 +35,16 @@ def _applied(documents: DocumentTable, log: DataFrame, options: FoldOptions, del
 
 # --- conditional writes ------------------------------------------------------------------------
 
-def _asking(spark, sf) -> DataFrame:
-    """Events that ask, by number: for nothing, an existing document, none, the version of the user's last free write of
-    the batches before, and a version that no document has."""
-    log = _batched(unwrap_key(demo.change_log(spark, sf)))
+def _known(log: DataFrame) -> DataFrame:
+    """user_id, batch, last: the offset of the user's last free write of the batches before."""
     free = log.where("offset % 5 = 0 AND value IS NOT NULL").groupBy("user_id", "batch").agg(F.max("offset").alias("last"))
     later = F.explode(F.sequence(F.col("batch") + 1, F.lit(BATCHES)))
-    known = free.select("user_id", later.alias("batch"), "last").groupBy("user_id", "batch").agg(F.max("last").alias("last"))
+    return free.select("user_id", later.alias("batch"), "last").groupBy("user_id", "batch").agg(F.max("last").alias("last"))
+
+
+def _asking(log: DataFrame, known: DataFrame) -> DataFrame:
+    """Events that ask, by number: for nothing, an existing document, none, the version of the user's last free write of
+    the batches before, and a version that no document has."""
     log = log.join(known, ["user_id", "batch"], "left")
     kind = F.col("offset") % 5
     asked = (F.when(kind == 1, F.lit("1")).when(kind == 2, F.lit("-1"))
@@ -66,9 +69,11 @@ final AS (SELECT user_id, arg_max(coalesce(stored, -1), rn) AS stands FROM walk
 SELECT o.event_id, w.ok AS applied, o.ver = stands AS stands FROM walk w JOIN o USING (event_id) JOIN final ON final.user_id = o.user_id""")
 def external_version(spark, sf):
     """Which events a stored table takes when each may ask for a version, and which document stands in the end."""
-    log = _asking(spark, sf)
+    log = _batched(unwrap_key(demo.change_log(spark, sf)))
+    known = _known(log).persist()      # every batch asks for it
     documents = DocumentTable(spark, scratch_folder(spark, "versions"), order="offset")
-    _applied(documents, log, FoldOptions(**_USERS, external_version_header="ver"), compact_after=1)
+    _applied(documents, _asking(log, known), FoldOptions(**_USERS, external_version_header="ver"), compact_after=1)
+    known.unpersist()
     dead = documents.dead_letters().where(F.col("reason") == versions.CONFLICT).select("offset", F.lit(False).alias("applied"))
     docs = documents.read("users", versions=True).select(F.col("id").cast("bigint").alias("user_id"), F.col("version").alias("stored"))
     out = log.select("offset", "user_id").join(dead, "offset", "left").join(docs, "user_id", "left")

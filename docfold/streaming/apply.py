@@ -15,7 +15,7 @@ from docfold.operators.fold import atomic_split
 from docfold.operators.identity import reserved_names, route
 from docfold.operators.schema import Collections, declared_types, evolves, field_specs
 from docfold.options import FoldOptions
-from docfold.plans.ingest import convert, dry_run_report
+from docfold.plans.ingest import classify, convert, dry_run_report, split, writes_whole
 from docfold.streaming.layout import SearchLayout
 from docfold.streaming.table import DocumentTable
 
@@ -96,33 +96,33 @@ def apply_batch(batch: DataFrame, number: int, table: DocumentTable, options: Fo
     catalog = declared_types(table.catalog())
     strict = options.behavior_on_malformed_documents == "fail"
     conditional = options.write_method == "ATOMIC_UPDATE" or bool(options.external_version_header)
+    whole = writes_whole(options)
     if strict and not conditional:
-        table.apply(convert(batch, options, catalog).ops, number, stream)
+        table.apply(convert(batch, options, catalog).ops, number, stream, whole)
         return None
-    batch = batch.persist()
+    classified = classify(batch, options, catalog).persist()      # converted once, for the ops and for the dead letters
+    kept = [classified]
     try:
-        converted = convert(batch, options, catalog)
+        converted = split(classified, batch.columns)
         ops, dead = converted.ops, converted.dead
-        kept = []
         if conditional:
-            ops = table.ordered(ops).persist()      # flattened once, for the decision and for the write
+            ops = table.ordered(ops)
             record = ["topic", "partition", "offset"]
             refused = _refused(ops, table, options, (stream, number)).persist()
-            kept = [ops, refused]
+            kept.append(refused)
             if strict and not refused.isEmpty():
                 row = refused.first()
                 raise ValueError(f"batch {number} writes to documents that do not exist or have another version, "
                                  f"first {row.topic}-{row.partition}@{row.offset}: {row.reason}")
             ops = ops.join(refused.select(*record), record, "left_anti")
             # The original record goes to the dead letters, as for any other rejection.
-            dead = dead.unionByName(batch.join(refused, record), allowMissingColumns=True)
+            dead = dead.unionByName(classified.select(*batch.columns).join(refused, record), allowMissingColumns=True)
         if not strict:
             table.reject(dead, number, stream)
-        table.apply(ops, number, stream)
+        table.apply(ops, number, stream, whole)
+    finally:
         for frame in kept:
             frame.unpersist()
-    finally:
-        batch.unpersist()
     return None
 
 

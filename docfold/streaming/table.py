@@ -96,12 +96,12 @@ class DocumentTable:
         return ops.withColumn("at", F.struct(F.col("timestamp").cast("timestamp").alias("timestamp"), "topic",
                                              F.col("partition").cast("int").alias("partition"), "offset"))
 
-    def apply(self, ops: DataFrame, batch: int, stream: str = "main") -> None:
-        """Write one micro-batch. Repeating a batch of a stream leaves the same table."""
+    def apply(self, ops: DataFrame, batch: int, stream: str = "main", whole: bool = False) -> None:
+        """Write one micro-batch. Repeating a batch of a stream leaves the same table. `whole`: no op is an update."""
         path = self._delta(batch, stream)
         if self.written(batch, stream):
             return
-        fold.delta(self.ordered(ops), order="at").write.mode("overwrite").partitionBy("collection").parquet(path)
+        fold.delta(self.ordered(ops), order="at", whole=whole).write.mode("overwrite").partitionBy("collection").parquet(path)
 
     def reject(self, dead: DataFrame, batch: int, stream: str = "main") -> None:
         """Write the dead letters of one micro-batch; done before its ops, so progress never passes a lost record. Keys and

@@ -6,10 +6,10 @@ import threading
 import pytest
 from pyspark.sql import functions as F
 
-from docfold.operators import versions
+from docfold.operators import fold, versions
 from docfold.operators.schema import Collections, MissingCollection
 from docfold.options import FoldOptions
-from docfold.plans.ingest import convert
+from docfold.plans.ingest import classify, convert, split
 from docfold.sources.changes import CHANGE_SCHEMA, read_changes
 from docfold.streaming import commits, table as stored
 from docfold.streaming.apply import apply_batch, start
@@ -338,3 +338,29 @@ def test_targets_are_the_collections_of_the_table(spark, tmp_path):
     apply_batch(rows, 0, undeclared, FoldOptions())
     undeclared.compact()
     assert undeclared.collections() == {"t x"}
+
+
+# --- one conversion, one shuffle ------------------------------------------------------------------
+
+@pytest.mark.parametrize("method", ["INDEX", "ATOMIC_UPDATE"])
+def test_classified_records_are_the_converted_ones(spark, method):
+    rows = [("t", 0, 0, "a", '{"i":" 07"}', None, None), ("t", 0, 1, "b", '{"i":"x"}', None, None), ("t", 0, 2, "a", None, None, None),
+            ("t", 0, 3, "c", "[1]", None, None), ("t", 0, 4, None, '{"i":1}', None, None), ("t", 0, 5, None, None, None, None),
+            ("t", 0, 6, "d", "{}", None, None), ("t", 0, 7, "e", "not JSON", None, None)]
+    log, options, catalog = frame(spark, rows), FoldOptions(write_method=method, **WARN), {"t": {"i": "plong"}}
+    two, one = convert(log, options, catalog), split(classify(log, options, catalog), log.columns)
+    for a, b in ((two.ops, one.ops), (two.dead, one.dead)):
+        assert a.schema.simpleString() == b.schema.simpleString()
+        assert sorted(map(str, a.collect())) == sorted(map(str, b.collect()))
+    assert {r.offset for r in one.dead.collect()} == {1, 3, 4, 7}
+
+
+def test_whole_documents_fold_in_one_shuffle(spark):
+    rows = [("t", "a", "replace", 0, {"x": ["1"], "y": ["2"]}), ("t", "a", "replace", 3, {"x": ["3"]}), ("t", "b", "replace", 1, {"x": ["4"]}),
+            ("t", "b", "delete", 2, None), ("t", "c", "delete", 4, None), ("t", "c", "replace", 5, {}), ("t", "d", "replace", None, {"z": ["5"]})]
+    ops = spark.createDataFrame(rows, "collection string, id string, op string, offset bigint, fields map<string, array<string>>")
+    one, two = fold.delta(ops, whole=True), fold.delta(ops)
+    assert one.schema.simpleString() == two.schema.simpleString()
+    assert docs(fold.documents(one)) == docs(fold.documents(two)) == {("t", "a"): {"x": ["3"]}, ("t", "c"): {}}
+    assert docs(fold.documents(fold.merge_deltas(one.unionByName(two)))) == docs(fold.documents(two))
+    assert one._jdf.queryExecution().executedPlan().toString().count("Exchange") == 1
