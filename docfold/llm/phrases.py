@@ -41,7 +41,7 @@ cloudpickle.register_pickle_by_value(sys.modules[__name__])
 #: What ends a piece, and what else lies between words.
 STOPS, SPACES = b".,;:!?\x0a\x0b\x0c\x0d", b"\x20\x09"
 SLOT_BITS, CHUNKS = 24, 64
-FLUSH = 1 << 21  # phrases held in a task before they are combined
+FLUSH = 1 << 20  # phrases held in a task before they are combined
 KNOWN, PREFIX, SUFFIX, SCORED = 1, 2, 4, 8
 FEW_LANGUAGES = 10_000  # so many rows of a table by language are broadcast at most
 _PAIR = np.uint64(0xD1342543DE82EF95)
@@ -82,24 +82,32 @@ def _slot(h: np.ndarray) -> np.ndarray:
 
 
 def _words(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """lang, word, h, n: the words of each batch."""
+    """lang, word, h, n: the words of each batch. Only a word's first text is held."""
     pieces = Pieces()
     lower = pieces.words.lower
     for batch in batches:
-        langs, found = batch.column(1).to_numpy(zero_copy_only=False), []
+        langs = batch.column(1).to_numpy(zero_copy_only=False)
+        seen, place, total = np.empty(0, np.uint64), np.empty(0, np.int64), np.empty(0, np.int64)
+        hashes, rows, texts = [], [], []
         for h, starts, ends, row, _, data in pieces.read(batch.column(2), langs):
             u, first, n = np.unique(h, return_index=True, return_counts=True)
-            text = lower[data].tobytes()
-            found.append((u, n, row[first], [text[a:b] for a, b in zip(starts[first].tolist(), ends[first].tolist())]))
-        if not found:
-            continue
-        h, n, row = (np.concatenate([f[i] for f in found]) for i in range(3))
-        texts = [t for f in found for t in f[3]]
-        u, first, inverse = np.unique(h, return_index=True, return_inverse=True)
-        total = np.bincount(inverse, n, len(u)).astype(np.int64)
-        yield pa.RecordBatch.from_arrays(
-            [batch.column(0).take(pa.array(row[first])), pa.array([texts[i].decode() for i in first.tolist()]), pa.array(u.view(np.int64)),
-             pa.array(total)], names=["lang", "word", "h", "n"])
+            at = np.searchsorted(seen, u)
+            known = np.zeros(len(u), bool)
+            inside = at < len(seen)
+            known[inside] = seen[at[inside]] == u[inside]
+            total[place[at[known]]] += n[known]
+            fresh = ~known
+            place = np.insert(place, at[fresh], np.arange(len(total), len(total) + int(fresh.sum())))
+            seen = np.insert(seen, at[fresh], u[fresh])
+            total = np.concatenate([total, n[fresh]])
+            first, text = first[fresh], lower[data].tobytes()
+            hashes.append(u[fresh])
+            rows.append(row[first])
+            texts += [text[a:b].decode() for a, b in zip(starts[first].tolist(), ends[first].tolist())]
+        if hashes:
+            yield pa.RecordBatch.from_arrays(
+                [batch.column(0).take(pa.array(np.concatenate(rows))), pa.array(texts, pa.string()), pa.array(np.concatenate(hashes).view(np.int64)),
+                 pa.array(total)], names=["lang", "word", "h", "n"])
 
 
 class _Combined:
@@ -124,13 +132,21 @@ class _Combined:
         for k in keys[1:]:
             code = pair_hash(code, k)
         order = np.argsort(code)
-        keys = [k[order] for k in keys]
-        new = np.concatenate([[True], np.logical_or.reduce([k[1:] != k[:-1] for k in keys])])
+        del code
+        new = np.zeros(len(order), bool)
+        new[0] = True
+        for i in range(len(keys)):  # one at a time: no second copy of all
+            keys[i] = keys[i][order]
+            new[1:] |= keys[i][1:] != keys[i][:-1]
+        del order
         at = np.flatnonzero(new)
-        counts = np.diff(np.append(at, len(order)))
-        for a in range(0, len(at), 1 << 16):
-            part = at[a:a + (1 << 16)]
-            yield pa.RecordBatch.from_arrays([*[pa.array(k[part].view(np.int64)) for k in keys], pa.array(counts[a:a + (1 << 16)].astype(np.int64))],
+        counts = np.diff(np.append(at, len(new)))
+        for i in range(len(keys)):
+            keys[i] = keys[i][at].view(np.int64)
+        del new, at
+        for a in range(0, len(counts), 1 << 16):
+            part = slice(a, a + (1 << 16))
+            yield pa.RecordBatch.from_arrays([*[pa.array(k[part]) for k in keys], pa.array(counts[part].astype(np.int64))],
                                              names=[*[f"h{i + 1}" for i in range(self.size)], "n"])
 
 
@@ -195,7 +211,7 @@ def flag_table(rows: DataFrame):
     """A broadcast table of 2^SLOT_BITS bytes, whatever the number of `rows` (flags, h1[, h2])."""
     schema, table = "chunk int, flags binary", np.zeros((CHUNKS, (1 << SLOT_BITS) // CHUNKS), np.uint8)
     # few tasks make tables, each of which may be as large as the whole
-    found = rows.coalesce(64).mapInArrow(_slots, schema).repartition(16, "chunk").mapInArrow(_merged, schema)
+    found = rows.coalesce(64).mapInArrow(textcore.tidy(_slots), schema).repartition(16, "chunk").mapInArrow(_merged, schema)
     for row in found.collect():
         table[row.chunk] |= np.frombuffer(row["flags"], np.uint8)
     return rows.sparkSession.sparkContext.broadcast(table.ravel())
@@ -241,7 +257,7 @@ def collocations(docs: DataFrame, top: int = 2000, least: int = 10, percent: int
     """
     lang = F.coalesce(F.col("lang").cast("string"), F.lit("und"))
     texts = docs.select(lang.alias("lang"), F.xxhash64(lang).alias("lh"), "text")
-    found = texts.mapInArrow(_words, "lang string, word string, h long, n long")
+    found = texts.mapInArrow(textcore.tidy(_words), "lang string, word string, h long, n long")
     words = shared.written(found.groupBy("lang", "word").agg(F.first("h").alias("h"), F.sum("n").alias("f")), "words")
     totals = shared.written(words.groupBy("lang").agg(F.sum("f").alias("n")), "totals")
     languages = totals.count()
@@ -250,7 +266,7 @@ def collocations(docs: DataFrame, top: int = 2000, least: int = 10, percent: int
         return docs.sparkSession.createDataFrame([], "lang string, rank int, phrase string, a long, l long, r long, n long, score long")
 
     table = flag_table(frequent.select(F.lit(KNOWN).cast("tinyint").alias("flags"), "h"))
-    pairs = texts.mapInArrow(_pairs(table), "h1 long, h2 long, n long").groupBy("h1", "h2").agg(F.sum("n").alias("a")).where(F.col("a") >= least)
+    pairs = texts.mapInArrow(textcore.tidy(_pairs(table)), "h1 long, h2 long, n long").groupBy("h1", "h2").agg(F.sum("n").alias("a")).where(F.col("a") >= least)
     pairs = shared.written(pairs, "pairs")
     table.unpersist()
     # a common word begins many pairs; they are narrow rows, and adaptive execution splits such a key's partition
@@ -274,7 +290,7 @@ def collocations(docs: DataFrame, top: int = 2000, least: int = 10, percent: int
         flags = near.select((F.lit(KNOWN) + bit(F.col("begins") >= F.col("floor"), PREFIX) + bit(F.col("ends") >= F.col("floor"), SUFFIX)
                              + bit(F.col("own"), SCORED)).cast("tinyint").alias("flags"), "h1", "h2")
         table = flag_table(flags)
-        triples = texts.mapInArrow(_triples(table), "h1 long, h2 long, h3 long, n long")
+        triples = texts.mapInArrow(textcore.tidy(_triples(table)), "h1 long, h2 long, h3 long, n long")
         triples = shared.written(triples.groupBy("h1", "h2", "h3").agg(F.sum("n").alias("a")).where(F.col("a") >= least), "triples")
         table.unpersist()
 

@@ -6,7 +6,10 @@ Used inside Arrow tasks by the operators of this subpackage. A word is a maximal
 
 from __future__ import annotations
 
+import ctypes
+import functools
 import sys
+from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
@@ -20,6 +23,20 @@ _ODD = 0x9E3779B97F4A7C15
 _MASK = (1 << 64) - 1
 
 
+def tidy(task: Callable) -> Callable:
+    """The Arrow task, which in the end gives back to the machine what it has freed: Spark keeps the Python process for later
+    tasks, and beside stages without Python it would go on holding memory that nothing uses."""
+
+    @functools.wraps(task)
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        yield from task(batches)
+        trim = getattr(ctypes.CDLL(None), "malloc_trim", None)  # glibc has it; others are left alone
+        if trim:
+            trim(0)
+
+    return run
+
+
 def mix(x: np.ndarray) -> np.ndarray:
     """A 64-bit finaliser: every input bit reaches every output bit."""
     x = x.astype(np.uint64, copy=True)

@@ -215,3 +215,38 @@ def test_crowded_buckets_are_split_and_nothing_is_lost(spark):
         links += [tuple(x % (1 << 64) for x in r) for r in dealt.mapInArrow(bitslice._linked(2), "a long, b long").collect()]
     assert levels > 1 and all((a ^ b).bit_count() <= 2 for a, b in links)
     assert brute.roots(links, fps) == components(fps, 2)
+
+
+# --- memory of tasks ---------------------------------------------------------------------------
+
+def test_phrases_held_in_a_task_take_little_memory():
+    rng = np.random.default_rng(5)
+    parts = [[rng.integers(0, 400, 1 << 14).astype(np.uint64) for _ in range(2)] for _ in range(256)]
+    held, got, want = phrases._Combined(2), Counter(), Counter()
+    largest = 0
+    for keys in parts:
+        want.update(zip(*(k.tolist() for k in keys)))
+        for batch in held.add(keys):
+            for a, b, n in zip(*(batch.column(i).to_pylist() for i in range(3))):
+                got[a, b] += n
+        largest = max(largest, held.n)
+    for batch in held.flush():
+        for a, b, n in zip(*(batch.column(i).to_pylist() for i in range(3))):
+            got[a, b] += n
+    assert got == want and largest <= 1 << 20
+
+
+def test_words_of_a_batch_hold_one_text_each(monkeypatch):
+    """A word that stands in many pieces of a batch is one row, and its text was made once."""
+    import pyarrow as pa
+    from docfold.llm import textcore
+
+    monkeypatch.setattr(textcore, "PIECE_BYTES", 64)
+    monkeypatch.setattr(textcore.pieces, "__defaults__", (64,))
+    made = ["Ab c, d" + " Ärger ab" * 3, None, "c AB x. y", "ab c d e f g " * 9]
+    batch = pa.RecordBatch.from_arrays([pa.array(["en"] * 4), pa.array([7] * 4, pa.int64()), pa.array(made)], names=["lang", "lh", "text"])
+    out = [b for b in phrases._words(iter([batch, batch]))]
+    want = Counter(w for t in made for w in re.findall(r"[^\x20\x09.,;:!?\x0A-\x0D]+", brute.lower(t or "")))
+    for b in out:
+        assert dict(zip(b.column(1).to_pylist(), b.column(3).to_pylist())) == want and len(b) == len(want) == len(set(b.column(2).to_pylist()))
+    assert len(out) == 2
