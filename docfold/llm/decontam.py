@@ -8,7 +8,8 @@ item of fewer words is one shingle, searched at its own length). Words are lower
   shingles holds one of these whatever its own length, so the search misses nothing, however short the item is beside it.
 * Shingle hashes of every document meet the sketches in one equi-join. Spark broadcasts the sketches while they are
   below its size limit, and otherwise shuffles both sides.
-* Candidates are verified on the shingles themselves.
+* Candidates are written to the shared folder, then verified on the shingles themselves. Spark broadcasts them while they
+  are below its size limit, and otherwise shuffles both sides.
 
 Only DataFrame functions are used. Null and blank texts hold nothing and are found nowhere. Rows repeating doc_id and
 text give one row per item; a null doc_id or item_id is kept as it is. Other columns are ignored.
@@ -19,6 +20,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from docfold.llm import shared
+
 WORDS = 5
 
 
@@ -74,6 +77,8 @@ def contained(docs: DataFrame, benchmark: DataFrame, percent: int = 80) -> DataF
     parts = [runs(F.col("hw"), n, as_hash) for n in sizes] or [F.array().cast("array<bigint>")]
     probes = hashed.select("doc_id", "_text", F.explode(F.concat(*parts) if len(parts) > 1 else parts[0]).alias("h"))
     candidates = probes.join(wanted.select("item_id", "h"), "h").select(F.col("doc_id").alias("_id"), F.col("_text").alias("_key"), "item_id").distinct()
+    # written first, so that their size is known: few of them are broadcast, and no text is shuffled
+    candidates = shared.written(candidates, "candidates")
     same = F.col("doc_id").eqNullSafe(F.col("_id")) & (F.col("_text") == F.col("_key"))
     pairs = docs.join(candidates, same).select("doc_id", "_text", "text", "item_id").withColumn("w", words_of(F.col("text")))
     pairs = pairs.join(items.select(F.col("item_id").alias("i"), "size", "shingles"), F.col("item_id").eqNullSafe(F.col("i")))
@@ -87,6 +92,6 @@ def contained(docs: DataFrame, benchmark: DataFrame, percent: int = 80) -> DataF
 
 def clean(docs: DataFrame, benchmark: DataFrame, percent: int = 80) -> DataFrame:
     """`docs` without the documents that contain an item."""
-    bad = contained(docs, benchmark, percent).select(F.col("doc_id").alias("_id"), F.col("_text").alias("_key")).distinct()
+    bad = shared.written(contained(docs, benchmark, percent).select(F.col("doc_id").alias("_id"), F.col("_text").alias("_key")).distinct(), "contained")
     rows = keyed(docs)
     return rows.join(bad, rows["doc_id"].eqNullSafe(bad["_id"]) & (rows["_text"] == bad["_key"]), "left_anti").drop("_text")

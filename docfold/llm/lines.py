@@ -41,7 +41,8 @@ LAST = (1 << 63) - 1
 ENTRY = np.dtype([("word", "<u4"), ("id", "<i8"), ("line", "<i4"), ("n", "<u4"), ("pos", "<u2"), ("key", "<u4"), ("parity", "<u8")])
 LINE = np.dtype([("id", "<i8"), ("text", "<i8"), ("line", "<i4"), ("n", "<i4"), ("key", "<i8")])
 LONG = 48  # lines of so many words or more have a parity bitmap of 128 bits, others of 64
-FLUSH = 1 << 20  # entries held back in a task
+FLUSH = 1 << 20  # words held back in a task
+HELD = 1 << 19  # entries held back in a task, of 48 bytes each; dealing them out takes several times as much
 FILTER_BITS = (23, 26)  # least and most bits of a filter, as a power of two: eight a row, 1 to 8 MB
 PARTNERS = 2
 
@@ -87,7 +88,7 @@ def summed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 def word_counts(docs: DataFrame) -> np.ndarray:
     """Counts of the words of all documents by hash bucket; a table of fixed size."""
     schema = "chunk int, counts binary"
-    rows = docs.mapInArrow(counted, schema).repartition(CHUNKS, "chunk").mapInArrow(summed, schema).collect()
+    rows = docs.mapInArrow(textcore.tidy(counted), schema).repartition(CHUNKS, "chunk").mapInArrow(summed, schema).collect()
     table = np.zeros((CHUNKS, (1 << TABLE_BITS) // CHUNKS), np.int64)
     for r in rows:
         table[r["chunk"]] += np.frombuffer(r["counts"], np.int64)
@@ -128,6 +129,8 @@ def indexed(rank, parts: int, min_words: int) -> Callable:
 
         def flush():
             e, second = np.concatenate(entries), np.concatenate(halves)
+            entries.clear()
+            halves.clear()
             part = e["word"] % np.uint32(parts)
             order = np.argsort(part, kind="stable")
             e, second = e[order], second[order]
@@ -171,7 +174,7 @@ def indexed(rank, parts: int, min_words: int) -> Callable:
                 halves.append(second[at_line])
                 lines.append(whole)
                 held += len(e)
-                if held >= FLUSH:
+                if held >= HELD:
                     yield flush()
                     entries, halves, lines, held = [], [], [], 0
         if lines:
@@ -368,7 +371,7 @@ def membership(rows: DataFrame, with_line: bool) -> np.ndarray:
     schema = "chunk int, bits binary"
     size = min(max(FILTER_BITS[0], (8 * rows.count() - 1).bit_length()), FILTER_BITS[1])
     out = np.zeros((CHUNKS, (1 << size) // 8 // CHUNKS), np.uint8)
-    for r in rows.mapInArrow(_marked(with_line, size), schema).repartition(CHUNKS, "chunk").mapInArrow(united, schema).collect():
+    for r in rows.mapInArrow(textcore.tidy(_marked(with_line, size)), schema).repartition(CHUNKS, "chunk").mapInArrow(united, schema).collect():
         out[r["chunk"]] = np.frombuffer(r["bits"], np.uint8)
     return out.ravel()
 
@@ -408,15 +411,15 @@ def repeats(docs: DataFrame, min_words: int = MIN_WORDS) -> DataFrame:
     counts = word_counts(rows)
     rank = spark.sparkContext.broadcast(np.minimum(counts, (1 << 24) - 1).astype(np.uint64))
     deal = max(int(spark.conf.get("spark.sql.shuffle.partitions")), -(-int(counts.sum()) // 4_000_000))
-    index = (rows.mapInArrow(indexed(rank, 4 * deal, min_words), "part int, entries binary, lines binary")
+    index = (rows.mapInArrow(textcore.tidy(indexed(rank, 4 * deal, min_words)), "part int, entries binary, lines binary")
              .repartition(deal, "part").sortWithinPartitions("part"))
-    found = shared.written(index.mapInArrow(joined, OUT), "line-index")
+    found = shared.written(index.mapInArrow(textcore.tidy(joined), OUT), "line-index")
 
-    lines = found.where("lines IS NOT NULL").select("lines").mapInArrow(unpacked, "id long, text long, line int, n int, key long")
+    lines = found.where("lines IS NOT NULL").select("lines").mapInArrow(textcore.tidy(unpacked), "id long, text long, line int, n int, key long")
     # most lines stand alone: only those whose words occur again are compared and shuffled whole
     twice = shared.written(lines.groupBy("key", "n").agg(F.count("*").alias("c")).where("c > 1").select(F.col("key").alias("id"), F.col("n").alias("line")), "twice")
     again = spark.sparkContext.broadcast(membership(twice, True))
-    lines = found.where("lines IS NOT NULL").select("lines").mapInArrow(unpacked_among(again), "id long, text long, line int, n int, key long")
+    lines = found.where("lines IS NOT NULL").select("lines").mapInArrow(textcore.tidy(unpacked_among(again)), "id long, text long, line int, n int, key long")
     firsts = lines.groupBy("key", "n").agg(F.min(F.struct("id", "line", "text")).alias("first"), F.count("*").alias("c")).where("c > 1")
     equal = (lines.join(firsts, ["key", "n"]).where(F.struct("id", "line", "text") > F.col("first")).select("id", "text", "line"))
     gone = shared.written(equal, "lines")
@@ -425,10 +428,10 @@ def repeats(docs: DataFrame, min_words: int = MIN_WORDS) -> DataFrame:
     def confirm(pairs):
         ends = pairs.select("id", "line").unionByName(pairs.select(F.col("by_id").alias("id"), F.col("by_line").alias("line")))
         near = [spark.sparkContext.broadcast(membership(ends, w)) for w in (False, True)]
-        sets = shared.written(rows.mapInArrow(sets_of(rank, *near), "id long, text long, line int, words binary"), "line-sets")
+        sets = shared.written(rows.mapInArrow(textcore.tidy(sets_of(rank, *near)), "id long, text long, line int, words binary"), "line-sets")
         by = sets.select(F.col("id").alias("by_id"), F.col("line").alias("by_line"), F.col("words").alias("by_words"))
         both = pairs.join(by, ["by_id", "by_line"]).join(sets, ["id", "line"]).select("id", "text", "line", "words", "by_words")
-        out = shared.written(both.mapInArrow(verified, "id long, text long, line int").distinct(), "lines")
+        out = shared.written(both.mapInArrow(textcore.tidy(verified), "id long, text long, line int").distinct(), "lines")
         shared.removed(sets)
         return out
 
@@ -438,7 +441,7 @@ def repeats(docs: DataFrame, min_words: int = MIN_WORDS) -> DataFrame:
     settled = near.unionByName(gone).select("id", "line").distinct()
     open_lines = pairs.groupBy("id", "line").count().where(F.col("count") >= PARTNERS).select("id", "line").join(settled, ["id", "line"], "left_anti")
     wanted = spark.sparkContext.broadcast(membership(open_lines, True))
-    again = found.where("entries IS NOT NULL").select("entries").mapInArrow(second(wanted), PAIR).distinct()
+    again = found.where("entries IS NOT NULL").select("entries").mapInArrow(textcore.tidy(second(wanted)), PAIR).distinct()
     again = again.join(open_lines, ["id", "line"], "left_semi").join(pairs, ["id", "line", "by_id", "by_line"], "left_anti")
     again = shared.written(again, "line-pairs")
     shared.removed(found)

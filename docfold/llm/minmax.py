@@ -118,16 +118,16 @@ def _confirmed(docs: DataFrame, pairs: DataFrame, percent: int) -> DataFrame:
     """Of `pairs` (a, b: classes by their doc_id) those whose shingle sets are similar enough."""
     needed = pairs.select(F.explode(F.array("a", "b")).alias("doc_id")).distinct()
     texts = docs.join(needed, "doc_id", "left_semi")
-    sets = shared.written(texts.select("doc_id", "text").mapInArrow(_sets, "c long, s binary"), "sets")
+    sets = shared.written(texts.select("doc_id", "text").mapInArrow(textcore.tidy(_sets), "c long, s binary"), "sets")
     both = (pairs.join(sets.select(F.col("c").alias("a"), F.col("s").alias("sa")), "a")
             .join(sets.select(F.col("c").alias("b"), F.col("s").alias("sb")), "b").select("a", "b", "sa", "sb"))
-    return both.mapInArrow(_confirm(percent), "a long, b long")
+    return both.mapInArrow(textcore.tidy(_confirm(percent)), "a long, b long")
 
 
 def link(docs: DataFrame, percent: int = 85) -> DataFrame:
     """doc_id, n_shingles, component_id, kept for every row of `docs` (doc_id, text)."""
     docs = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text")
-    sketch = shared.written(docs.mapInArrow(_sketches(permutations(percent)), SKETCH), "sketch")
+    sketch = shared.written(docs.mapInArrow(textcore.tidy(_sketches(permutations(percent))), SKETCH), "sketch")
     key = ["n_shingles", "f1", "f2"]
     classes = shared.written(sketch.where("n_shingles > 0 AND doc_id IS NOT NULL").groupBy(*key).agg(
         F.min("doc_id").alias("c"), F.first("bands").alias("bands"), F.first("parity").alias("parity")), "classes")

@@ -150,7 +150,7 @@ def find_terms(labelled: DataFrame) -> np.ndarray:
     n1, n0 = labelled.agg(F.coalesce(F.sum("toxic"), F.lit(0)), F.count("*") - F.coalesce(F.sum("toxic"), F.lit(0))).first()
     if not n1 or not n0:
         return np.empty(0, np.int64)
-    rows = labelled.select("toxic", "text").mapInArrow(counted, "term long, ones long, others long")
+    rows = labelled.select("toxic", "text").mapInArrow(textcore.tidy(counted), "term long, ones long, others long")
     rows = rows.groupBy("term").agg(F.sum("ones").alias("a"), F.sum("others").alias("b")).where("a > 2")
     rate = (F.col("a") + F.col("b")) / (n1 + n0)
 
@@ -287,10 +287,10 @@ def learn(docs: DataFrame, labels: DataFrame) -> tuple[np.ndarray, np.ndarray, f
     labelled = texts.join(F.broadcast(known), "doc_id")
     found = find_terms(labelled)
     lexicon, sent = Lexicon(found), spark.sparkContext.broadcast(found)
-    patterns = (texts.join(F.broadcast(known), "doc_id", "left").select("toxic", "text").mapInArrow(voted(sent), "votes long, label long, n long")
+    patterns = (texts.join(F.broadcast(known), "doc_id", "left").select("toxic", "text").mapInArrow(textcore.tidy(voted(sent)), "votes long, label long, n long")
                 .groupBy("votes", "label").agg(F.sum("n").alias("n")))
     model = fit_labels(shared.written(patterns, "votes"))
-    rows = labelled.select("doc_id", "toxic", "text").mapInArrow(featured(sent), "doc_id long, label long, votes long, columns binary").collect()
+    rows = labelled.select("doc_id", "toxic", "text").mapInArrow(textcore.tidy(featured(sent)), "doc_id long, label long, votes long, columns binary").collect()
     rows.sort(key=lambda r: (r["doc_id"], r["votes"]))
     classifier = Classifier(lexicon.size)
     if rows and lexicon.size:
@@ -321,4 +321,4 @@ def score(docs: DataFrame, learned: tuple[np.ndarray, np.ndarray, float], keep:
     sent = docs.sparkSession.sparkContext.broadcast(learned)
     rows = docs.select(F.col("text").alias("_text"), *keep)
     schema = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in rows.schema.fields[1:]) + ", score double"
-    return rows.mapInArrow(scored(sent), schema).withColumn("predicted", (F.col("score") >= 0.5).cast("int"))
+    return rows.mapInArrow(textcore.tidy(scored(sent)), schema).withColumn("predicted", (F.col("score") >= 0.5).cast("int"))

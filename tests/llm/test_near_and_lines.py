@@ -159,3 +159,40 @@ def test_contained_items_match_brute_force(spark):
     assert got == want and len(want) > 20
     assert {r.doc_id for r in decontam.clean(rows, table).collect()} == {d for d, _ in docs} - {d for d, *_ in want}
     assert decontam.contained(rows, table.limit(0)).count() == 0 and decontam.contained(rows.limit(0), table).count() == 0
+
+
+def test_decontamination_shuffles_no_text(spark, monkeypatch):
+    """Few candidates are broadcast, as their size is known before texts are joined with them."""
+    rows = spark.createDataFrame([(i, f"a b c d e f {i}") for i in range(50)], "doc_id long, text string")
+    bench = spark.createDataFrame([(1, "a b c d e f 7")], "item_id long, text string")
+    monkeypatch.setattr(decontam.shared, "written", seen := Written(decontam.shared.written))
+    left = decontam.clean(rows, bench)
+    plan = left._jdf.queryExecution().executedPlan().toString()
+    assert "BroadcastHashJoin" in plan and "SortMergeJoin" not in plan and seen.names == ["candidates", "contained"]
+    assert {r.doc_id for r in left.collect()} == set(range(50)) - {r.doc_id for r in rows.collect() if r.doc_id == 7}
+
+
+class Written:
+    def __init__(self, made):
+        self.made, self.names = made, []
+
+    def __call__(self, df, name):
+        self.names.append(name)
+        return self.made(df, name)
+
+
+def test_index_entries_leave_a_task_in_small_batches():
+    """A task deals its entries out before they take much memory; nothing is lost at the cuts."""
+    import numpy as np
+    import pyarrow as pa
+
+    class Sent:
+        value = np.ones(1 << lines.TABLE_BITS, np.uint64)
+
+    texts = ["\n".join(" ".join(f"w{i}x{k}x{j}" for j in range(10)) for k in range(1000)) for i in range(250)]
+    batch = pa.RecordBatch.from_arrays([pa.array(range(250), pa.int64()), pa.array(range(250), pa.int64()), pa.array(texts)], names=["id", "key", "text"])
+    sizes, line_rows = [], 0
+    for out in lines.indexed(Sent, 8, 5)(iter([batch])):
+        sizes.append(sum(len(lines.unpack(e)[0]) for e in out.column(1).to_pylist() if e is not None))
+        line_rows += sum(len(x) // lines.LINE.itemsize for x in out.column(2).to_pylist() if x is not None)
+    assert max(sizes) < 600_000 and sum(sizes) == 250 * 1000 * 3 and line_rows == 250 * 1000
