@@ -15,8 +15,12 @@ ACTIONABLE = ("t1", "t3")
 
 def change_log(spark: SparkSession, sf: str) -> DataFrame:
     """`events` as change records: one topic per event type, `error` events are tombstones."""
-    e = table(spark, sf, "events")
-    return e.select(
+    return change_records(table(spark, sf, "events"))
+
+
+def change_records(events: DataFrame) -> DataFrame:
+    """Rows of `events` as change records."""
+    return events.select(
         F.concat(F.lit("events-"), "event_type").alias("topic"),
         F.pmod("user_id", F.lit(4)).cast("int").alias("partition"),
         F.col("event_id").alias("offset"),

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, functions as F
+from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from docfold.operators import search, versions
 from docfold.operators.schema import declared_types
@@ -17,12 +17,21 @@ from docfold.streaming.layout import SearchLayout
 from docfold.streaming.table import DocumentTable
 
 BATCHES = 4
+TASK_EVENTS = 500_000      # of a batch in one task, about
 _USERS = {"collection": "users", "collection_naming_strategy": "STATIC", "behavior_on_null_values": "delete", "behavior_on_malformed_documents": "warn"}
 
 
-def _batched(log: DataFrame) -> DataFrame:
-    """The log with `batch`: four even parts of the offsets."""
-    upto = log.agg(F.max("offset") + 1).scalar()
+def _batched(spark: SparkSession, sf: str) -> DataFrame:
+    """The change log with `batch`: four even parts of the offsets.
+
+    The events of a part lie side by side in the table, in row groups that one or two tasks read. They are dealt out by
+    offset before anything is made of them, or those tasks would convert the whole batch. Few tasks do it better than
+    `spark.sql.shuffle.partitions` of them, as each one opens a file for every partition of the fold.
+    """
+    events = table(spark, sf, "events")
+    upto = events.agg(F.max("event_id") + 1).scalar()
+    tasks = max(2 * spark.sparkContext.defaultParallelism, -(-events.count() // (BATCHES * TASK_EVENTS)))
+    log = unwrap_key(demo.change_records(events.repartition(tasks, "event_id")))
     return log.withColumn("batch", F.floor(F.col("offset") * BATCHES / upto).cast("int"))
 
 
@@ -69,7 +78,7 @@ final AS (SELECT user_id, arg_max(coalesce(stored, -1), rn) AS stands FROM walk
 SELECT o.event_id, w.ok AS applied, o.ver = stands AS stands FROM walk w JOIN o USING (event_id) JOIN final ON final.user_id = o.user_id""")
 def external_version(spark, sf):
     """Which events a stored table takes when each may ask for a version, and which document stands in the end."""
-    log = _batched(unwrap_key(demo.change_log(spark, sf)))
+    log = _batched(spark, sf)
     known = _known(log).persist()      # every batch asks for it
     documents = DocumentTable(spark, scratch_folder(spark, "versions"), order="offset")
     _applied(documents, _asking(log, known), FoldOptions(**_USERS, external_version_header="ver"), compact_after=1)
@@ -91,7 +100,7 @@ _LAST = """SELECT {columns} FROM events QUALIFY row_number() OVER (PARTITION BY
 def stream_fold(spark, sf):
     """Events in micro-batches, one of them delivered again after a compaction that holds it: the documents of one fold."""
     documents = DocumentTable(spark, scratch_folder(spark, "fold"), order="offset")
-    _applied(documents, _batched(unwrap_key(demo.change_log(spark, sf))), FoldOptions(**_USERS), deliveries=(0, 1, 2, 1, 3, 0), compact_after=2)
+    _applied(documents, _batched(spark, sf), FoldOptions(**_USERS), deliveries=(0, 1, 2, 1, 3, 0), compact_after=2)
     return documents.columns({"k": "bigint"}, "users").select("id", "k")
 
 
@@ -101,7 +110,7 @@ def stream_fold(spark, sf):
 def delete_all(spark, sf):
     """A collection emptied between two micro-batches keeps what was written after."""
     documents = DocumentTable(spark, scratch_folder(spark, "emptied"), order="offset")
-    log, options = _batched(unwrap_key(demo.change_log(spark, sf))), FoldOptions(behavior_on_null_values="delete")
+    log, options = _batched(spark, sf), FoldOptions(behavior_on_null_values="delete")
     _applied(documents, log, options, deliveries=range(BATCHES - 1))
     documents.delete_all("events-view")
     _applied(documents, log, options, deliveries=[BATCHES - 1])
@@ -116,7 +125,7 @@ def pipeline_search(spark, sf):
     after the copy."""
     documents = DocumentTable(spark, scratch_folder(spark, "searched"), order="offset")
     documents.declare("users", {"k": ["plong", False, False]})
-    log, options = _batched(unwrap_key(demo.change_log(spark, sf))), FoldOptions(**_USERS)
+    log, options = _batched(spark, sf), FoldOptions(**_USERS)
     _applied(documents, log, options, deliveries=range(BATCHES - 1), compact_after=1)
     layout = SearchLayout(documents, "users", "k")
     layout.refresh()

@@ -124,3 +124,26 @@ def test_columns_of_declared_fields():
 def test_the_field_of_the_order_is_single_valued(spark, tmp_path):
     with pytest.raises(ValueError, match="no single-valued field"):
         SearchLayout(made(spark, tmp_path), "t", "tags")
+
+
+def test_a_batch_of_one_row_group_is_converted_by_many_tasks(spark, tmp_path, monkeypatch):
+    from docfold.plans import pipeline_queries
+
+    events = spark.range(4000).select(
+        F.col("id").alias("event_id"), F.timestamp_seconds("id").alias("ts"), (F.col("id") % 90).alias("user_id"),
+        F.when(F.col("id") % 7 == 0, "error").otherwise("view").alias("event_type"), F.lit(1.5).alias("value"),
+        F.format_string('{"k": %d}', F.col("id") % 80).alias("props"))
+    events.coalesce(1).write.parquet(str(tmp_path / "events.parquet"))
+    shares, apply = [], pipeline_queries.apply_batch
+
+    def counted(batch, number, *more):
+        shares.append([r["count"] for r in batch.groupBy(F.spark_partition_id()).count().collect()])
+        return apply(batch, number, *more)
+
+    monkeypatch.setattr(pipeline_queries, "apply_batch", counted)
+    found = pipeline_queries.pipeline_search(spark, str(tmp_path)).collect()
+    last = {i % 90: i for i in range(4000)}
+    wanted = sorted(((-(i % 80), str(u)) for u, i in last.items() if i % 7 and 10 <= i % 80 <= 60))[:50]
+    assert [(r.id, r.k) for r in found] == [(u, -k) for k, u in wanted]
+    assert [sum(s) for s in shares] == [1000] * 4
+    assert all(max(s) <= 250 for s in shares)
