@@ -7,8 +7,9 @@ that one is itself kept. Lines of fewer than `min_words` distinct words are left
 
 1. Word counts over all documents go into a table of 2^20 buckets (4 MB, whatever the corpus), which orders words by
    rarity; words of equal count are ordered by hash. Any order gives right results, a rare-first one short lists.
-2. Lines with equal sets: an aggregation finds the first, the others go. Sets of fewer than four words match equal ones
-   only, so they are not indexed.
+2. Lines with equal sets: the first stays, the others go. Each task settles the copies it meets and deals one line of each
+   set on by set hash, where the firsts of all tasks meet; so a common line is one row a block of lines. Sets of fewer than
+   four words match equal ones only, so they are not indexed.
 3. Each line puts the words of its prefix (n - ceil(0.8 n) + 1 rarest ones) into an index that is dealt by word hash.
    Entries of a word meet under the length filter, the positional filter and a parity bitmap (the differing bits cannot
    outnumber the differing words). A line is paired with the first two earlier lines that pass, for each word.
@@ -42,7 +43,8 @@ ENTRY = np.dtype([("word", "<u4"), ("id", "<i8"), ("line", "<i4"), ("n", "<u4"),
 LINE = np.dtype([("id", "<i8"), ("text", "<i8"), ("line", "<i4"), ("n", "<i4"), ("key", "<i8")])
 LONG = 48  # lines of so many words or more have a parity bitmap of 128 bits, others of 64
 FLUSH = 1 << 20  # words held back in a task
-HELD = 1 << 19  # entries held back in a task, of 48 bytes each; dealing them out takes several times as much
+HELD = 1 << 18  # entries and lines held back in a task, of 34 or 42 and 32 bytes each; dealing them out takes twice as much
+BATCHES = 8  # in which they leave it
 FILTER_BITS = (23, 26)  # least and most bits of a filter, as a power of two: eight a row, 1 to 8 MB
 PARTNERS = 2
 
@@ -61,7 +63,7 @@ def counted(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     words, table = textcore.Words(), np.zeros(1 << TABLE_BITS, np.int64)
     for batch in batches:
         found, held = [], 0
-        for _, b, data, offs in textcore.pieces(batch.column(2)):
+        for _, b, data, offs in textcore.pieces(batch.column(0)):
             found.append((words.hashes(data, offs)[0] >> np.uint64(64 - TABLE_BITS)).astype(np.int64))
             held += len(found[-1])
             if held >= FLUSH or b == len(batch):
@@ -88,20 +90,35 @@ def summed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 def word_counts(docs: DataFrame) -> np.ndarray:
     """Counts of the words of all documents by hash bucket; a table of fixed size."""
     schema = "chunk int, counts binary"
-    rows = docs.mapInArrow(textcore.tidy(counted), schema).repartition(CHUNKS, "chunk").mapInArrow(summed, schema).collect()
+    rows = docs.select("text").mapInArrow(textcore.tidy(counted), schema).repartition(CHUNKS, "chunk").mapInArrow(summed, schema).collect()
     table = np.zeros((CHUNKS, (1 << TABLE_BITS) // CHUNKS), np.int64)
     for r in rows:
         table[r["chunk"]] += np.frombuffer(r["counts"], np.int64)
     return table.ravel()
 
 
-def line_sets(words: textcore.Words, rank: np.ndarray, data: np.ndarray, offs: np.ndarray):
-    """(words of each line as sorted rarity keys, offsets by line, row, line number). A key is 24 bits of count, 40 of hash."""
-    lines, row, number = line_offsets(data, offs)
+def word_sets(words: textcore.Words, rank: np.ndarray, data: np.ndarray, lines: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """(words of each line as sorted rarity keys, offsets by line). A key is 24 bits of count, 40 of hash."""
     h, at = words.hashes(data, lines)
     keys = (rank[(h >> np.uint64(64 - TABLE_BITS)).astype(np.int64)] << np.uint64(40)) | (h & np.uint64((1 << 40) - 1))
-    keys, at = textcore.unique_by_row(keys, at)
-    return keys, at, row, number
+    return textcore.unique_by_row(keys, at)
+
+
+def firsts(lines: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """(the earliest line of each set of words, once; the lines that come after it), of rows of LINE."""
+    order = np.argsort(np.ascontiguousarray(lines["key"]))
+    key = lines["key"][order]
+    same = np.zeros(len(key) + 1, bool)
+    same[1:-1] = key[1:] == key[:-1]
+    several = same[1:] | same[:-1]
+    some = lines[order[several]]
+    some = some[np.lexsort((some["text"], some["line"], some["id"], some["n"], some["key"]))]
+    new, later = np.ones(len(some), bool), np.zeros(len(some), bool)
+    new[1:] = (some["key"][1:] != some["key"][:-1]) | (some["n"][1:] != some["n"][:-1])
+    first = some[np.flatnonzero(new)[np.cumsum(new) - 1]]
+    for name in ("id", "line", "text"):
+        later |= some[name] != first[name]
+    return np.concatenate([lines[order[~several]], some[new]]), some[later]
 
 
 def needed(a: np.ndarray, b: np.ndarray) -> np.ndarray:
@@ -122,31 +139,44 @@ def unpack(blob: bytes) -> tuple[np.ndarray, np.ndarray]:
     return e, second
 
 
+def dealt(by: np.ndarray, parts: int) -> tuple[np.ndarray, np.ndarray]:
+    """The order of rows by `by` mod `parts`, and where in it each part begins and the last one ends."""
+    part = by % by.dtype.type(parts)
+    if parts <= 1 << 16:
+        part = part.astype(np.uint16)  # sorted by digits
+    return np.argsort(part, kind="stable"), np.concatenate([[0], np.cumsum(np.bincount(part.astype(np.int64), minlength=parts))])
+
+
 def indexed(rank, parts: int, min_words: int) -> Callable:
     def task(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         words, table = textcore.Words(), rank.value
         entries, halves, lines, held = [], [], [], 0
 
-        def flush():
+        def flush() -> Iterator[pa.RecordBatch]:
+            # of lines with equal sets the later ones are settled here; one of each set goes on
+            first, later = firsts(np.concatenate(lines))
             e, second = np.concatenate(entries), np.concatenate(halves)
-            entries.clear()
-            halves.clear()
-            part = e["word"] % np.uint32(parts)
-            order = np.argsort(part, kind="stable")
-            e, second = e[order], second[order]
-            edges = np.searchsorted(np.sort(part), np.arange(parts + 1))
-            some = [p for p in range(parts) if edges[p] < edges[p + 1]]
-            everything = np.concatenate(lines)
-            rows = [(p, packed(e[edges[p]:edges[p + 1]], second[edges[p]:edges[p + 1]]), None) for p in some]
-            step = max(1, -(-len(everything) // parts))
-            rows += [(p, None, everything[i:i + step].tobytes()) for p, i in enumerate(range(0, len(everything), step))]
-            return pa.RecordBatch.from_pydict({"part": pa.array([r[0] for r in rows], pa.int32()), "entries": pa.array([r[1] for r in rows], pa.binary()),
-                                               "lines": pa.array([r[2] for r in rows], pa.binary())})
+            for held in (lines, entries, halves):
+                held.clear()
+            order, edges = dealt(e["word"], parts)
+            line_order, line_edges = dealt(first["key"].view(np.uint64) >> np.uint64(32), parts)
+            step = -(-parts // BATCHES)
+            for p in range(0, parts, step):
+                rows = []
+                for q in range(p, min(p + step, parts)):
+                    x, some = order[edges[q]:edges[q + 1]], first[line_order[line_edges[q]:line_edges[q + 1]]]
+                    gone = later[q * len(later) // parts:(q + 1) * len(later) // parts]
+                    if len(x) or len(some) or len(gone):
+                        rows.append((q, packed(e[x], second[x]), some.tobytes(), gone.tobytes()))
+                if rows:
+                    part, *blobs = zip(*rows)
+                    yield pa.RecordBatch.from_pydict({"part": pa.array(part, pa.int32()), **{n: pa.array(x, pa.binary()) for n, x in zip(("entries", "lines", "gone"), blobs)}})
 
         for batch in batches:
             for a, b, data, offs in textcore.pieces(batch.column(2)):
                 ids, texts = (np.asarray(batch.column(i).slice(a, b - a)) for i in (0, 1))
-                keys, at, row, number = line_sets(words, table, data, offs)
+                starts, row, number = line_offsets(data, offs)
+                keys, at = word_sets(words, table, data, starts)
                 n = np.diff(at)
                 mixed = textcore.mix(keys)
                 key = textcore.by_row(np.add, mixed, at, 0)
@@ -173,16 +203,25 @@ def indexed(rank, parts: int, min_words: int) -> Callable:
                 entries.append(e)
                 halves.append(second[at_line])
                 lines.append(whole)
-                held += len(e)
+                held += len(e) + len(whole)
                 if held >= HELD:
-                    yield flush()
-                    entries, halves, lines, held = [], [], [], 0
+                    yield from flush()
+                    held = 0
         if lines:
-            yield flush()
+            yield from flush()
 
     return task
 
 
+def in_order(e: np.ndarray) -> np.ndarray:
+    """The order of entries by word, id and line."""
+    if len(e) and len(e) < 1 << 32 and 0 <= e["id"].min() and e["id"].max() < 1 << 42 and 0 <= e["line"].min() and e["line"].max() < 1 << 21:
+        place = np.empty(len(e), np.uint64)
+        place[np.argsort((e["id"] << np.int64(21)) | e["line"])] = np.arange(len(e), dtype=np.uint64)
+        return np.argsort((e["word"].astype(np.uint64) << np.uint64(32)) | place)
+    return np.lexsort((e["line"], e["id"], e["word"]))
+
+
 class Groups:
     """Entries of one part, by word, then in order of their lines; equal lines stand once, at the earliest."""
 
@@ -207,24 +246,27 @@ class Groups:
             beside = x[1:] == x[:-1]
             several = np.concatenate([[False], beside]) | np.concatenate([beside, [False]])
             e, second = e[several], second[several]
-        order = np.lexsort((e["line"], e["id"], e["word"]))
+        order = in_order(e)
         e, second = e[order], second[order]
         x = np.ascontiguousarray(e["word"])
         edge = np.flatnonzero(np.concatenate([[True], x[1:] != x[:-1]])) if len(e) else np.empty(0, np.int64)
         self.e, self.second, self.start = e, second, np.repeat(edge, np.diff(np.append(edge, len(e))))
         self.id, self.line, self.parity = (np.ascontiguousarray(e[x]) for x in ("id", "line", "parity"))
-        self.n, self.pos = e["n"].astype(np.int64), e["pos"].astype(np.int64)
+        self.n = e["n"].astype(np.int64)
+        self.left = self.n - e["pos"]
 
     def passes(self, a: np.ndarray, b: np.ndarray) -> np.ndarray:
         m, n = self.n[a], self.n[b]
         least = needed(m, n)
-        ok = (5 * np.minimum(m, n) >= 4 * np.maximum(m, n)) & (np.minimum(m - self.pos[a], n - self.pos[b]) >= least)
+        out = (5 * np.minimum(m, n) >= 4 * np.maximum(m, n)) & (np.minimum(self.left[a], self.left[b]) >= least)
+        some = np.flatnonzero(out)
+        a, b, m, n, least = (x[some] for x in (a, b, m, n, least))
         one, two = self.parity[a] ^ self.parity[b], self.second[a] ^ self.second[b]
         wide = (m >= LONG) & (n >= LONG)
         # a bitmap of 128 bits folds to the one of 64 bits
         differing = np.where(wide, np.bitwise_count(one).astype(np.int64) + np.bitwise_count(two), np.bitwise_count(one ^ two))
-        ok &= differing <= m + n - 2 * least
-        return ok & ((self.id[a] != self.id[b]) | (self.line[a] != self.line[b]))
+        out[some] = (differing <= m + n - 2 * least) & ((self.id[a] != self.id[b]) | (self.line[a] != self.line[b]))
+        return out
 
     def first_partners(self) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
         """(earlier entry, entry) for the first PARTNERS that pass, and the entries that may have more."""
@@ -261,52 +303,53 @@ class Groups:
 
 
 PAIR = "id long, line int, by_id long, by_line int"
-OUT = f"{PAIR}, part int, entries binary, lines binary"
+INDEX = "part int, entries binary, lines binary, gone binary"
+OUT = f"{PAIR}, text long, entries binary"
 
 
-def _pairs(e: np.ndarray, a: np.ndarray, b: np.ndarray, more: dict) -> pa.RecordBatch:
-    rows = np.unique(np.rec.fromarrays([e["id"][b], e["line"][b], e["id"][a], e["line"][a]], names="a,b,c,d"))
-    empty = {k: pa.nulls(len(rows), t) for k, t in more.items()}
-    return pa.RecordBatch.from_pydict({"id": pa.array(rows["a"]), "line": pa.array(rows["b"]), "by_id": pa.array(rows["c"]), "by_line": pa.array(rows["d"]), **empty})
+def _rows(n: int, **columns) -> pa.RecordBatch:
+    """n rows of OUT with the given columns, the others null."""
+    types = {"id": pa.int64(), "line": pa.int32(), "by_id": pa.int64(), "by_line": pa.int32(), "text": pa.int64(), "entries": pa.binary()}
+    return pa.RecordBatch.from_pydict({k: pa.array(columns[k], t) if k in columns else pa.nulls(n, t) for k, t in types.items()})
+
+
+def _pairs(e: np.ndarray, a: np.ndarray, b: np.ndarray) -> dict[str, np.ndarray]:
+    rows = np.unique(np.rec.fromarrays([e["id"][b], e["line"][b], e["id"][a], e["line"][a]], names="id,line,by_id,by_line"))
+    return {x: np.ascontiguousarray(rows[x]) for x in rows.dtype.names}
 
 
 def joined(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """First partners of the entries of each part; the lists of words with more of them; line rows as they are."""
-    more = {"part": pa.int32(), "entries": pa.binary(), "lines": pa.binary()}
-    now, held = None, []
+    """First partners of the entries of each part; the lists of words with more of them; lines that equal an earlier one."""
+    now, held, lines = None, [], []
 
-    def other(part, entries, lines):
-        return pa.RecordBatch.from_pydict({**{k: pa.nulls(1, pa.int64() if "id" in k else pa.int32()) for k in ("id", "line", "by_id", "by_line")},
-                                           "part": pa.array([part], pa.int32()), "entries": pa.array([entries], pa.binary()), "lines": pa.array([lines], pa.binary())})
+    def gone(rows):
+        return _rows(len(rows), **{x: np.ascontiguousarray(rows[x]) for x in ("id", "line", "text")})
 
     def close():
+        yield gone(firsts(np.concatenate(lines))[1])
+        lines.clear()
         g = Groups(*(np.concatenate(x) for x in zip(*held)))
+        held.clear()
         a, b, open_entries = g.first_partners()
-        yield _pairs(g.e, a, b, more)
+        pairs = _pairs(g.e, a, b)
+        yield _rows(len(pairs["id"]), **pairs)
         if len(open_entries):
-            yield other(now, g.of_words(open_entries), None)
+            yield _rows(1, entries=[g.of_words(open_entries)])
 
     for batch in batches:
-        for part, entries, lines in zip(*(batch.column(i).to_pylist() for i in range(3))):
-            if lines is not None:
-                yield other(None, None, lines)
-                continue
-            if part != now:
-                if held:
-                    yield from close()
-                now, held = part, []
+        for part, *blobs in zip(batch.column(0).to_pylist(), *batch.columns[1:]):
+            if part != now and held:
+                yield from close()
+            now = part
+            entries, some, later = (x.as_buffer() for x in blobs)
             held.append(unpack(entries))
+            lines.append(np.frombuffer(some, LINE))
+            if len(later):
+                yield gone(np.frombuffer(later, LINE))
     if held:
         yield from close()
 
 
-def unpacked(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    for batch in batches:
-        for x in batch.column(0):
-            rows = np.frombuffer(x.as_buffer(), LINE)
-            yield pa.RecordBatch.from_pydict({n: pa.array(rows[n].copy()) for n in LINE.names})
-
-
 def second(found) -> Callable:
     """All partners of the lines in the filter, from the lists kept by the first round."""
 
@@ -316,7 +359,7 @@ def second(found) -> Callable:
                 g = Groups(*unpack(x.as_py()))
                 for a, b in g.partners_of(in_filter(found.value, spot(g.e["id"], g.e["line"]))):
                     if len(a):
-                        yield _pairs(g.e, a, b, {})
+                        yield pa.RecordBatch.from_pydict(_pairs(g.e, a, b))
 
     return task
 
@@ -354,17 +397,6 @@ def united(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         yield pa.RecordBatch.from_pydict({"chunk": pa.array(list(parts), pa.int32()), "bits": [x.tobytes() for x in parts.values()]})
 
 
-def unpacked_among(wanted) -> Callable:
-    """Lines whose (key, n) may be in the filter."""
-
-    def task(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in unpacked(batches):
-            key, n = (np.asarray(batch.column(batch.schema.get_field_index(c))) for c in ("key", "n"))
-            yield batch.filter(pa.array(in_filter(wanted.value, spot(key, n))))
-
-    return task
-
-
 def membership(rows: DataFrame, with_line: bool) -> np.ndarray:
     """A filter that holds every (id, line), or every id, of `rows`; others pass with small chance. It grows with the rows
     up to 8 MB; beyond 2^23 rows more others pass."""
@@ -385,10 +417,15 @@ def sets_of(rank, docs_in, lines_in) -> Callable:
             batch = batch.filter(pa.array(in_filter(docs_in.value, spot(np.asarray(batch.column(0))))))
             for a, b, data, offs in textcore.pieces(batch.column(2)):
                 ids, texts = (np.asarray(batch.column(i).slice(a, b - a)) for i in (0, 1))
-                keys, at, row, number = line_sets(words, table, data, offs)
-                hit = np.flatnonzero(in_filter(lines_in.value, spot(ids[row], number)) & (np.diff(at) > 0))
+                starts, row, number = line_offsets(data, offs)
+                hit = np.flatnonzero(in_filter(lines_in.value, spot(ids[row], number)))
+                bytes_of = memoryview(data)
+                some = np.frombuffer(b"".join(bytes_of[x:y] for x, y in zip(starts[hit].tolist(), starts[hit + 1].tolist())), np.uint8)
+                keys, at = word_sets(words, table, some, np.concatenate([[0], np.cumsum(starts[hit + 1] - starts[hit])]))
+                full = np.flatnonzero(np.diff(at) > 0)
+                hit = hit[full]
                 yield pa.RecordBatch.from_pydict({"id": pa.array(ids[row[hit]]), "text": pa.array(texts[row[hit]]), "line": pa.array(number[hit].astype(np.int32)),
-                                                  "words": pa.array([keys[at[i]:at[i + 1]].tobytes() for i in hit.tolist()], pa.binary())})
+                                                  "words": pa.array([keys[at[i]:at[i + 1]].tobytes() for i in full.tolist()], pa.binary())})
 
     return task
 
@@ -405,25 +442,15 @@ def verified(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 
 def repeats(docs: DataFrame, min_words: int = MIN_WORDS) -> DataFrame:
-    """id (doc_id, or 2^63 - 1 for null), text (xxhash64 of the text) and line of every line to remove."""
+    """id (doc_id, or 2^63 - 1 for null), text (xxhash64 of the text) and line of every line to remove, some more than once."""
     spark = docs.sparkSession
     rows = docs.select(F.coalesce(F.col("doc_id").cast("long"), F.lit(LAST)).alias("id"), F.xxhash64("text").alias("key"), "text").where("text IS NOT NULL")
     counts = word_counts(rows)
     rank = spark.sparkContext.broadcast(np.minimum(counts, (1 << 24) - 1).astype(np.uint64))
     deal = max(int(spark.conf.get("spark.sql.shuffle.partitions")), -(-int(counts.sum()) // 4_000_000))
-    index = (rows.mapInArrow(textcore.tidy(indexed(rank, 4 * deal, min_words)), "part int, entries binary, lines binary")
-             .repartition(deal, "part").sortWithinPartitions("part"))
+    index = rows.mapInArrow(textcore.tidy(indexed(rank, 4 * deal, min_words)), INDEX).repartition(deal, "part").sortWithinPartitions("part")
     found = shared.written(index.mapInArrow(textcore.tidy(joined), OUT), "line-index")
-
-    lines = found.where("lines IS NOT NULL").select("lines").mapInArrow(textcore.tidy(unpacked), "id long, text long, line int, n int, key long")
-    # most lines stand alone: only those whose words occur again are compared and shuffled whole
-    twice = shared.written(lines.groupBy("key", "n").agg(F.count("*").alias("c")).where("c > 1").select(F.col("key").alias("id"), F.col("n").alias("line")), "twice")
-    again = spark.sparkContext.broadcast(membership(twice, True))
-    lines = found.where("lines IS NOT NULL").select("lines").mapInArrow(textcore.tidy(unpacked_among(again)), "id long, text long, line int, n int, key long")
-    firsts = lines.groupBy("key", "n").agg(F.min(F.struct("id", "line", "text")).alias("first"), F.count("*").alias("c")).where("c > 1")
-    equal = (lines.join(firsts, ["key", "n"]).where(F.struct("id", "line", "text") > F.col("first")).select("id", "text", "line"))
-    gone = shared.written(equal, "lines")
-    shared.removed(twice)
+    gone = shared.written(found.where("text IS NOT NULL").select("id", "text", "line"), "lines")
 
     def confirm(pairs):
         ends = pairs.select("id", "line").unionByName(pairs.select(F.col("by_id").alias("id"), F.col("by_line").alias("line")))
@@ -435,7 +462,7 @@ def repeats(docs: DataFrame, min_words: int = MIN_WORDS) -> DataFrame:
         shared.removed(sets)
         return out
 
-    pairs = shared.written(found.where("id IS NOT NULL").select("id", "line", "by_id", "by_line").distinct(), "line-pairs")
+    pairs = shared.written(found.where("by_id IS NOT NULL").select("id", "line", "by_id", "by_line").distinct(), "line-pairs")
     near = confirm(pairs)
     # lines that may have had more partners, and none that matched
     settled = near.unionByName(gone).select("id", "line").distinct()
@@ -448,7 +475,7 @@ def repeats(docs: DataFrame, min_words: int = MIN_WORDS) -> DataFrame:
     out = gone.unionByName(near)
     if again.limit(1).count():
         out = out.unionByName(confirm(again))
-    return out.distinct()
+    return out
 
 
 def dedup(docs: DataFrame, min_words: int = MIN_WORDS) -> DataFrame:

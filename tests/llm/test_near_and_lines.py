@@ -196,3 +196,36 @@ def test_index_entries_leave_a_task_in_small_batches():
         sizes.append(sum(len(lines.unpack(e)[0]) for e in out.column(1).to_pylist() if e is not None))
         line_rows += sum(len(x) // lines.LINE.itemsize for x in out.column(2).to_pylist() if x is not None)
     assert max(sizes) < 600_000 and sum(sizes) == 250 * 1000 * 3 and line_rows == 250 * 1000
+
+
+class Ones:
+    def __init__(self, np):
+        self.value = np.ones(1 << lines.TABLE_BITS, np.uint64)
+
+
+def batch_of(texts):
+    ids = pa.array(range(len(texts)), pa.int64())
+    return pa.RecordBatch.from_arrays([ids, ids, pa.array(texts)], names=["id", "key", "text"])
+
+
+def test_no_batch_of_index_entries_is_large():
+    """What a task deals out at once is held by the task, by Arrow and by the JVM: four MB at most, however much it read."""
+    import numpy as np
+
+    texts = ["\n".join(" ".join(f"w{i}x{k}x{j}" for j in range(10)) for k in range(1000)) for i in range(250)]
+    out = list(lines.indexed(Ones(np), 8, 5)(iter([batch_of(texts)])))
+    assert max(x.nbytes for x in out) < 4 << 20
+    assert sum(len(lines.unpack(e)[0]) for x in out for e in x.column(1).to_pylist()) == 250 * 1000 * 3
+
+
+def test_equal_lines_are_settled_before_they_are_dealt_out():
+    """Of a common line one row goes on from a task's block, and its other copies are known to go; none is lost or doubled."""
+    import numpy as np
+
+    texts = [f"the same line\nTHE same   line the\nown line {i}\n" for i in range(500)]
+    out = list(lines.indexed(Ones(np), 8, 1)(iter([batch_of(texts)])))
+    first, gone = (np.concatenate([np.frombuffer(b, lines.LINE) for x in out for b in x.column(c).to_pylist()]) for c in (2, 3))
+    assert len(first) == 501 and sorted(zip(gone["id"], gone["line"])) == [(i, k) for i in range(500) for k in (0, 1)][1:]
+    one, two = lines.firsts(np.concatenate([first, first[:1], gone[:3]]))
+    assert len(one) == 501 and sorted(zip(two["id"], two["line"])) == sorted(zip(gone["id"][:3], gone["line"][:3]))
+    assert [len(x) for x in lines.firsts(first[:0])] == [0, 0]
