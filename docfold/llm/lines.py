@@ -47,6 +47,8 @@ HELD = 1 << 18  # entries and lines held back in a task, of 34 or 42 and 32 byte
 BATCHES = 8  # in which they leave it
 FILTER_BITS = (23, 26)  # least and most bits of a filter, as a power of two: eight a row, 1 to 8 MB
 PARTNERS = 2
+FEW = 1 << 20  # documents of the second round that are picked by a broadcast of their ids; more are picked in the tasks
+MANY = 1 << 17  # lines to remove from which on they are too many for a broadcast, and texts are dealt out to meet them
 
 
 def line_offsets(data: np.ndarray, offs: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
@@ -452,14 +454,17 @@ def repeats(docs: DataFrame, min_words: int = MIN_WORDS) -> DataFrame:
     found = shared.written(index.mapInArrow(textcore.tidy(joined), OUT), "line-index")
     gone = shared.written(found.where("text IS NOT NULL").select("id", "text", "line"), "lines")
 
-    def confirm(pairs):
+    def confirm(pairs, few=0):
         ends = pairs.select("id", "line").unionByName(pairs.select(F.col("by_id").alias("id"), F.col("by_line").alias("line")))
-        near = [spark.sparkContext.broadcast(membership(ends, w)) for w in (False, True)]
-        sets = shared.written(rows.mapInArrow(textcore.tidy(sets_of(rank, *near)), "id long, text long, line int, words binary"), "line-sets")
+        ids = shared.written(ends.select("id").distinct(), "ids")
+        near = [spark.sparkContext.broadcast(membership(x, w)) for x, w in ((ids.withColumn("line", F.lit(0)), False), (ends, True))]
+        some = rows.join(F.broadcast(ids), "id", "left_semi") if ids.count() <= few else rows
+        sets = shared.written(some.mapInArrow(textcore.tidy(sets_of(rank, *near)), "id long, text long, line int, words binary"), "line-sets")
         by = sets.select(F.col("id").alias("by_id"), F.col("line").alias("by_line"), F.col("words").alias("by_words"))
         both = pairs.join(by, ["by_id", "by_line"]).join(sets, ["id", "line"]).select("id", "text", "line", "words", "by_words")
         out = shared.written(both.mapInArrow(textcore.tidy(verified), "id long, text long, line int").distinct(), "lines")
         shared.removed(sets)
+        shared.removed(ids)
         return out
 
     pairs = shared.written(found.where("by_id IS NOT NULL").select("id", "line", "by_id", "by_line").distinct(), "line-pairs")
@@ -467,6 +472,7 @@ def repeats(docs: DataFrame, min_words: int = MIN_WORDS) -> DataFrame:
     # lines that may have had more partners, and none that matched
     settled = near.unionByName(gone).select("id", "line").distinct()
     open_lines = pairs.groupBy("id", "line").count().where(F.col("count") >= PARTNERS).select("id", "line").join(settled, ["id", "line"], "left_anti")
+    open_lines = shared.written(open_lines, "open-lines")
     wanted = spark.sparkContext.broadcast(membership(open_lines, True))
     again = found.where("entries IS NOT NULL").select("entries").mapInArrow(textcore.tidy(second(wanted)), PAIR).distinct()
     again = again.join(open_lines, ["id", "line"], "left_semi").join(pairs, ["id", "line", "by_id", "by_line"], "left_anti")
@@ -474,14 +480,17 @@ def repeats(docs: DataFrame, min_words: int = MIN_WORDS) -> DataFrame:
     shared.removed(found)
     out = gone.unionByName(near)
     if again.limit(1).count():
-        out = out.unionByName(confirm(again))
+        out = out.unionByName(confirm(again, FEW))
     return out
 
 
 def dedup(docs: DataFrame, min_words: int = MIN_WORDS) -> DataFrame:
     """`docs` with repeated lines taken out of text, and the column `removed_lines`: their numbers, from 0."""
-    gone = (repeats(docs, min_words).groupBy(F.col("id").alias("_id"), F.col("text").alias("_key"))
+    found = repeats(docs, min_words)
+    gone = (found.groupBy(F.col("id").alias("_id"), F.col("text").alias("_key"))
             .agg(F.sort_array(F.collect_set("line")).alias("removed_lines")))
+    if found.count() >= MANY:  # one row a document: the texts need no sort
+        gone = gone.hint("shuffle_hash")
     given, moved = shared.set_aside(docs, {"_id", "_key", "removed_lines"})
     keyed = docs.select(*given, F.coalesce(F.col("doc_id").cast("long"), F.lit(LAST)).alias("_id"), F.xxhash64("text").alias("_key"))
     out = keyed.join(gone, ["_id", "_key"], "left").drop("_id", "_key", *(new for new, old in moved.items() if old.lower() == "removed_lines"))

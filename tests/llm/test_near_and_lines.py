@@ -229,3 +229,15 @@ def test_equal_lines_are_settled_before_they_are_dealt_out():
     one, two = lines.firsts(np.concatenate([first, first[:1], gone[:3]]))
     assert len(one) == 501 and sorted(zip(two["id"], two["line"])) == sorted(zip(gone["id"][:3], gone["line"][:3]))
     assert [len(x) for x in lines.firsts(first[:0])] == [0, 0]
+
+
+def test_line_dedup_passes_over_its_lines_once(spark, monkeypatch):
+    """Equal lines need no tables of their own, open lines are found once, and many removals meet texts that are not sorted."""
+    rng = random.Random(9)
+    docs = [(i, " ".join([f"c{k}" for k in range(rng.randint(6, 12))] + [f"v{rng.randrange(12)}" for _ in range(rng.randint(0, 4))])) for i in range(120)]
+    monkeypatch.setattr(lines.shared, "written", seen := Written(lines.shared.written))
+    monkeypatch.setattr(lines, "MANY", 0)
+    out = lines.dedup(spark.createDataFrame(docs, "doc_id long, text string"))
+    assert "twice" not in seen.names and seen.names.count("open-lines") == seen.names.count("line-index") == 1
+    assert "ShuffledHashJoin" in out._jdf.queryExecution().executedPlan().toString()
+    assert {r.doc_id: r.removed_lines for r in out.collect() if r.removed_lines} == brute.repeated_lines(docs)
